@@ -1,0 +1,45 @@
+"""Runs a registered query and its SQL, and compares names, rows and values."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import duckdb
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def _value(v):
+    if isinstance(v, float):
+        return "NaN" if math.isnan(v) else round(v, 9)
+    return v
+
+
+def rows(names, data) -> Counter:
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return Counter(tuple((type(r[i]).__name__, _value(r[i])) for i in order) for r in data)
+
+
+def compare(df, con, sql: str) -> tuple[int, str]:
+    """Row count, and what differs (empty text where nothing does)."""
+    got = rows(df.columns, df.collect())
+    cur = con.execute(sql)
+    names = [d[0] for d in cur.description]
+    want = rows(names, cur.fetchall())
+    if sorted(names) != sorted(df.columns):
+        return sum(got.values()), f"columns {sorted(df.columns)} / {sorted(names)}"
+    if got != want:
+        extra, missing = got - want, want - got
+        return sum(got.values()), (
+            f"{sorted(names)}\n{sum(got.values())} rows / {sum(want.values())}; only Spark "
+            f"{sum(extra.values())} {list(extra)[:2]}\nonly SQL {sum(missing.values())} {list(missing)[:2]}")
+    return sum(got.values()), ""
