@@ -26,10 +26,12 @@ def json_list(text: Column) -> Column:
     return F.coalesce(text, F.lit("[]"))
 
 
-def json_field(document: Column, path: str) -> Column:
-    """The JSON text of one field of a parsed document, in one spelling: equal values are
-    equal group keys. NULL where the field is missing or null."""
-    return F.nullif(F.to_json(F.try_variant_get(document, path, "variant")), F.lit("null"))
+def variant_json(value: Column) -> Column:
+    """A variant as JSON text in one spelling, so equal values are equal group keys.
+
+    NULL where the value is missing or a JSON null.
+    """
+    return F.when(~F.is_variant_null(value), F.to_json(value))
 
 
 def percentage(part: Column | str, whole: Column | str) -> Column:

@@ -89,7 +89,7 @@ def device_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").cast("string").alias("catalog_number"),
         F.concat(F.lit("LOT-"), "l_suppkey").alias("lot_number"),
         F.col("l_linenumber").cast("string").alias("device_sequence_no"),
-        key.alias("device_event_key"),
+        F.col("_key").alias("device_event_key"),
         F.when(F.col("l_returnflag") == "A", "Y").otherwise("N").alias("implant_flag"),
         F.col("l_linestatus").alias("device_availability"),
         F.substring("p_type", 1, 3).alias("device_report_product_code"),
@@ -106,9 +106,9 @@ def device_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(in_device, F.array(first_code, second_code))
         .otherwise(F.array(first_code)).alias("sequence_number_outcome"),
         _day("o_orderdate", "yyyy").alias("date_of_birth")))
-    raw = _submissions(spark, sf_dir).select(
+    raw = _submissions(spark, sf_dir).withColumn("_key", key).select(
         F.col("o_orderkey").cast("string").alias("report_number"),
-        F.when(has_line, key).otherwise("initial").alias("mdr_report_key"),
+        F.when(has_line, F.col("_key")).otherwise("initial").alias("mdr_report_key"),
         F.when(in_device, "User Facility report")
         .when(has_line, "Manufacturer report").alias("report_source_code"),
         _received().alias("date_received"),
@@ -131,6 +131,8 @@ def device_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(has_line & ~in_device, F.to_json(openfda)).alias("openfda"),
         F.date_format(F.coalesce("l_shipdate", "o_orderdate").cast("date"),
                       "yyyy-MM-dd'T00:00:00Z'").alias("_fetched"),
+        # The report key spells out the whole line, so it identifies the content.
+        F.xxhash64("o_orderkey", "_key").alias(S.RECORD_HASH),
         F.lit(PARAMS.run_id).alias(S.RUN_ID),
         F.when(has_line, "tables/lineitem").otherwise("tables/orders").alias(S.SOURCE_FILE))
     return stamp(raw, PARAMS, F.col("_fetched")).drop("_fetched")

@@ -33,13 +33,21 @@ RESPONSE_SCHEMA = T.StructType([
     T.StructField("results", T.ArrayType(RAW_SCHEMA)),
 ])
 
-# First-device fields the raw layer keeps as columns. `openfda` may sit inside the device.
-FIRST_DEVICE = T.ArrayType(T.StructType(_strings(
-    "manufacturer_d_name", "manufacturer_d_country", "brand_name", "generic_name",
-    "model_number", "catalog_number", "lot_number", "device_sequence_no",
-    "device_event_key", "implant_flag", "device_report_product_code", "openfda")))
-
-FIRST_PATIENT = T.ArrayType(T.StructType(_strings("date_of_birth")))
+# What the raw layer keeps of the classification, the first device and the first patient.
+# Values that may be any JSON are parsed as variants, so that they keep their JSON type.
+OPENFDA = T.StructType([T.StructField(n, T.VariantType()) for n in (
+    "device_class", "regulation_number", "medical_specialty_description")])
+
+FIRST_DEVICE = T.ArrayType(T.StructType([
+    *_strings(
+        "manufacturer_d_name", "manufacturer_d_country", "brand_name", "generic_name",
+        "model_number", "catalog_number", "lot_number", "device_sequence_no",
+        "device_event_key", "implant_flag", "device_report_product_code"),
+    T.StructField("openfda", OPENFDA)]))
+
+FIRST_PATIENT = T.ArrayType(T.StructType([
+    T.StructField("sequence_number_outcome", T.VariantType()),
+    *_strings("date_of_birth")]))
 
 DEVICE_ARRAY = T.ArrayType(T.StructType(_strings(
     "brand_name", "generic_name", "manufacturer_d_name", "model_number", "catalog_number",
