@@ -1,0 +1,147 @@
+from datetime import date
+
+import pytest
+from records import rows
+
+from devicewatch import schemas as S
+from devicewatch.functions.columns import risk_tier
+from devicewatch.functions.keywords import has_keyword, matched_keywords
+from devicewatch.operators import gold
+from devicewatch.operators.audit import layer_counts
+from devicewatch.params import HIGH_RISK_KEYWORDS
+
+
+def events(spark, *reports):
+    return spark.createDataFrame(
+        [tuple(r.get(n) for n in S.EVENTS_SCHEMA.names) for r in reports], S.EVENTS_SCHEMA)
+
+
+def narratives(spark, *texts):
+    return spark.createDataFrame(
+        [(number, date(1999, 1, 1), "D", text, str(i), "t")
+         for i, (number, text) in enumerate(texts)], S.NARRATIVES_SCHEMA)
+
+
+def test_event_summary(spark):
+    df = gold.ordered(gold.event_summary(events(
+        spark,
+        {"report_number": "1", "year": 2023, "month": 2, "event_type": "Injury",
+         "is_adverse_event": True, "is_product_problem": False},
+        {"report_number": "2", "year": 2023, "month": 2, "event_type": "Injury",
+         "is_adverse_event": None, "is_product_problem": True},
+        {"report_number": None, "year": 2023, "month": 1, "event_type": None},
+        {"report_number": "", "event_type": "Death"})), "event_summary")
+    assert [tuple(r) for r in df.collect()] == [
+        (None, None, "Death", 1, None, None),
+        (2023, 1, None, 0, None, None),
+        (2023, 2, "Injury", 2, 1, 1)]
+
+
+def test_product_risk(spark):
+    def report(number, brand, adverse, day=1):
+        return {"report_number": number, "brand_name": brand, "device_class": "[]",
+                "is_adverse_event": adverse, "is_product_problem": False,
+                "date_received": date(2023, 1, day)}
+    df = events(
+        spark, report("1", "a", True), report("2", "a", False, 9), report("2", "a", False),
+        report("3", "b", True), report("4", "", False), report(None, None, True))
+    got = {r.brand_name: r for r in gold.product_risk(df).collect()}
+    a = got["a"]
+    assert (a.total_reports, a.adverse_events, a.product_problems, a.unique_reports) == (3, 1, 0, 2)
+    assert (a.first_report_date, a.last_report_date) == (date(2023, 1, 1), date(2023, 1, 9))
+    assert (a.adverse_event_rate, a.risk_tier) == (33.3, "Medium")
+    assert (got["b"].adverse_event_rate, got["b"].risk_tier) == (100.0, "High")
+    assert (got[""].adverse_event_rate, got[""].risk_tier) == (0.0, "Low")
+    assert (got[None].total_reports, got[None].adverse_event_rate, got[None].risk_tier) == (
+        0, None, "Low")
+
+
+def test_tier_uses_the_rounded_rate(spark):
+    rates = [None, 0.0, 19.9, 20.0, 49.9, 50.0, 100.0]
+    df = spark.createDataFrame([(r,) for r in rates], "rate double")
+    assert [r[0] for r in df.select(risk_tier("rate")).collect()] == [
+        "Low", "Low", "Low", "Medium", "Medium", "High", "High"]
+    near = events(spark, *[
+        {"report_number": str(i), "is_adverse_event": i < 4996} for i in range(9999)])
+    assert gold.product_risk(near, one_row_per_report=True).first().risk_tier == "High"
+
+
+def test_one_row_per_report_gives_the_same_counts(spark):
+    df = events(spark, *[{"report_number": str(i), "brand_name": str(i % 3)} for i in range(50)])
+    slow, fast = gold.product_risk(df), gold.product_risk(df, one_row_per_report=True)
+    assert rows(slow, *slow.columns) == rows(fast, *slow.columns)
+
+
+def test_outcomes(spark):
+    texts = ["[]", '["1","7"]', "[1]", '["8"]', '["9"]', '["1",null]', "1", '"1"', "", "null",
+             '{"a":1}', None]
+    df = events(spark, *[{"report_number": str(i), "year": 2023, "patient_outcome": t}
+                         for i, t in enumerate(texts)])
+    codes = {}
+    for r in gold.outcome_codes(df).collect():
+        codes.setdefault(texts[int(r.report_number)], []).append((r.outcome_code, r.outcome_label))
+    none = [(None, "No Information")]
+    assert codes.pop('["1","7"]') == [("1", "Death"), ("7", "Other")]
+    assert codes.pop("[1]") == [("1", "Death")]
+    assert codes.pop('["8"]') == [("8", "No Information")]
+    assert codes.pop('["9"]') == [("9", "No Information")]
+    assert codes.pop('["1",null]') == [("1", "Death"), *none]
+    assert all(v == none for v in codes.values()) and len(codes) == 7
+    breakdown = gold.ordered(gold.outcome_breakdown(df), "outcome_breakdown").collect()
+    assert [tuple(r) for r in breakdown] == [
+        (2023, "No Information", 10), (2023, "Death", 3), (2023, "Other", 1)]
+
+
+@pytest.mark.parametrize("text, expected", [
+    ("The DEATH of a battery", "death"), ("deathly undied", "death, died"),
+    ("recall after infection and death", "death, infection, recall"),
+    ("serious injury", "serious injury"), ("serious  injury", ""), ("fine", ""), ("", ""),
+    (None, ""), ("field\ncorrection", "")])
+def test_keywords(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "t string")
+    hit, matched = df.select(has_keyword("t"), matched_keywords("t")).first()
+    assert matched == expected
+    assert bool(hit) == bool(expected)
+
+
+def test_keywords_are_plain_text_not_patterns(spark):
+    df = spark.createDataFrame([("a.c",), ("abc",), ("x|y",)], "t string")
+    assert rows(df.where(has_keyword("t", ["a.c", "|"])), "t") == [("a.c",), ("x|y",)]
+
+
+def test_late_keyword_in_a_long_text(spark):
+    df = spark.createDataFrame([("x" * 3_000_000 + " sepsis",)], "t string")
+    assert df.where(has_keyword("t")).select(matched_keywords("t")).first()[0] == "sepsis"
+
+
+def test_flagged_narratives(spark):
+    ev = events(
+        spark, {"report_number": "1", "date_received": date(2023, 1, 1), "brand_name": "a",
+                "generic_name": "g", "event_type": "Injury"},
+        {"report_number": "2", "date_received": date(2024, 1, 1)})
+    texts = narratives(spark, ("1", "Death"), ("1", "Death"), ("1", "fine"), ("2", "recall"),
+                       ("3", "fatal failure"), ("2", None))
+    df = gold.flagged_narratives(texts, ev)
+    assert df.columns == ["report_number", "date_received", "brand_name", "generic_name",
+                          "event_type", "text_type_code", "narrative_text", "matched_keywords"]
+    assert [(r.report_number, r.date_received, r.brand_name, r.matched_keywords)
+            for r in gold.ordered(df, "flagged_narratives").collect()] == [
+        ("2", date(2024, 1, 1), None, "recall"), ("1", date(2023, 1, 1), "a", "death"),
+        ("1", date(2023, 1, 1), "a", "death"), ("3", None, None, "fatal, failure")]
+    assert gold.top(df, "flagged_narratives", 1).first().report_number == "2"
+
+
+def test_every_keyword_is_found(spark):
+    df = spark.createDataFrame([(w,) for w in HIGH_RISK_KEYWORDS], "t string")
+    assert all(r.t in r.m.split(", ")
+               for r in df.select("t", matched_keywords("t").alias("m")).collect())
+
+
+def test_unknown_order(spark):
+    with pytest.raises(ValueError):
+        gold.order_of("devices")
+
+
+def test_layer_counts(spark):
+    got = layer_counts({"a": spark.range(3), "b": spark.range(0), "c": spark.range(5)})
+    assert rows(got, "layer", "row_count") == [("a", 3), ("b", 0), ("c", 5)]

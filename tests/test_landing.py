@@ -1,0 +1,184 @@
+import json
+
+import pytest
+from records import raw, rows
+
+from devicewatch import JobParams
+from devicewatch import schemas as S
+from devicewatch.operators.audit import run_files, run_summary
+from devicewatch.operators.flatten import flatten
+from devicewatch.operators.search import count_matching, page_plan, search, stamp
+from devicewatch.sources import landing, tables
+from devicewatch.streaming.ingest import ingest_new_pages
+
+PARAMS = JobParams("acme health", "2023-01-01", "2025-12-31", page_limit=2, run_id="r1")
+
+
+def report(number, received="20230601", makers=("ACME HEALTH INC",), **more):
+    return {"report_number": number, "date_received": received,
+            "device": [{"manufacturer_d_name": m} for m in makers], **more}
+
+
+def write_page(folder, name, content):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(
+        content if isinstance(content, str) else json.dumps(content, indent=2))
+
+
+def test_search_uses_any_device_and_inclusive_dates(spark):
+    df = raw(
+        spark, report("first", "20230101"), report("last", "20251231"),
+        report("before", "20221231"), report("after", "20260101"),
+        report("second device", makers=("other", "Acme Health")),
+        report("other maker", makers=("acme", "health")), report("no device", makers=()),
+        report("bad date", "2023-06-01"), report("long date", "202306011"),
+        {"report_number": "null device", "date_received": "20230601", "device": "null"},
+        report("null maker", makers=(None, "ACME HEALTH")))
+    assert rows(search(df, PARAMS), "report_number") == [
+        ("first",), ("last",), ("null maker",), ("second device",)]
+    assert count_matching(search(df, PARAMS)).first().total == 4
+
+
+def test_nothing_matches(spark):
+    none = search(raw(spark, report("x", "19990101")), PARAMS)
+    assert count_matching(none).first().total == 0
+    assert page_plan(none, 1000).collect() == []
+
+
+@pytest.mark.parametrize("total", [1, 2, 3, 1000, 1001, 25_003])
+def test_page_plan_covers_all_records(spark, total):
+    plan = page_plan(spark.range(total), 2).orderBy("page_num").collect()
+    assert [(p.page_num, p.skip) for p in plan] == [
+        (i + 1, skip) for i, skip in enumerate(range(0, total, 2))]
+    assert sum(p.records for p in plan) == total
+    assert all(p.records == 2 for p in plan[:-1])
+
+
+def test_stamp(spark):
+    got = stamp(raw(spark, report("a")), PARAMS, "2024-05-01T10:00:00Z").first()
+    assert (got._ingested_at, got._manufacturer_filter, got._date_from, got._date_to) == (
+        "2024-05-01T10:00:00Z", "acme health", "20230101", "20251231")
+
+
+def test_pages_hold_at_most_the_limit_and_round_trip(spark, tmp_path):
+    texts = ['[{"a": "x\\ny", "unknown": {"b": [1, 2.50]}}]', "[]", "plain \"text\"\nline", "7",
+             '[{"broken"', "null", "", None]
+    df = raw(spark, *[report(f"r{i}", openfda=t, event_type=None if i else "é\"\\")
+                      for i, t in enumerate(texts)])
+    landing.write_pages(df.coalesce(1), str(tmp_path), PARAMS)
+    files = list((tmp_path / "_run_id=r1").glob("part-*"))
+    assert len(files) == 4
+    lines = [json.loads(line) for f in files for line in f.read_text().splitlines()]
+    assert {r["report_number"]: r.get("openfda") for r in lines}["r0"] == [
+        {"a": "x\ny", "unknown": {"b": [1, 2.5]}}]
+    back = landing.read_pages(spark, str(tmp_path))
+    assert landing.corrupt(back).collect() == []
+    columns = S.RAW_SCHEMA.names
+    assert rows(landing.intact(back), *columns) == rows(df, *columns)
+
+
+def test_layout_of_nested_json_becomes_one_line(spark, tmp_path):
+    pretty = json.dumps([{"text_type_code": "d", "foi_text": "line\nline"}], indent=2)
+    landing.write_pages(raw(spark, report("a", mdr_text=pretty)), str(tmp_path), PARAMS)
+    got = landing.read_pages(spark, str(tmp_path)).first()
+    assert json.loads(got.mdr_text) == json.loads(pretty)
+
+
+def test_landing_twice_appends_unless_the_run_is_replaced(spark, tmp_path):
+    for replace, expected in ((False, 1), (False, 2), (True, 1)):
+        landing.write_pages(raw(spark, report("a")), str(tmp_path), PARAMS, replace_run=replace)
+        assert landing.read_pages(spark, str(tmp_path)).count() == expected
+
+
+def test_array_pages(spark, tmp_path):
+    run = tmp_path / "_run_id=20240101"
+    write_page(run, "page_0001.json", [report("a"), report("b")])
+    write_page(run, "page_0002.json", [report("c")])
+    write_page(run, "page_0003.json", [])
+    write_page(run, "page_0004.json", '[{"report_number": "cut", "device": [{"br')
+    pages = landing.read_pages(spark, str(tmp_path), whole_file_pages=True)
+    whole = landing.intact(pages)
+    assert rows(whole, "report_number", S.RUN_ID) == [
+        ("a", "20240101"), ("b", "20240101"), ("c", "20240101")]
+    assert whole.count() == 3
+    broken = landing.corrupt(pages).collect()
+    assert len(broken) == 1 and '"cut"' in broken[0][S.CORRUPT]
+    assert broken[0][S.SOURCE_FILE].endswith("page_0004.json")
+    first = flatten(whole).where("report_number = 'a'").first()
+    assert first.manufacturer_name == "ACME HEALTH INC"
+
+
+def test_array_and_line_pages_give_equal_class_keys(spark, tmp_path):
+    page = [report("a", openfda={"device_class": ["1", "2"]})]
+    write_page(tmp_path / "arrays" / "_run_id=r", "page_0001.json", page)
+    landing.write_pages(raw(spark, *page), str(tmp_path / "lines"), PARAMS)
+    classes = [
+        flatten(landing.read_pages(spark, str(tmp_path / d), arrays)).first().device_class
+        for d, arrays in (("arrays", True), ("lines", False))]
+    assert classes == ['["1","2"]'] * 2
+
+
+def test_saved_responses(spark, tmp_path):
+    write_page(tmp_path, "1.json", {"meta": {"results": {"total": 3}},
+                                    "results": [report("a"), report("b")]})
+    write_page(tmp_path, "2.json", {"meta": {"results": {"total": 3}}, "results": [report("c")]})
+    write_page(tmp_path, "3.json", {"meta": {"results": {"total": 3}}, "results": []})
+    write_page(tmp_path, "4.json", {"error": {"message": "No matches found!"}})
+    got = landing.read_responses(spark, str(tmp_path))
+    assert rows(got, "report_number") == [("a",), ("b",), ("c",)]
+    assert landing.reported_total(spark, str(tmp_path)).first().total == 3
+    assert rows(search(got, PARAMS), "report_number") == [("a",), ("b",), ("c",)]
+
+
+def test_no_match_response_counts_zero(spark, tmp_path):
+    write_page(tmp_path, "1.json", {"error": {"message": "No matches found!"}})
+    assert landing.reported_total(spark, str(tmp_path)).first().total == 0
+    assert landing.read_responses(spark, str(tmp_path)).count() == 0
+
+
+def test_append_and_schema_growth(spark, tmp_path):
+    path = str(tmp_path)
+    one = flatten(raw(spark, report("a"), report("b")))
+    two = flatten(raw(spark, report("c", _run_id="r2"))).selectExpr("*", "'new' AS extra")
+    tables.append_bronze(one, path)
+    tables.append_bronze(two, path)
+    tables.append_bronze(one.where("false"), path)
+    merged = tables.read_bronze(spark, path, merge_schema=True)
+    assert rows(merged, "report_number", "extra") == [("a", None), ("b", None), ("c", "new")]
+    declared = tables.read_bronze(spark, path)
+    assert declared.columns == S.BRONZE_SCHEMA.names and declared.count() == 3
+    tables.append_bronze(one, path, replace_run=True)
+    assert tables.read_bronze(spark, path).count() == 3
+    tables.append_bronze(one, path)
+    assert tables.read_bronze(spark, path).count() == 5
+
+
+def test_run_summary(spark):
+    df = raw(
+        spark, report("a", _source_file="land/r1/page_0001.json"),
+        report("b", _source_file="land/r1/page_0001.json"),
+        report("c", _source_file="land/r1/page_0002.json", _ingested_at="2024-01-02T00:00:00Z"),
+        report("d", _source_file="land/r2/page_0001.json", _run_id="r2"))
+    bronze = flatten(df)
+    assert rows(run_summary(bronze, "b"), "run_id", "total_pages", "total_records",
+                "landing_path", "bronze_table", "completed_at") == [
+        ("r1", 2, 3, "land/r1", "b", "2024-01-02T00:00:00Z"),
+        ("r2", 1, 1, "land/r2", "b", "2024-01-01T00:00:00Z")]
+    assert rows(run_files(bronze), S.SOURCE_FILE, "records") == [
+        ("land/r1/page_0001.json", 2), ("land/r1/page_0002.json", 1),
+        ("land/r2/page_0001.json", 1)]
+
+
+def test_stream_picks_up_new_pages_only(spark, tmp_path):
+    land, bronze, offsets = (str(tmp_path / d) for d in ("land", "bronze", "offsets"))
+
+    def ingest():
+        ingest_new_pages(spark, land, bronze, offsets).awaitTermination()
+        return rows(spark.read.parquet(bronze), "report_number", S.RUN_ID)
+
+    landing.write_pages(raw(spark, report("a"), report("b")), land, PARAMS)
+    assert ingest() == [("a", "r1"), ("b", "r1")]
+    assert ingest() == [("a", "r1"), ("b", "r1")]
+    second = JobParams("acme", "2023-01-01", "2025-12-31", run_id="r2")
+    landing.write_pages(raw(spark, report("c")), land, second)
+    assert ingest() == [("a", "r1"), ("b", "r1"), ("c", "r2")]

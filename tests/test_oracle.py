@@ -1,0 +1,30 @@
+"""Every registered query against its SQL on the base tables."""
+
+import pytest
+from oracle_compare import compare, connect
+
+import __spark_entry__ as entry
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(SF_DIR)
+
+
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_matches_sql(spark, con, name):
+    count, difference = compare(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name])
+    assert not difference
+    assert count > 0
+
+
+def test_entry(spark):
+    assert entry.entry(spark).columns == [
+        "year", "month", "event_type", "report_count", "adverse_event_count",
+        "product_problem_count"]

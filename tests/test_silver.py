@@ -1,0 +1,251 @@
+import json
+from datetime import date
+
+import pytest
+from records import raw, rows
+
+from devicewatch import schemas as S
+from devicewatch.functions.columns import report_date
+from devicewatch.operators.dedup import latest_reports, quarantined_reports
+from devicewatch.operators.flatten import flatten, null_to_empty
+from devicewatch.operators.silver import devices_silver, events_silver, narratives_silver
+
+
+def bronze(spark, *reports):
+    return flatten(raw(spark, *reports))
+
+
+def bronze_text(spark, column, *texts):
+    """One flat report per given raw JSON text."""
+    return bronze(spark, *[{"report_number": str(i), column: t} for i, t in enumerate(texts)])
+
+
+# --- flatten ---------------------------------------------------------------------------------
+
+def test_flatten_takes_the_first_device_and_patient(spark):
+    device = {"manufacturer_d_name": "m", "manufacturer_d_country": "US", "brand_name": "b",
+              "generic_name": "g", "model_number": "1", "catalog_number": "2", "lot_number": "3",
+              "device_sequence_no": "1", "device_event_key": "k", "implant_flag": "Y",
+              "device_report_product_code": "ABC"}
+    got = bronze(spark, {
+        "report_number": "r", "device": [device, {"brand_name": "second"}],
+        "patient": [{"sequence_number_outcome": ["1", "7"], "date_of_birth": "1970"},
+                    {"sequence_number_outcome": ["2"]}],
+        "openfda": {"device_class": "2", "regulation_number": ["880.1", "880.2"]}}).first()
+    assert [got[c] for c in ("manufacturer_name", "manufacturer_country", "brand_name",
+                             "generic_name", "product_code", "implant_flag")] == [
+        "m", "US", "b", "g", "ABC", "Y"]
+    assert (got.device_class, got.regulation_number, got.medical_specialty) == (
+        '"2"', '["880.1","880.2"]', "[]")
+    assert (got.patient_outcome, got.date_of_birth) == ('["1","7"]', "1970")
+    assert json.loads(got.device_raw)[1] == {"brand_name": "second"}
+    assert got.mdr_text_raw == "[]"
+
+
+def test_bronze_columns(spark):
+    df = bronze(spark, {"report_number": "r"})
+    assert set(df.columns) == set(S.BRONZE_SCHEMA.names)
+    assert len(S.BRONZE_COLUMNS) == 34
+
+
+@pytest.mark.parametrize("device", [None, "null", "[]", "[null]", '"s"', '[{"brand_name": "x"'])
+def test_flatten_without_a_device(spark, device):
+    got = bronze(spark, {"report_number": "r", "device": device}).first()
+    assert got.report_number == "r"
+    assert got.brand_name is None or device.endswith('"x"')
+
+
+def test_missing_and_null_classes_are_one_group(spark):
+    got = bronze_text(spark, "openfda", None, "{}", "null", '{"device_class": null}', "[]")
+    assert {r.device_class for r in got.collect()} == {"[]"}
+
+
+def test_class_spelling_is_canonical(spark):
+    got = bronze_text(spark, "openfda", '{"device_class": [ "1" ,\n"2"]}',
+                      '{"device_class":["1","2"]}')
+    assert {r.device_class for r in got.collect()} == {'["1","2"]'}
+
+
+def test_classification_inside_the_device(spark):
+    inner = [{"openfda": {"device_class": "3", "regulation_number": "880.1"}}]
+    got = bronze(spark, {"report_number": "r", "device": inner,
+                         "openfda": {"device_class": "1"}}).first()
+    assert (got.device_class, got.regulation_number) == ('"1"', '"880.1"')
+
+
+def test_null_to_empty(spark):
+    got = null_to_empty(bronze(spark, {"report_number": None})).first()
+    assert got.report_number == "" and got.brand_name == "" and got.device_raw == "[]"
+
+
+def test_hash_tells_null_positions_apart(spark):
+    got = bronze(spark, {"report_number": "r", "event_type": "x"},
+                 {"report_number": "r", "date_report": "x"}, {"report_number": "r"},
+                 {"report_number": "r"})
+    assert got.select(S.RECORD_HASH).distinct().count() == 3
+
+
+# --- dates and events ------------------------------------------------------------------------
+
+def test_dates(spark):
+    texts = ["", "2023-01-15", "20231301", "20230230", "202301", " 20230115", "20230115x",
+             "2023115", None, "20230115"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        report_date("t").alias("d")).collect()
+    assert [r.d for r in got] == [None] * 9 + [date(2023, 1, 15)]
+
+
+def test_events_columns_and_types(spark):
+    df = events_silver(bronze(spark, {"report_number": "r", "date_received": "20230115"}))
+    assert [(f.name, f.dataType) for f in df.schema] == [
+        (f.name, f.dataType) for f in S.EVENTS_SCHEMA]
+    assert (df.first().year, df.first().month) == (2023, 1)
+
+
+def test_flags(spark):
+    flags = ["Y", "N", "y", "", None]
+    df = events_silver(bronze(spark, *[
+        {"report_number": str(i), "adverse_event_flag": f} for i, f in enumerate(flags)]))
+    assert [r.is_adverse_event for r in df.orderBy("report_number").collect()] == [
+        True, False, False, False, None]
+
+
+def test_latest_version_wins(spark):
+    def version(key, at, kind):
+        return {"report_number": "r", "mdr_report_key": key, "_ingested_at": at,
+                "event_type": kind}
+    later = [
+        (version("1", "2024-01-01T10:00:00Z", "old"),
+         version("1", "2024-01-01T10:00:00.5Z", "new")),  # as text, "00Z" sorts after "00.5Z"
+        (version("9", "2024-01-01T10:00:00Z", "old"), version("1", "2024-01-02T10:00:00Z", "new")),
+        (version("1", "2024-01-01T10:00:00Z", "old"), version("2", "2024-01-01T10:00:00Z", "new")),
+        (version("1", None, "old"), version("1", "2024-01-01T10:00:00Z", "new")),
+        (version(None, "2024-01-01T10:00:00Z", "old"),
+         version("1", "2024-01-01T10:00:00Z", "new")),
+    ]
+    for old, new in later:
+        for order in ((old, new), (new, old)):
+            assert rows(events_silver(bronze(spark, *order)), "event_type") == [("new",)]
+
+
+def test_full_tie_is_resolved_the_same_way_in_every_table(spark):
+    a = {"report_number": "r", "event_type": "a", "mdr_text": [{"foi_text": "a"}],
+         "device": [{"brand_name": "a"}]}
+    b = {"report_number": "r", "event_type": "b", "mdr_text": [{"foi_text": "b"}],
+         "device": [{"brand_name": "b"}]}
+    seen = set()
+    for order in ((a, b), (b, a)):
+        df = bronze(spark, *order)
+        kinds = {rows(events_silver(df), "event_type")[0][0],
+                 rows(devices_silver(df), "brand_name")[0][0],
+                 rows(narratives_silver(df), "narrative_text")[0][0]}
+        assert len(kinds) == 1
+        seen |= kinds
+    assert len(seen) == 1
+
+
+def test_blank_numbers_go_to_quarantine(spark):
+    df = bronze(spark, {"report_number": ""}, {"report_number": None}, {"report_number": "  "},
+                {"report_number": "r"})
+    assert rows(events_silver(df), "report_number") == [("r",)]
+    assert quarantined_reports(df).count() == 3
+    kept = events_silver(null_to_empty(df), quarantine_blank=False)
+    assert rows(kept, "report_number") == [("",), ("  ",), ("r",)]
+
+
+def test_raw_layer_without_lineage_columns(spark):
+    """A table with the 34 report columns only, as an earlier job wrote it."""
+    df = bronze(spark, {"report_number": "r", "event_type": "x"},
+                {"report_number": "r", "event_type": "x"}).select(*S.BRONZE_COLUMNS)
+    assert rows(events_silver(df), "report_number", "event_type") == [("r", "x")]
+    assert devices_silver(df).count() == 1
+
+
+# --- devices -------------------------------------------------------------------------------
+
+def test_device_arrays(spark):
+    texts = ["[]", "null", "", None, '"s"', '[{"brand_name": "cut"', '{"brand_name": "single"}',
+             "[null]", '[{"brand_name": 5, "unknown": 1}]',
+             '[{"brand_name":"x","device_sequence_no":"1"},'
+             '{"brand_name":"y","device_sequence_no":"2"}]']
+    df = devices_silver(bronze_text(spark, "device", *texts))
+    got = {}
+    for r in df.collect():
+        got.setdefault(int(r.report_number), []).append(r.brand_name)
+    assert {i: sorted(v, key=str) for i, v in got.items()} == {
+        **{i: [None] for i in (0, 1, 2, 3, 4, 5, 7)}, 6: ["single"], 8: ["5"], 9: ["x", "y"]}
+    assert df.columns == S.DEVICES_SCHEMA.names
+
+
+def test_sequence_numbers_are_unique_per_report(spark):
+    df = bronze(spark, {"report_number": "r", "device": [
+        {"brand_name": "first", "device_sequence_no": "1"},
+        {"brand_name": "again", "device_sequence_no": "1"},
+        {"brand_name": "none"}, {"brand_name": "none again"},
+        {"brand_name": "two", "device_sequence_no": "2"}]})
+    assert rows(devices_silver(df), "device_sequence_no", "brand_name") == [
+        (None, "none"), ("1", "first"), ("2", "two")]
+
+
+def versions(spark):
+    old = {"report_number": "r", "_ingested_at": "2024-01-01T00:00:00Z", "device": [
+        {"brand_name": "a", "device_sequence_no": "1"},
+        {"brand_name": "dropped", "device_sequence_no": "2"}],
+        "mdr_text": [{"foi_text": "one"}]}
+    new = {"report_number": "r", "_ingested_at": "2024-02-01T00:00:00Z", "device": [
+        {"brand_name": "b", "device_sequence_no": "1"}],
+        "mdr_text": [{"foi_text": "one"}, {"foi_text": "two"}]}
+    return bronze(spark, old, new)
+
+
+def test_devices_of_superseded_versions(spark):
+    df = versions(spark)
+    assert rows(devices_silver(df), "brand_name") == [("b",)]
+    assert rows(devices_silver(df, latest_only=False), "brand_name") == [("b",), ("dropped",)]
+
+
+# --- narratives ----------------------------------------------------------------------------
+
+def test_narratives(spark):
+    df = narratives_silver(bronze(
+        spark,
+        {"report_number": "r", "date_received": "20230115", "mdr_text": [
+            {"text_type_code": "D", "foi_text": "text", "mdr_text_key": "1"},
+            {"text_type_code": "D", "foi_text": "", "mdr_text_key": "2"},
+            {"text_type_code": "D", "foi_text": None, "mdr_text_key": "3"},
+            {"text_type_code": "D"}, None]},
+        {"report_number": "none"}, {"report_number": "empty", "mdr_text": []}))
+    assert rows(df, "report_number", "date_received", "narrative_text", "mdr_text_key") == [
+        ("r", date(2023, 1, 15), "", "2"), ("r", date(2023, 1, 15), "text", "1")]
+    assert df.columns == S.NARRATIVES_SCHEMA.names
+
+
+def test_narratives_of_superseded_versions(spark):
+    df = versions(spark)
+    assert rows(narratives_silver(df), "narrative_text") == [("one",), ("two",)]
+    assert rows(narratives_silver(df, latest_only=False), "narrative_text") == [
+        ("one",), ("one",), ("two",)]
+
+
+def test_landing_the_same_input_twice_changes_nothing(spark):
+    df = versions(spark)
+    for table in (events_silver, devices_silver, narratives_silver):
+        once, twice = table(df), table(df.unionByName(df))
+        assert rows(once, *once.columns) == rows(twice, *once.columns)
+
+
+def test_latest_reports_against_brute_force(spark):
+    import random
+    pick = random.Random(7)
+    reports = [{"report_number": pick.choice(["hot", "hot", *map(str, range(20))]),
+                "mdr_report_key": str(pick.randrange(5)), "event_type": str(i),
+                "_ingested_at": f"2024-01-{pick.randrange(1, 29):02}T00:00:00Z"}
+               for i in range(400)]
+    df = bronze(spark, *reports).repartition(7)
+    best = {}
+    for r in df.collect():
+        rank = (r._ingested_at, r.mdr_report_key, r._record_hash)
+        best[r.report_number] = max(best.get(r.report_number, (rank, r.event_type)),
+                                    (rank, r.event_type))
+    assert rows(latest_reports(df), "report_number", "event_type") == sorted(
+        (number, kind) for number, (_, kind) in best.items())
