@@ -68,7 +68,9 @@ def flagged_narratives(narratives: DataFrame, events: DataFrame,
     """Narrative blocks that mention a keyword, with the report they belong to.
 
     The text is filtered before the join, so only hits are shuffled. Events are unique per
-    report; a report with very many hits is on the side an adaptive skew join can split.
+    report, and a report with very many hits is on the side an adaptive skew join can split.
+    It does so where both sides are shuffled for the join: pass events as read from their
+    table, as events straight from the deduplication are already partitioned.
     """
     hits = narratives.where(has_keyword("narrative_text", keywords)).select(
         "report_number", "text_type_code", "narrative_text",
@@ -84,6 +86,7 @@ def order_of(table: str) -> list[Column]:
     """The reading order of a gold table. Ties are broken, so a top n is reproducible.
 
     Narrative text enters as its digest: sort keys are sampled on the driver and stay small.
+    The tie-breaks also let Spark split a date or report that many rows share.
     """
     def up(*names: str) -> list[Column]:
         return [F.col(n).asc_nulls_first() for n in names]

@@ -190,7 +190,7 @@ def matched_keywords_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _flagged(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     narratives = silver.narratives_silver(feed.text_bronze(spark, sf_dir), latest_only=False)
-    return gold.flagged_narratives(narratives, _events(spark, sf_dir), **options)
+    return gold.flagged_narratives(narratives, events_partitioned(spark, sf_dir), **options)
 
 
 def flagged_narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
