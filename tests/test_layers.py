@@ -25,7 +25,7 @@ def at(request, tmp_path, spark):
     if request.param == "paths":
         yield Locations(f"{base}/landing", f"{base}/bronze", f"{base}/silver/", f"{base}/gold/")
         return
-    yield Locations(f"{base}/landing", f"{base}/bronze", "clean.", "analysis.")
+    yield Locations(f"{base}/landing", f"{base}/bronze", "clean.", "analysis.", {"events": "reports"})
     spark.sql("DROP SCHEMA IF EXISTS clean CASCADE")
     spark.sql("DROP SCHEMA IF EXISTS analysis CASCADE")
 
@@ -46,14 +46,14 @@ def test_job_from_source_to_analysis(spark, at):
     expected = [("devices", 2), ("events", 2), ("narratives", 2)]
     counts = refresh_silver(spark, params("r2"), at)
     assert rows(counts, "layer", "row_count") == expected
-    assert tables.read(spark, at.silver + "quarantine").count() == 1
+    assert tables.read(spark, at.clean("quarantine")).count() == 1
     events = read_silver(spark, at)["events"]
     assert rows(events, "report_number", "event_type", "year", "month") == [
         ("1", "Death", 2023, 1), ("2", "Injury", 2023, 2)]
     assert rows(refresh_gold(spark, params("r2"), at), "layer", "row_count") == [
         ("event_summary", 2), ("flagged_narratives", 1), ("outcome_breakdown", 1),
         ("product_risk", 1)]
-    flagged = tables.read(spark, at.gold + "flagged_narratives")
+    flagged = tables.read(spark, at.analysis("flagged_narratives"))
     assert rows(flagged, "report_number", "matched_keywords", "event_type") == [
         ("1", "recall", "Death")]
     # Rebuilding from the same raw layer, and repeating a run, change nothing.
@@ -73,7 +73,8 @@ def test_all_versions(spark, at):
 
 def test_run_without_matches(spark, at):
     none = raw(spark, report("1", "19990101", "old"))
-    assert ingest(none, params("r1"), at).collect() == []
+    summary = ingest(none, params("r1"), at).first()
+    assert (summary.run_id, summary.total_pages, summary.total_records) == ("r1", 0, 0)
     assert {r.row_count for r in refresh_silver(spark, params("r1"), at).collect()} == {0}
     assert {r.row_count for r in refresh_gold(spark, params("r1"), at).collect()} == {0}
 
