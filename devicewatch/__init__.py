@@ -1,5 +1,7 @@
 """Adverse-event report analytics on Spark: landed pages to clean and analysis tables."""
 
 from devicewatch.params import JobParams, new_run_id
+from devicewatch.plans.layers import Locations, ingest, refresh_gold, refresh_silver
 
-__all__ = ["JobParams", "new_run_id"]
+__all__ = [
+    "JobParams", "Locations", "ingest", "new_run_id", "refresh_gold", "refresh_silver"]

@@ -103,43 +103,46 @@ FROM (
 {tail}"""
 
 
-_OUTCOMES = """,
+def _outcomes(source: str) -> str:
+    """CTE: one row per report and outcome code, from rows of (report_number, yr, codes)."""
+    return f""",
 outcomes AS (
   SELECT *, CASE outcome_code WHEN '1' THEN 'Death' WHEN '2' THEN 'Life Threatening'
     WHEN '3' THEN 'Hospitalization' WHEN '4' THEN 'Disability' WHEN '5' THEN 'Congenital Anomaly'
     WHEN '6' THEN 'Required Intervention' WHEN '7' THEN 'Other'
     ELSE 'No Information' END AS outcome_label
   FROM (
-    SELECT report_number, yr AS year, unnest(coalesce(codes, [NULL])) AS outcome_code FROM rep)
+    SELECT report_number, yr AS year, unnest(coalesce(codes, [NULL])) AS outcome_code
+    FROM {source})
 )"""
 
-# Device list of each version: the item and, for returned items, an accessory.
-_DEV = """,
+
+def _devices(source: str) -> str:
+    """CTE: the device list of each version: the item and, for returned items, an accessory."""
+    common = "report_number, fetched, mdr_report_key, p_brand, s_name, p_name, p_type"
+    return f""",
 dev AS (
-  SELECT report_number, fetched, mdr_report_key, 0 AS pos, p_brand, p_type AS generic, s_name,
-    p_name, l_partkey, l_suppkey, l_linenumber AS seq, implant, has_line
+  SELECT {common}, l_partkey, l_suppkey, implant, 0 AS pos, p_type AS generic,
+    l_linenumber AS seq
   FROM {source}
   UNION ALL
-  SELECT report_number, fetched, mdr_report_key, 1, p_brand, 'ACCESSORY', s_name, p_name,
-    l_partkey, l_suppkey,
-    CASE WHEN l_linestatus = 'F' THEN l_linenumber ELSE l_linenumber + 7 END, implant, has_line
+  SELECT {common}, l_partkey, l_suppkey, implant, 1, 'ACCESSORY',
+    CASE WHEN l_linestatus = 'F' THEN l_linenumber ELSE l_linenumber + 7 END
   FROM {source} WHERE l_returnflag = 'R'
 )"""
 
+
 _DEVICE_SELECT = """
 SELECT report_number, p_brand AS brand_name, generic AS generic_name,
   s_name AS manufacturer_name, p_name AS model_number,
   CAST(l_partkey AS VARCHAR) AS catalog_number, 'LOT-' || l_suppkey AS lot_number,
   CAST(seq AS VARCHAR) AS device_sequence_no, implant AS implant_flag,
-  substr(p_type_code, 1, 3) AS product_code, fetched AS _ingested_at
+  substr(p_type, 1, 3) AS product_code, fetched AS _ingested_at
 FROM (
   SELECT *, row_number() OVER (PARTITION BY report_number, seq
                                ORDER BY fetched DESC, mdr_report_key DESC, pos) AS rank
   FROM dev) WHERE rank = 1"""
 
-_DEV = _DEV.replace("implant, has_line", "implant, p_type AS p_type_code", 1).replace(
-    "implant, has_line", "implant, p_type", 1)
-
 _TEXTS = """
 doc AS (
   SELECT doc_id, lang, text,
@@ -275,22 +278,20 @@ record AS (
 
 # Reports of both runs, as the events table sees them when the runs share one raw layer: a
 # document's report is newer than any version of the order with its number.
-_ALL_EVENTS = _REP + "," + _TEXTS + _OUTCOMES.replace("FROM rep)", """FROM (
-      SELECT report_number, yr, codes FROM rep WHERE report_number NOT IN (
-        SELECT CAST(doc_id AS VARCHAR) FROM documents)
-      UNION ALL SELECT CAST(doc_id AS VARCHAR), CAST(year(received) AS INTEGER), NULL FROM doc
-      UNION ALL SELECT 'C' || conv_id, NULL, NULL FROM turn WHERE version = 1))""") + """,
+_ALL_EVENTS = _REP + "," + _TEXTS + """,
 ev AS (
-  SELECT report_number, received, kind, p_brand, p_type, class_text, l_linenumber, l_linestatus,
+  SELECT report_number, received, yr, codes, kind, p_brand, p_type, class_text, l_linestatus,
     l_returnflag
   FROM rep
   WHERE report_number NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM documents)
   UNION ALL
-  SELECT CAST(doc_id AS VARCHAR), received, NULL, NULL, NULL, '[]', NULL, NULL, NULL FROM doc
+  SELECT CAST(doc_id AS VARCHAR), received, CAST(year(received) AS INTEGER), NULL, NULL, NULL,
+    NULL, '[]', NULL, NULL
+  FROM doc
   UNION ALL
-  SELECT 'C' || conv_id, NULL, NULL, NULL, NULL, '[]', NULL, NULL, NULL
+  SELECT 'C' || conv_id, NULL, NULL, NULL, NULL, NULL, NULL, '[]', NULL, NULL
   FROM turn WHERE version = 1
-)"""
+)""" + _outcomes("ev")
 
 ORACLE: dict[str, str] = {
     "event_summary": _with(_REP, f"""
@@ -301,8 +302,8 @@ FROM rep GROUP BY 1, 2, 3"""),
     "product_risk": _with(_REP, _product_risk("rep")),
     "product_risk_all_versions": _with(_SUB, _product_risk("sub")),
     "product_risk_top20": _with(_REP, _product_risk("rep", _TOP_RISK)),
-    "outcome_codes": _with(_REP + _OUTCOMES, "SELECT * FROM outcomes"),
-    "outcome_breakdown": _with(_REP + _OUTCOMES, """
+    "outcome_codes": _with(_REP + _outcomes("rep"), "SELECT * FROM outcomes"),
+    "outcome_breakdown": _with(_REP + _outcomes("rep"), """
 SELECT year, outcome_label, count(report_number) AS report_count FROM outcomes GROUP BY 1, 2"""),
     "reports_latest": _with(_REP, """
 SELECT report_number, mdr_report_key, kind AS event_type, fetched AS _ingested_at FROM rep"""),
@@ -311,8 +312,8 @@ SELECT report_number, mdr_report_key, kind AS event_type, fetched AS _ingested_a
     "events_partition_slice": _with(_REP, """
 SELECT report_number, kind AS event_type, received AS date_received, yr AS year, mon AS month
 FROM rep WHERE yr BETWEEN 1996 AND 1998"""),
-    "devices_silver": _with(_REP + _DEV.format(source="rep"), _DEVICE_SELECT),
-    "devices_silver_all_versions": _with(_SUB + _DEV.format(source="sub"), _DEVICE_SELECT),
+    "devices_silver": _with(_REP + _devices("rep"), _DEVICE_SELECT),
+    "devices_silver_all_versions": _with(_SUB + _devices("sub"), _DEVICE_SELECT),
     "narratives_silver": _with(
         _TEXTS, f"SELECT {_NARRATIVE_COLUMNS} FROM narrative WHERE version = 1"),
     "narratives_silver_all_versions": _with(
