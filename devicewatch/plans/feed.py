@@ -18,7 +18,7 @@ from devicewatch.params import JobParams
 
 # The search the derived reports are stamped with and, in the search queries, filtered by.
 PARAMS = JobParams(
-    manufacturer="Supplier#00000001", date_from="1996-01-01", date_to="1998-12-31",
+    manufacturer="Supplier#00000000", date_from="1996-01-01", date_to="1998-12-31",
     run_id="run_reports")
 TEXT_RUN = "run_texts"
 # Terms that occur in the document and conversation texts.

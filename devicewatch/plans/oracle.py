@@ -244,7 +244,7 @@ _BRONZE = {
     "patient_raw": f"""CASE WHEN codes IS NULL THEN '[]' ELSE '[{{"sequence_number_outcome":'
   || {_CODE_TEXT} || ',"date_of_birth":"' || strftime(o_orderdate, '%Y') || '"}}]' END""",
     "_ingested_at": "fetched",
-    "_manufacturer_filter": "'Supplier#00000001'",
+    "_manufacturer_filter": "'Supplier#00000000'",
     "_date_from": "'19960101'",
     "_date_to": "'19981231'",
     "_run_id": "'run_reports'",
@@ -260,7 +260,7 @@ def _bronze(wrap: str = "{}", skip: tuple[str, ...] = ()) -> str:
 
 # Any device of the version is made by the supplier of its line.
 _SEARCH = """FROM sub WHERE received BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'
-  AND contains(lower(s_name), 'supplier#00000001')"""
+  AND contains(lower(s_name), 'supplier#00000000')"""
 
 _TOP_RISK = """ORDER BY total_reports DESC, brand_name NULLS FIRST, generic_name NULLS FIRST,
   device_class NULLS FIRST LIMIT 20"""
@@ -328,7 +328,7 @@ SELECT * FROM (
     "flagged_latest20": _flagged(TEXT_KEYWORDS, _TOP_FLAGGED),
     "search_filter": _with(_SUB, f"""
 SELECT report_number, mdr_report_key, received_text AS date_received,
-  'Supplier#00000001' AS _manufacturer_filter, '19960101' AS _date_from,
+  'Supplier#00000000' AS _manufacturer_filter, '19960101' AS _date_from,
   '19981231' AS _date_to {_SEARCH}"""),
     "matching_count": _with(_SUB, f"SELECT count(*) AS total {_SEARCH}"),
     "page_plan": _with(_SUB, """
@@ -360,7 +360,7 @@ SELECT CAST(doc_id AS VARCHAR), lang, '2002-01-01T00:00:00Z', 'run_texts',
 UNION ALL
 SELECT 'C' || conv_id, CAST(turn AS VARCHAR), fetched, 'run_texts', 1 FROM turn"""),
     "run_summary": _with(_RUN_FILES, """
-SELECT run_id, 'Supplier#00000001' AS manufacturer, '19960101' AS date_from,
+SELECT run_id, 'Supplier#00000000' AS manufacturer, '19960101' AS date_from,
   '19981231' AS date_to, count(DISTINCT file) AS total_pages, count(*) AS total_records,
   'tables' AS landing_path, 'bronze' AS bronze_table, max(fetched) AS completed_at
 FROM record GROUP BY run_id"""),

@@ -90,8 +90,9 @@ def test_landing_twice_appends_unless_the_run_is_replaced(spark, tmp_path):
         assert landing.read_pages(spark, str(tmp_path)).count() == expected
 
 
-def test_array_pages(spark, tmp_path):
-    run = tmp_path / "_run_id=20240101"
+@pytest.mark.parametrize("folder", ["20240101", "_run_id=20240101"])
+def test_array_pages(spark, tmp_path, folder):
+    run = tmp_path / folder
     write_page(run, "page_0001.json", [report("a"), report("b")])
     write_page(run, "page_0002.json", [report("c")])
     write_page(run, "page_0003.json", [])
@@ -106,6 +107,8 @@ def test_array_pages(spark, tmp_path):
     assert broken[0][S.SOURCE_FILE].endswith("page_0004.json")
     first = flatten(whole).where("report_number = 'a'").first()
     assert first.manufacturer_name == "ACME HEALTH INC"
+    one_run = landing.read_pages(spark, str(run), whole_file_pages=True)
+    assert {r[S.RUN_ID] for r in one_run.collect()} == {"20240101"}
 
 
 def test_array_and_line_pages_give_equal_class_keys(spark, tmp_path):
@@ -130,6 +133,12 @@ def test_saved_responses(spark, tmp_path):
     assert rows(search(got, PARAMS), "report_number") == [("a",), ("b",), ("c",)]
 
 
+def test_cut_off_response_is_an_error(spark, tmp_path):
+    write_page(tmp_path, "1.json", '{"meta": {"results": {"total": 3}}, "results": [{"rep')
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+        landing.read_responses(spark, str(tmp_path)).collect()
+
+
 def test_no_match_response_counts_zero(spark, tmp_path):
     write_page(tmp_path, "1.json", {"error": {"message": "No matches found!"}})
     assert landing.reported_total(spark, str(tmp_path)).first().total == 0
@@ -169,6 +178,15 @@ def test_run_summary(spark):
         ("land/r2/page_0001.json", 1)]
 
 
+def test_stream_of_array_pages(spark, tmp_path):
+    land, bronze, offsets = (str(tmp_path / d) for d in ("land", "bronze", "offsets"))
+    for run, number in (("r1", "a"), ("r2", "b")):
+        write_page(tmp_path / "land" / run, "page_0001.json", [report(number)])
+        ingest_new_pages(spark, land, bronze, offsets, whole_file_pages=True).awaitTermination()
+    assert rows(tables.read_bronze(spark, bronze), "report_number", S.RUN_ID) == [
+        ("a", "r1"), ("b", "r2")]
+
+
 def test_stream_picks_up_new_pages_only(spark, tmp_path):
     land, bronze, offsets = (str(tmp_path / d) for d in ("land", "bronze", "offsets"))
 

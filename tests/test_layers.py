@@ -1,9 +1,19 @@
+import json
+
 import pytest
 from records import raw, rows
 
 from devicewatch import JobParams
-from devicewatch.plans.layers import Locations, ingest, read_silver, refresh_gold, refresh_silver
+from devicewatch.plans.layers import (
+    Locations,
+    ingest,
+    load_pages,
+    read_silver,
+    refresh_gold,
+    refresh_silver,
+)
 from devicewatch.sources import shared, tables
+from devicewatch.sources.landing import read_pages
 
 
 def report(number, day, text, kind="Injury"):
@@ -79,6 +89,20 @@ def test_run_without_matches(spark, at):
     assert {r.row_count for r in refresh_gold(spark, params("r1"), at).collect()} == {0}
 
 
+def test_pages_saved_by_another_client(spark, tmp_path):
+    """Array pages in a folder per run, stamped at fetch; loading a run again changes nothing."""
+    at = Locations(f"{tmp_path}/raw", f"{tmp_path}/b", f"{tmp_path}/s/", f"{tmp_path}/g/")
+    folder = tmp_path / "raw" / "run_1"
+    folder.mkdir(parents=True)
+    stamped = {**report("1", "20230101", "died"), "_ingested_at": "2024-01-01T00:00:00Z"}
+    (folder / "page_0001.json").write_text(json.dumps([stamped, stamped], indent=2))
+    for _ in range(2):
+        load_pages(read_pages(spark, at.landing, whole_file_pages=True), at)
+    assert tables.read_bronze(spark, at.bronze).count() == 2
+    assert rows(refresh_silver(spark, params("run_1"), at), "layer", "row_count") == [
+        ("devices", 1), ("events", 1), ("narratives", 1)]
+
+
 def test_schema_may_change_on_overwrite(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.overwrite(spark.range(3), path)
