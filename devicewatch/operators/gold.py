@@ -86,7 +86,8 @@ def order_of(table: str) -> list[Column]:
     """The reading order of a gold table. Ties are broken, so a top n is reproducible.
 
     Narrative text enters as its digest: sort keys are sampled on the driver and stay small.
-    The tie-breaks also let Spark split a date or report that many rows share.
+    The tie-breaks also let Spark split a date or report that many rows share; only identical
+    copies stay together, which narratives of the latest versions have within one record.
     """
     def up(*names: str) -> list[Column]:
         return [F.col(n).asc_nulls_first() for n in names]

@@ -181,17 +181,18 @@ def _matched(text: str, keywords: tuple[str, ...]) -> str:
     return f"concat_ws(', ', {hits})"
 
 
-def _flagged(keywords: tuple[str, ...], tail: str = "") -> str:
+def _flagged(keywords: tuple[str, ...], latest_only: bool, tail: str = "") -> str:
+    blocks = "(SELECT * FROM narrative WHERE version = 1)" if latest_only else "narrative"
     return _with(_REP + "," + _TEXTS, f"""
 SELECT * FROM (
   SELECT n.report_number, r.received AS date_received, p_brand AS brand_name,
     p_type AS generic_name, kind AS event_type, text_type_code, narrative_text,
     {_matched('narrative_text', keywords)} AS matched_keywords
-  FROM narrative n LEFT JOIN rep r ON r.report_number = n.report_number)
+  FROM {blocks} n LEFT JOIN rep r ON r.report_number = n.report_number)
 WHERE matched_keywords <> '' {tail}""")
 
 
-_FDA = """'{"device_class":' || class_text || ',"regulation_number":' || regulation_text
+_CLASSES = """'{"device_class":' || class_text || ',"regulation_number":' || regulation_text
   || ',"medical_specialty_description":"' || p_type || '"}'"""
 
 
@@ -203,7 +204,7 @@ def _device_json(generic: str, seq: str) -> str:
   || '","device_event_key":"' || mdr_report_key || '","implant_flag":"' || implant
   || '","device_availability":"' || l_linestatus || '","device_report_product_code":"'
   || substr(p_type, 1, 3) || '"'
-  || CASE WHEN l_linestatus = 'F' THEN ',"openfda":' || {_FDA} ELSE '' END || '}}'"""
+  || CASE WHEN l_linestatus = 'F' THEN ',"openfda":' || {_CLASSES} ELSE '' END || '}}'"""
 
 
 _BRONZE = {
@@ -323,9 +324,9 @@ SELECT * FROM (
   SELECT doc_id, {_matched('text', TEXT_KEYWORDS)} AS matched_keywords,
     {_matched('text', HIGH_RISK_KEYWORDS)} AS matched_high_risk
   FROM documents) WHERE matched_keywords <> ''""",
-    "flagged_narratives": _flagged(HIGH_RISK_KEYWORDS),
-    "flagged_custom": _flagged(TEXT_KEYWORDS),
-    "flagged_latest20": _flagged(TEXT_KEYWORDS, _TOP_FLAGGED),
+    "flagged_narratives": _flagged(HIGH_RISK_KEYWORDS, latest_only=True),
+    "flagged_custom": _flagged(TEXT_KEYWORDS, latest_only=False),
+    "flagged_latest20": _flagged(TEXT_KEYWORDS, False, _TOP_FLAGGED),
     "search_filter": _with(_SUB, f"""
 SELECT report_number, mdr_report_key, received_text AS date_received,
   'Supplier#00000000' AS _manufacturer_filter, '19960101' AS _date_from,

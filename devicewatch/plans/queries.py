@@ -188,23 +188,22 @@ def matched_keywords_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         matched_keywords("text").alias("matched_high_risk"))
 
 
-def _flagged(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    narratives = silver.narratives_silver(feed.text_bronze(spark, sf_dir), latest_only=False)
+def _flagged(spark: SparkSession, sf_dir: str, latest_only: bool, **options) -> DataFrame:
+    narratives = silver.narratives_silver(feed.text_bronze(spark, sf_dir), latest_only)
     return gold.flagged_narratives(narratives, events_partitioned(spark, sf_dir), **options)
 
 
 def flagged_narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.ordered(_flagged(spark, sf_dir), "flagged_narratives")
+    return gold.ordered(_flagged(spark, sf_dir, latest_only=True), "flagged_narratives")
 
 
 def flagged_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.ordered(_flagged(spark, sf_dir, keywords=feed.TEXT_KEYWORDS),
-                        "flagged_narratives")
+    return _flagged(spark, sf_dir, latest_only=False, keywords=feed.TEXT_KEYWORDS)
 
 
 def flagged_latest20(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.top(_flagged(spark, sf_dir, keywords=feed.TEXT_KEYWORDS),
-                    "flagged_narratives", 20)
+    hits = _flagged(spark, sf_dir, latest_only=False, keywords=feed.TEXT_KEYWORDS)
+    return gold.top(hits, "flagged_narratives", 20)
 
 
 def layer_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
