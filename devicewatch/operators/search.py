@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from devicewatch import schemas as S
 from devicewatch.functions.columns import report_date
 from devicewatch.params import JobParams
 
@@ -33,13 +34,14 @@ def search(raw: DataFrame, params: JobParams) -> DataFrame:
 
 
 def stamp(raw: DataFrame, params: JobParams, ingested_at: Column | str) -> DataFrame:
-    """Lineage on every record: when it was fetched and with which search."""
+    """Lineage on every record: when it was fetched, by which run and with which search."""
     fetched = F.lit(ingested_at) if isinstance(ingested_at, str) else ingested_at
     return raw.withColumns({
         "_ingested_at": fetched,
         "_manufacturer_filter": F.lit(params.manufacturer),
         "_date_from": F.lit(params.date_from),
         "_date_to": F.lit(params.date_to),
+        S.RUN_ID: F.lit(params.run_id),
     })
 
 

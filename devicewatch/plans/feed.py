@@ -8,6 +8,8 @@ wrong (dates in another layout, blank flags, missing arrays) follow from column
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ from devicewatch.params import JobParams
 PARAMS = JobParams(
     manufacturer="Supplier#00000000", date_from="1996-01-01", date_to="1998-12-31",
     run_id="run_reports")
-TEXT_RUN = "run_texts"
+TEXT_PARAMS = dataclasses.replace(PARAMS, run_id="run_texts")
 # Terms that occur in the document and conversation texts.
 TEXT_KEYWORDS = ("license", "free", "apache", "death", "mit ", "copyright")
 
@@ -133,7 +135,6 @@ def device_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "yyyy-MM-dd'T00:00:00Z'").alias("_fetched"),
         # The report key spells out the whole line, so it identifies the content.
         F.xxhash64("o_orderkey", "_key").alias(S.RECORD_HASH),
-        F.lit(PARAMS.run_id).alias(S.RUN_ID),
         F.when(has_line, "tables/lineitem").otherwise("tables/orders").alias(S.SOURCE_FILE))
     return stamp(raw, PARAMS, F.col("_fetched")).drop("_fetched")
 
@@ -145,9 +146,8 @@ def _text_report(df: DataFrame, number: Column, key: Column, received: Column, b
     raw = df.select(
         *[given.get(n, F.lit(None).cast("string")).alias(n)
           for n in S.RAW_SCALARS + S.RAW_NESTED],
-        F.lit(TEXT_RUN).alias(S.RUN_ID), F.lit(source).alias(S.SOURCE_FILE),
-        fetched.alias("_fetched"))
-    return stamp(raw, PARAMS, F.col("_fetched")).drop("_fetched")
+        F.lit(source).alias(S.SOURCE_FILE), fetched.alias("_fetched"))
+    return stamp(raw, TEXT_PARAMS, F.col("_fetched")).drop("_fetched")
 
 
 def text_reports(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,30 +25,36 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a lazy plan."""
     return silver.events_silver(feed.device_bronze(spark, sf_dir))
 
 
 # --- raw layer ---------------------------------------------------------------------------
 
 def search_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reports that match a manufacturer phrase and a date range."""
     hits = search(feed.device_reports(spark, sf_dir), feed.PARAMS)
     return hits.select("report_number", "mdr_report_key", "date_received",
                        "_manufacturer_filter", "_date_from", "_date_to")
 
 
 def matching_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many reports match the search."""
     return count_matching(search(feed.device_reports(spark, sf_dir), feed.PARAMS))
 
 
 def page_plan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages a fetch of all reports consists of."""
     return page_plan(feed.device_reports(spark, sf_dir), feed.PARAMS.page_limit)
 
 
 def bronze_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Device reports as flat text rows."""
     return feed.device_bronze(spark, sf_dir).drop(S.RECORD_HASH)
 
 
 def bronze_flatten_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Narrative reports as flat text rows, their blocks counted."""
     flat = feed.text_bronze(spark, sf_dir)
     return flat.select(
         "report_number", "mdr_report_key", "date_received", "device_raw", "device_class",
@@ -56,10 +62,12 @@ def bronze_flatten_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def null_to_empty_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat rows with empty text instead of NULL."""
     return null_to_empty(feed.device_bronze(spark, sf_dir)).drop(S.RECORD_HASH)
 
 
 def date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three report dates, NULL where the text is no date."""
     return feed.device_reports(spark, sf_dir).select(
         "report_number", "mdr_report_key",
         *[report_date(c).alias(c) for c in ("date_received", "date_of_event", "date_report")])
@@ -72,11 +80,13 @@ def _landed(spark: SparkSession, sf_dir: str) -> str:
 
 
 def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports landed as page files, read back and flattened."""
     pages = landing.read_pages(spark, _landed(spark, sf_dir))
     return flatten(landing.intact(pages)).drop(S.RECORD_HASH, S.SOURCE_FILE)
 
 
 def landing_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by way of the file stream."""
     bronze = shared_folder(spark, "bronze")
     ingest_new_pages(spark, _landed(spark, sf_dir), bronze,
                      shared_folder(spark, "offsets")).awaitTermination()
@@ -93,17 +103,20 @@ def _appended(spark: SparkSession, sf_dir: str) -> str:
 
 
 def bronze_append_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs appended, the second with a column more, read with merged schema."""
     merged = tables.read_bronze(spark, _appended(spark, sf_dir), merge_schema=True)
     return merged.select("report_number", "mdr_report_key", "_ingested_at", S.RUN_ID,
                          "narrative_blocks")
 
 
 def run_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages and records of each run."""
     both = feed.device_bronze(spark, sf_dir).unionByName(feed.text_bronze(spark, sf_dir))
     return run_summary(both, "bronze")
 
 
 def run_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of each landed file."""
     both = feed.device_bronze(spark, sf_dir).unionByName(feed.text_bronze(spark, sf_dir))
     return run_files(both)
 
@@ -111,11 +124,13 @@ def run_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- clean tables ------------------------------------------------------------------------
 
 def reports_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest version of each report."""
     latest = latest_reports(feed.device_bronze(spark, sf_dir))
     return latest.select("report_number", "mdr_report_key", "event_type", "_ingested_at")
 
 
 def events_partition_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some years of the written events table: only their partitions are read."""
     path = shared_folder(spark, "events")
     tables.overwrite(_events(spark, sf_dir), path, PARTITIONS["events"])
     written = tables.read(spark, path, S.EVENTS_SCHEMA)
@@ -124,30 +139,36 @@ def events_partition_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as written by year and month and read back."""
     path = shared_folder(spark, "events")
     tables.overwrite(_events(spark, sf_dir), path, PARTITIONS["events"])
     return tables.read(spark, path, S.EVENTS_SCHEMA)
 
 
 def devices_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Devices of the latest report versions."""
     return silver.devices_silver(feed.device_bronze(spark, sf_dir))
 
 
 def devices_silver_all_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Devices of all report versions, the latest of each."""
     return silver.devices_silver(feed.device_bronze(spark, sf_dir), latest_only=False)
 
 
 def narratives_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Narrative blocks of the latest report versions."""
     return silver.narratives_silver(feed.text_bronze(spark, sf_dir))
 
 
 def narratives_silver_all_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Narrative blocks of all report versions."""
     return silver.narratives_silver(feed.text_bronze(spark, sf_dir), latest_only=False)
 
 
 # --- analysis tables ---------------------------------------------------------------------
 
 def event_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report volume by year, month and event type, in order."""
     return gold.ordered(gold.event_summary(_events(spark, sf_dir)), "event_summary")
 
 
@@ -156,10 +177,12 @@ def _product_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Risk by product, most reports first."""
     return gold.ordered(_product_risk(spark, sf_dir), "product_risk")
 
 
 def product_risk_all_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Risk by product over all versions, reports counted once in unique_reports."""
     flagged = feed.device_bronze(spark, sf_dir).select(
         "report_number", "brand_name", "generic_name", "device_class",
         report_date("date_received").alias("date_received"),
@@ -169,18 +192,22 @@ def product_risk_all_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_risk_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 products with most reports."""
     return gold.top(_product_risk(spark, sf_dir), "product_risk", 20)
 
 
 def outcome_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per report and outcome code, labelled."""
     return gold.outcome_codes(_events(spark, sf_dir))
 
 
 def outcome_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes by year, most frequent first."""
     return gold.ordered(gold.outcome_breakdown(_events(spark, sf_dir)), "outcome_breakdown")
 
 
 def matched_keywords_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain a term, with the terms of two lists found."""
     documents = feed.table(spark, sf_dir, "documents").select("doc_id", "text")
     return documents.where(has_keyword("text", feed.TEXT_KEYWORDS)).select(
         "doc_id",
@@ -194,19 +221,23 @@ def _flagged(spark: SparkSession, sf_dir: str, latest_only: bool, **options) ->
 
 
 def flagged_narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Narratives of the latest versions with a default keyword, newest first."""
     return gold.ordered(_flagged(spark, sf_dir, latest_only=True), "flagged_narratives")
 
 
 def flagged_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Narratives of all versions with a term of a custom list."""
     return _flagged(spark, sf_dir, latest_only=False, keywords=feed.TEXT_KEYWORDS)
 
 
 def flagged_latest20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 newest of them."""
     hits = _flagged(spark, sf_dir, latest_only=False, keywords=feed.TEXT_KEYWORDS)
     return gold.top(hits, "flagged_narratives", 20)
 
 
 def layer_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of every layer of a job over both kinds of reports."""
     bronze = tables.read_bronze(spark, _appended(spark, sf_dir))
     clean = {}
     for name, df in silver_tables(bronze, feed.PARAMS).items():

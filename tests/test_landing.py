@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from records import raw, rows
@@ -56,8 +57,8 @@ def test_page_plan_covers_all_records(spark, total):
 
 def test_stamp(spark):
     got = stamp(raw(spark, report("a")), PARAMS, "2024-05-01T10:00:00Z").first()
-    assert (got._ingested_at, got._manufacturer_filter, got._date_from, got._date_to) == (
-        "2024-05-01T10:00:00Z", "acme health", "20230101", "20251231")
+    assert (got._ingested_at, got._manufacturer_filter, got._date_from, got._date_to,
+            got._run_id) == ("2024-05-01T10:00:00Z", "acme health", "20230101", "20251231", "r1")
 
 
 def test_pages_hold_at_most_the_limit_and_round_trip(spark, tmp_path):
@@ -77,6 +78,28 @@ def test_pages_hold_at_most_the_limit_and_round_trip(spark, tmp_path):
     assert rows(landing.intact(back), *columns) == rows(df, *columns)
 
 
+def test_any_text_round_trips(spark, tmp_path):
+    """Random texts, some of them JSON, in flat and nested fields."""
+    pick = random.Random(3)
+    pieces = ['"', "\\", "\n", "\r\n", "\t", "{", "}", "[", "]", ":", ",", "null", "1.50",
+              "é", "\u2028", "😀", "\x01", " ", "a", '"k"', "true"]
+
+    def text():
+        kind = pick.random()
+        made = "".join(pick.choices(pieces, k=pick.randrange(12)))
+        if kind < 0.4:
+            return json.dumps([{"k": made, "n": [1, None, {"x": made}]}], ensure_ascii=kind < 0.2)
+        return None if kind > 0.9 else made
+
+    df = raw(spark, *[{"report_number": str(i), "event_type": text(), "device": text(),
+                       "mdr_text": text(), "_ingested_at": text()} for i in range(500)])
+    landing.write_pages(df, str(tmp_path), PARAMS)
+    back = landing.read_pages(spark, str(tmp_path))
+    assert landing.corrupt(back).collect() == []
+    columns = ["report_number", "event_type", "device", "mdr_text", "_ingested_at"]
+    assert rows(landing.intact(back), *columns) == rows(df, *columns)
+
+
 def test_layout_of_nested_json_becomes_one_line(spark, tmp_path):
     pretty = json.dumps([{"text_type_code": "d", "foi_text": "line\nline"}], indent=2)
     landing.write_pages(raw(spark, report("a", mdr_text=pretty)), str(tmp_path), PARAMS)
