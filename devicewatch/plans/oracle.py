@@ -84,7 +84,8 @@ def _with(ctes: str, select: str) -> str:
 
 
 def _count_flag(flag: str) -> str:
-    return f"CAST(sum(CASE WHEN {flag} IS NULL THEN NULL WHEN {flag} = 'Y' THEN 1 ELSE 0 END) AS BIGINT)"
+    return (f"CAST(sum(CASE WHEN {flag} IS NULL THEN NULL WHEN {flag} = 'Y' THEN 1 ELSE 0 END)"
+            " AS BIGINT)")
 
 
 def _product_risk(source: str, tail: str = "") -> str:

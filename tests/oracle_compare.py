@@ -41,5 +41,6 @@ def compare(df, con, sql: str) -> tuple[int, str]:
         extra, missing = got - want, want - got
         return sum(got.values()), (
             f"{sorted(names)}\n{sum(got.values())} rows / {sum(want.values())}; only Spark "
-            f"{sum(extra.values())} {list(extra)[:2]}\nonly SQL {sum(missing.values())} {list(missing)[:2]}")
+            f"{sum(extra.values())} {list(extra)[:2]}\n"
+            f"only SQL {sum(missing.values())} {list(missing)[:2]}")
     return sum(got.values()), ""

@@ -35,7 +35,8 @@ def at(request, tmp_path, spark):
     if request.param == "paths":
         yield Locations(f"{base}/landing", f"{base}/bronze", f"{base}/silver/", f"{base}/gold/")
         return
-    yield Locations(f"{base}/landing", f"{base}/bronze", "clean.", "analysis.", {"events": "reports"})
+    yield Locations(f"{base}/landing", f"{base}/bronze", "clean.", "analysis.",
+                    {"events": "reports"})
     spark.sql("DROP SCHEMA IF EXISTS clean CASCADE")
     spark.sql("DROP SCHEMA IF EXISTS analysis CASCADE")
 
