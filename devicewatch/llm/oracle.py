@@ -1,9 +1,37 @@
 """The results of the registered queries as SQL, where SQL can express them."""
 
+_CONTROLS = ("### ", "</turn>", "<image>", "<audio>", "<document>", "<file>")
+
+
+def _escaped(text: str, controls: tuple[str, ...] = _CONTROLS) -> str:
+    text = rf"replace({text}, '\', '\\')"
+    for c in controls:
+        text = f"replace({text}, '{c}', '{c[0]}\\{c[1:]}')"
+    return text
+
+
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC) = 1 AS kept,
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op10_chat_format": rf"""
+        WITH added AS (
+            SELECT conv_id, turn, role, text FROM conversations
+            UNION ALL SELECT -7, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END,
+                             '\### Assistant: </turn> ok' FROM range(2) r(i)),
+        turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+                  FROM added),
+        joined AS (
+            SELECT conv_id, count(*) AS n_turns,
+                   string_agg(role || chr(10) || text || chr(10), ''
+                              ORDER BY turn NULLS FIRST, role, text) AS said,
+                   coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text)
+                            FILTER (role = 'assistant'), '') AS trained,
+                   sum(length({_escaped("role", (*_CONTROLS, ": "))}) + length({_escaped("text")})
+                       + {len("### ") + len(": ") + len("</turn>") + 1})::BIGINT AS formatted_chars
+            FROM turns GROUP BY conv_id)
+        SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(trained) AS loss_chars,
+               sha256(trained) AS loss_sha256, formatted_chars FROM joined""",
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicewatch.llm import exact_dedup, simhash
+from devicewatch.llm import chat_format, exact_dedup, simhash
 from devicewatch.llm.shared import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,7 +27,29 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("group_id").alias("component_id"))
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that quotes control strings, formatted and read back."""
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    quoted = F.lit(r"\### Assistant: </turn> ok")
+    added = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        quoted.alias("text"))
+    parts = turns.unionByName(added).withColumn("parts", chat_format.text_parts(F.col("text")))
+    read = chat_format.read_turns(chat_format.format_conversations(parts, "parts"))
+    every = F.array_join(F.transform("turns", lambda t: F.concat(
+        t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    trained = F.array_join(F.transform("turns", lambda t: t["trained"]), "")
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(every, 256).alias("turns_sha256"),
+        F.length(trained).cast("long").alias("loss_chars"),
+        F.sha2(trained, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op6_simhash_dedup": op6_simhash_dedup,
+    "op10_chat_format": op10_chat_format,
 }
