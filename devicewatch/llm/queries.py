@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicewatch.llm import chat_format, exact_dedup, simhash
+from devicewatch.llm import chat_format, exact_dedup, langid, simhash, toxicity
 from devicewatch.llm.shared import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,21 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumnRenamed("id", "doc_id")
 
 
+def _fold(folds: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those of two folds in three."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(_fold(3) != 1))
+    found = docs.select(
+        "doc_id", F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out"),
+        langid.identify("text", model).alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"),
+                        F.col("found.score").alias("score"))
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose fingerprints differ in at most 4 bits."""
     groups = simhash.simhash_groups(read_table(spark, sf_dir, "documents"))
@@ -27,6 +42,16 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("group_id").alias("component_id"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from the labels of four folds in five."""
+    labels = read_table(spark, sf_dir, "labels").where(_fold(5) != 0)
+    model, vectors = toxicity.fit(read_table(spark, sf_dir, "documents"), labels)
+    scored = toxicity.score(vectors, model).withColumnRenamed("id", "doc_id")
+    return scored.select(
+        "doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one that quotes control strings, formatted and read back."""
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -50,6 +75,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_language_id": op4_language_id,
     "op6_simhash_dedup": op6_simhash_dedup,
+    "op8_toxicity": op8_toxicity,
     "op10_chat_format": op10_chat_format,
 }
