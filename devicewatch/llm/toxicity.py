@@ -29,13 +29,14 @@ _VECTOR = "terms array<int>, counts array<int>"
 class Settings:
     """``sample_rows`` bounds the labelled examples (half of them toxic where there are enough).
 
-    ``vocabulary`` bounds the terms, ``least`` is how many examples a term needs, ``nearest`` how
-    many examples vote, ``block`` the examples to a block of postings.
+    ``vocabulary`` bounds the terms, ``least`` and ``lean`` are the toxic examples and the
+    log odds a term needs, ``nearest`` is how many examples vote, ``block`` the examples to a block of postings.
     """
 
     sample_rows: int = 8_000
     vocabulary: int = 4_096
-    least: int = 3
+    least: int = 4
+    lean: float = 2.0
     nearest: int = 15
     block: int = 64
     evidence: int = 3
@@ -64,15 +65,15 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def choose_terms(sample: DataFrame, clean: int, toxic: int, settings: Settings) -> list[str]:
-    """The terms that lean furthest to toxic examples: log odds over their standard error."""
+    """The terms that lean furthest to toxic examples, by log odds less their standard error."""
     counts = (sample.select("text", "toxic")
               .mapInArrow(_term_counts, "term string, clean long, toxic long")
               .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     odds = (F.log((F.col("toxic") + 0.5) / (toxic + 1.0))
             - F.log((F.col("clean") + 0.5) / (clean + 1.0)))
     error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    lean = odds / error
-    kept = (counts.where((F.col("toxic") >= settings.least) & (odds > 1.5) & (lean > 1.6))
+    lean = odds - error
+    kept = (counts.where((F.col("toxic") >= settings.least) & (lean > settings.lean))
             .withColumn("lean", lean).orderBy(F.desc("lean"), "term")
             .limit(settings.vocabulary))
     return [r["term"] for r in kept.select("term").collect()]
@@ -182,9 +183,9 @@ class Model:
 
 
 def _vote(near, toxic: np.ndarray, weight: np.ndarray) -> float:
-    votes = [0.05, 0.05]
+    votes = (weight / weight.sum()).tolist()  # what few and far neighbours leave standing
     for s, e in near:
-        votes[toxic[e]] += weight[toxic[e]] / (1.05 - s)
+        votes[toxic[e]] += weight[toxic[e]] * s / (1.05 - s)
     return float(np.log(votes[1] / votes[0]))
 
 
@@ -241,7 +242,7 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     examples.sort(key=lambda r: (r["id"], r["toxic"], r["vector"]["terms"], r["vector"]["counts"]))
     prior = [there.get(v, 0) / max(1, sizes.get(v, 0)) for v in (0, 1)]
     scale = max(prior) or 1.0
-    weight = np.array([max(p / scale, 1e-3) for p in prior])
+    weight = np.array([max(p / scale, 1e-3) for p in prior])  # of one example in all documents
     toxic = np.array([r["toxic"] for r in examples], dtype=np.int64)
     units = [unit(r["vector"]["terms"], r["vector"]["counts"], idf) for r in examples]
     full = [k for k, (at, _) in enumerate(units) if len(at)]
