@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicewatch.llm import chat_format, exact_dedup, langid, simhash, toxicity
+from devicewatch.llm import (
+    byte_bpe, chat_format, embedding_dedup, exact_dedup, langid, packing, simhash, token_files,
+    toxicity)
 from devicewatch.llm.shared import read_table
+from devicewatch.sources.shared import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +23,21 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumnRenamed("id", "doc_id")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens."""
+    pieces = packing.pack(read_table(spark, sf_dir, "documents"),
+                          public_tokenizers.path("word_bpe_49k.json"), end=1)
+    return pieces.select(
+        F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens", "sequence_id", "offset")
+
+
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors with a cosine of 0.9 or more."""
+    groups = embedding_dedup.embedding_groups(read_table(spark, sf_dir, "embeddings"))
+    return groups.withColumnRenamed("id", "vec_id")
+
+
 def _fold(folds: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
 
@@ -34,6 +53,17 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("found.score").alias("score"))
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by ranks and decoded again."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = byte_bpe.encode("text", path, public_tokenizers.PATTERN)
+    coded = read_table(spark, sf_dir, "documents").select("doc_id", ids.alias("ids"))
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"))
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose fingerprints differ in at most 4 bits."""
     groups = simhash.simhash_groups(read_table(spark, sf_dir, "documents"))
@@ -52,6 +82,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of all documents, written in files of planes and read back."""
+    path = shared_folder(spark, "tokens")
+    token_files.write_tokens(read_table(spark, sf_dir, "documents"), path,
+                             public_tokenizers.path("byte_bpe_50k.json"), end=2)
+    return token_files.read_tokens(spark, path).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one that quotes control strings, formatted and read back."""
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -75,8 +114,12 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_packing": op2_packing,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_language_id": op4_language_id,
+    "op5_byte_bpe": op5_byte_bpe,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op8_toxicity": op8_toxicity,
+    "op9_token_files": op9_token_files,
     "op10_chat_format": op10_chat_format,
 }
