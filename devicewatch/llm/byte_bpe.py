@@ -6,7 +6,7 @@ the bytes of the two merge to these two. So after each byte the encoding of what
 one determined token, and the encodings that longer texts can still use are those of the few places
 from which a token could reach past the last byte. A state holds these places, each with the
 tokens since the last one that all of them share; shared tokens are put out. The lookahead is bounded
-by the longest token. States and steps are made when first needed and kept.
+by the longest token. States and steps are made when first needed.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from devicewatch.llm.shared import whole_text
 from devicewatch.llm.tokens import Encoder
 
-_STATES = 150_000
-_PAIRS = 1_000_000
+_STATES = 60_000
+_PAIRS = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -49,8 +49,24 @@ def merge(data: bytes, ranks: dict[bytes, int], least: int = 1) -> list[bytes]:
     return parts
 
 
+class _State:
+    """The last token put out, and for each place the tokens since then and the bytes after it.
+
+    The last place is where the bytes read so far end.
+    """
+
+    __slots__ = ("last", "places", "steps", "kept")
+
+    def __init__(self, last: int | None, places: tuple) -> None:
+        self.last, self.places, self.kept = last, places, False
+        self.steps: dict[int, tuple[_State, tuple[int, ...]]] = {}
+
+
 class Transducer:
-    """Bytes to tokens, one step a byte."""
+    """Bytes to tokens, one step a byte.
+
+    Up to a bound, states are kept; a step into a state beyond it is made anew each time.
+    """
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         if any(bytes([b]) not in ranks for b in range(256)):
@@ -66,26 +82,22 @@ class Transducer:
                 self.tokens[token] = rank
             if len(parts) == 2:
                 self.halves[rank] = ranks[parts[0]], ranks[parts[1]]
-        self.open = {t[:k] for t in self.tokens for k in range(len(t))}
+        # What can become or is a token: its rank or -1, and whether more bytes can follow.
+        heads = {t[:k] for t in self.tokens for k in range(len(t))}
+        self._nodes = {t: (self.tokens.get(t, -1), t in heads)
+                       for t in heads | self.tokens.keys()}
         self._pairs: dict[tuple[int, int], bool] = {}
-        self._reset()
-
-    def _reset(self) -> None:
-        # A state: the last token put out, and for each place the tokens since and the bytes after.
-        self._numbers: dict[tuple, int] = {}
-        self._states: list[tuple] = []
-        self._steps: list[dict[int, tuple[int, tuple[int, ...]]]] = []
-        self._ends: list[tuple[int, ...]] = []
-        self._number((None, (((), b""),)))
-
-    def _number(self, state: tuple) -> int:
-        at = self._numbers.get(state)
-        if at is None:
-            at = self._numbers[state] = len(self._states)
-            self._states.append(state)
-            self._steps.append({})
-            self._ends.append(next(path for path, rest in state[1] if not rest))
-        return at
+        self._known: dict[tuple, _State] = {}
+        self._root = self._state(None, (((), b""),))
+
+    def _state(self, last: int | None, places: tuple) -> _State:
+        state = self._known.get((last, places))
+        if state is None:
+            state = _State(last, places)
+            if len(self._known) < _STATES:
+                state.kept = True
+                self._known[last, places] = state
+        return state
 
     def may_follow(self, one: int | None, two: int) -> bool:
         """Whether the bytes of both, merged together, give these two tokens.
@@ -113,43 +125,43 @@ class Transducer:
         self._pairs[one, two] = known
         return known
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        last, places = self._states[state]
-        added = bytes([byte])
-        kept, ended = [], None
-        for path, rest in places:
-            rest = rest + added
-            token = self.tokens.get(rest)
-            if ended is None and token is not None and self.may_follow(
-                    path[-1] if path else last, token):
-                ended = (*path, token)
-            if rest in self.open:
+    def _step(self, state: _State, byte: int) -> tuple[_State, tuple[int, ...]]:
+        added, kept, ended, node_of = bytes((byte,)), [], None, self._nodes.get
+        for path, rest in state.places:
+            rest += added
+            node = node_of(rest)
+            if node is None:
+                continue
+            if node[0] >= 0 and ended is None and self.may_follow(
+                    path[-1] if path else state.last, node[0]):
+                ended = (*path, node[0])
+            if node[1]:
                 kept.append((path, rest))
         if ended is None:
             raise ValueError("the ranks are not those of a byte-pair encoding")
         kept.append((ended, b""))
-        shared = 0
-        shortest = min(len(path) for path, _ in kept)
-        while shared < shortest and len({path[shared] for path, _ in kept}) == 1:
+        shared, shortest = 0, min([len(path) for path, _ in kept])
+        while shared < shortest and all([path[shared] == ended[shared] for path, _ in kept]):
             shared += 1
-        out = ended[:shared]
-        following = self._number((out[-1] if out else last,
-                                  tuple((path[shared:], rest) for path, rest in kept)))
-        made = self._steps[state][byte] = (following, out)
-        return made
+        last, out = state.last, ()
+        if shared:
+            out, last = ended[:shared], ended[shared - 1]
+            kept = [(path[shared:], rest) for path, rest in kept]
+        following = self._state(last, tuple(kept))
+        if following.kept:
+            state.steps[byte] = following, out
+        return following, out
 
     def encode(self, data: bytes) -> list[int]:
-        if len(self._states) > _STATES:
-            self._reset()
-        state, found, steps = 0, [], self._steps
+        state, found = self._root, []
         for byte in data:
-            step = steps[state].get(byte)
+            step = state.steps.get(byte)
             if step is None:
                 step = self._step(state, byte)
             state, out = step
             if out:
                 found += out
-        found += self._ends[state]
+        found += state.places[-1][0]
         return found
 
 
