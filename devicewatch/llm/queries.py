@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devicewatch.llm import (
-    byte_bpe, chat_format, embedding_dedup, exact_dedup, langid, packing, simhash, token_files,
-    toxicity)
+    byte_bpe, chat_format, embedding_dedup, exact_dedup, langid, packing, simhash,
+    suffix_dedup, token_files, toxicity)
 from devicewatch.llm.shared import read_table
 from devicewatch.sources.shared import shared_folder
 
@@ -72,6 +72,19 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("group_id").alias("component_id"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the passages of 50 words or more that stand earlier too."""
+    cut = suffix_dedup.cut_repeats(read_table(spark, sf_dir, "documents"))
+    spans = F.coalesce("spans", F.array().cast("array<struct<start:int,stop:int>>"))
+    words = F.aggregate(spans, F.lit(0), lambda n, s: n + s["stop"] - s["start"])
+    return cut.select(
+        "doc_id", F.size(spans).cast("long").alias("n_spans"),
+        words.cast("long").alias("cut_words"),
+        F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            "-", s["start"].cast("string"), s["stop"].cast("string"))), " ").alias("spans"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document, learned from the labels of four folds in five."""
     labels = read_table(spark, sf_dir, "labels").where(_fold(5) != 0)
@@ -119,6 +132,7 @@ QUERIES: dict[str, Query] = {
     "op4_language_id": op4_language_id,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_simhash_dedup": op6_simhash_dedup,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_token_files": op9_token_files,
     "op10_chat_format": op10_chat_format,
