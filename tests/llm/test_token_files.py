@@ -1,0 +1,62 @@
+import numpy as np
+import public_tokenizers
+import pytest
+from llm import edge
+from tokenizers import Tokenizer
+
+from devicewatch.llm import token_files
+from devicewatch.sources.shared import shared_folder
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def whole(text):
+    t = Tokenizer.from_file(PATH)
+    t.encode_special_tokens = True
+    return t.encode(text or "", add_special_tokens=False).ids + [2]
+
+
+@pytest.mark.parametrize("planes", ["byte", "bit"])
+@pytest.mark.parametrize("n", [0, 1, 7, 8, 1000, 65_536])
+def test_blocks_round_trip(planes, n):
+    ids = np.random.default_rng(n).integers(0, 1 << 32, n, dtype=np.uint64).astype("<u4")
+    data = token_files.encode_block(ids, planes)
+    assert (token_files.decode_block(data) == ids).all()
+
+
+def test_damage_is_found():
+    data = token_files.encode_block(np.arange(100))
+    with pytest.raises(ValueError):
+        token_files.decode_block(b"xxxx" + data[4:])
+    broken = bytearray(data)
+    broken[12] ^= 1
+    with pytest.raises(ValueError):
+        token_files.decode_block(bytes(broken))
+
+
+@pytest.mark.parametrize("planes, block, clash", [("byte", 65_536, False), ("bit", 50, True)])
+def test_files_round_trip(spark, planes, block, clash):
+    path = shared_folder(spark, "tokens")
+    docs = edge.documents(spark, clash=clash)
+    token_files.write_tokens(docs, path, PATH, end=2, planes=planes, block=block)
+    got = token_files.read_tokens(spark, path).orderBy("start").collect()
+    assert len(got) == len(edge.texts())
+    assert [r["id"] for r in got] == sorted([i for i, _ in edge.texts()], key=edge.order)
+    at = 0
+    for r in got:
+        assert r["start"] == at and len(r["ids"]) == 4 * r["n_tokens"]
+        at += r["n_tokens"]
+    ids = {(r["id"], tuple(np.frombuffer(r["ids"], "<u4").tolist())) for r in got}
+    assert ids == {(i, tuple(whole(t))) for i, t in edge.texts()}
+
+
+def test_empty_table_and_no_end(spark):
+    path = shared_folder(spark, "tokens")
+    token_files.write_tokens(edge.documents(spark, []), path, PATH)
+    assert token_files.read_tokens(spark, path).count() == 0
+    path = shared_folder(spark, "tokens")
+    token_files.write_tokens(edge.documents(spark, [(1, None), (2, ""), (3, "a b")]), path, PATH)
+    got = token_files.read_tokens(spark, path).orderBy("id").collect()
+    assert [(r["id"], r["start"], r["n_tokens"]) for r in got] == [(1, 0, 0), (2, 0, 0), (3, 0, 2)]
+    with pytest.raises(ValueError):
+        token_files.write_tokens(edge.documents(spark, []), path, PATH, planes="nibble")
