@@ -23,6 +23,7 @@ _LETTER = "A-Za-z\\xaa\\xb5\\xba\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\u012f\\u0131-\\u02
 _PIECE = re.compile(
     rf" ?[{_LETTER}]++(?=[,.;:!?{_SPACE}])| ?[^{_SPACE}]+"
     rf"|[{_SPACE}]+(?=[{_SPACE}][^{_SPACE}])|[{_SPACE}](?=[^{_SPACE}])|[{_SPACE}]+")
+_WORD = re.compile(f" ?[{_LETTER}]+")
 #: Pieces kept in each of two generations.
 _MEMO = 250_000
 #: Pieces encoded at once: a long text is not one list.
@@ -60,22 +61,60 @@ class Encoder:
         return b"".join(map(memo.__getitem__, pieces))
 
 
+def _byte_symbols() -> dict[int, str]:
+    """Byte values to the characters that byte-level vocabularies are written in."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in shown]
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + k) for k, b in enumerate(others)}}
+
+
+_SYMBOLS = _byte_symbols()
+#: What a word becomes before it is merged: as it is, or in lower case without its space.
+_FORMS: tuple[Callable[[str], str], ...] = (
+    lambda w: w.encode().decode("latin-1").translate(_SYMBOLS),
+    lambda w: w.lstrip(" ").lower().encode().decode("latin-1").translate(_SYMBOLS),
+)
+_PROBES = (" the", "The", " Zürich", "ÉTÉ", " ŒUVRE", "x", " straße", "Nation", " ñandú")
+
+
+def _word_form(tokenizer: Tokenizer) -> Callable[[str], str] | None:
+    """The form in which the tokenizer's model takes a word, if it is one of those known here."""
+    for form in _FORMS:
+        if all([t.id for t in tokenizer.model.tokenize(form(w))]
+               == tokenizer.encode(w, add_special_tokens=False).ids for w in _PROBES):
+            return form
+    return None
+
+
 @functools.lru_cache(maxsize=4)
 def library_encoder(path: str) -> Encoder:
     """An encoder by a file of the tokenizers library, kept for the life of the process.
 
-    Strings of special tokens in a text are ordinary text, and none are added.
+    Strings of special tokens in a text are ordinary text, and none are added. A piece that is one
+    word goes to the library's model at once, any other through its whole chain.
     """
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    form, is_word, merged = _word_form(tokenizer), _WORD.fullmatch, tokenizer.model.tokenize
 
     def encode(pieces: list[str]) -> tuple[bytes, Sequence[int]]:
-        # All pieces as the words of one text: one result to read instead of one for each.
-        found = tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        others = [p for p in pieces if form is None or not is_word(p)]
+        # All of them as the words of one text: one result to read instead of one for each.
+        found = tokenizer.encode(others, is_pretokenized=True, add_special_tokens=False)
         cuts = np.searchsorted(np.array(found.word_ids, dtype=np.int64),
-                               np.arange(len(pieces) + 1)) * 4
-        return np.array(found.ids, dtype="<u4").tobytes(), cuts.tolist()
+                               np.arange(len(others) + 1)).tolist()
+        if len(others) == len(pieces):
+            return np.array(found.ids, dtype="<u4").tobytes(), [4 * c for c in cuts]
+        ids, all_cuts, k, all_found = [], [0], 0, found.ids
+        for piece in pieces:
+            if is_word(piece):
+                ids += [t.id for t in merged(form(piece))]
+            else:
+                ids += all_found[cuts[k]:cuts[k + 1]]
+                k += 1
+            all_cuts.append(4 * len(ids))
+        return np.array(ids, dtype="<u4").tobytes(), all_cuts
 
     return Encoder(encode)
