@@ -94,7 +94,8 @@ def format_conversations(
     order = Window.partitionBy("conv_id").orderBy(
         F.col("number").asc_nulls_first(), "role", "content", "attached")
     size = F.length("head") + F.length("content") + len(_END)
-    placed = (rows.withColumn("stop", F.sum(size).over(order))
+    to_here = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = (rows.withColumn("stop", F.sum(size).over(to_here))
               .withColumn("turn", F.row_number().over(order) - 1))
     collected = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct(
         "stop", "turn", "role", "head", "content", "attached"))).alias("all"))
