@@ -49,8 +49,11 @@ def encode_block(ids: np.ndarray, planes: str = "byte", level: int = 3) -> bytes
         struct.pack(f"<{len(packed)}I", *map(len, packed)), *packed])
 
 
-def decode_block(data: bytes) -> np.ndarray:
-    """The ids of a block; a block that was damaged raises."""
+def decode_block(data: bytes, ranges: list[tuple[int, int]] | None = None) -> list[np.ndarray]:
+    """The ids of some ranges of a block, by default all; a damaged block raises.
+
+    Only a whole block is held against its checksum.
+    """
     if data[:4] != MAGIC:
         raise ValueError("not a block of planes")
     count, planes, check = struct.unpack_from("<III", data, 4)
@@ -61,13 +64,14 @@ def decode_block(data: bytes) -> np.ndarray:
         at += n
     if planes == 32:
         bits = np.unpackbits(np.stack(rows), axis=1, count=count, bitorder="little")
-        raw = np.packbits(bits.T, axis=1, bitorder="little")
-    else:
-        raw = np.ascontiguousarray(np.stack(rows).T)
-    ids = raw.reshape(-1).view("<u4")
-    if len(ids) != count or zlib.crc32(ids.tobytes()) != check:
+        rows = np.packbits(bits.T, axis=1, bitorder="little").T
+    if any(len(r) != count for r in rows):
+        raise ValueError("a block of planes is damaged")
+    found = [np.stack([r[a:b] for r in rows], axis=1).reshape(-1).view("<u4")
+             for a, b in ranges or [(0, count)]]
+    if ranges is None and zlib.crc32(found[0].tobytes()) != check:
         raise ValueError("a block of planes is damaged")
-    return ids
+    return found
 
 
 def _write(encoder: Callable[[], Callable[[str], bytes]], end: int | None, planes: str, block: int):
@@ -152,10 +156,14 @@ def _read(whole: bool):
                         found.append((d, max(start, first), min(stop, first + size)))
                 if not found:
                     continue
-                ids = decode_block(row.column("data")[0].as_py())
-                shard = row.column("shard")[0].as_py()
-                rows = [(shard, d["id"], d["start"], d["n_tokens"], at,
-                         ids[at - first:to - first].tobytes()) for d, at, to in found]
+                data, shard = row.column("data")[0].as_py(), row.column("shard")[0].as_py()
+                if whole:
+                    ids = decode_block(data)[0]
+                    parts = [ids[at - first:to - first] for _, at, to in found]
+                else:
+                    parts = decode_block(data, [(at - first, to - first) for _, at, to in found])
+                rows = [(shard, d["id"], d["start"], d["n_tokens"], at, part.tobytes())
+                        for (d, at, _), part in zip(found, parts, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, type=t) for c, t in zip(zip(*rows, strict=True), types,
                                                          strict=True)], names=names)

@@ -9,56 +9,51 @@ from __future__ import annotations
 
 import functools
 import re
+import struct
 from collections.abc import Callable, Sequence
 
-import numpy as np
 from tokenizers import Tokenizer
 
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"  # Unicode's White_Space
 # Latin letters that stay letters in lower case.
 _LETTER = "A-Za-z\\xaa\\xb5\\xba\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\u012f\\u0131-\\u02af"
-#: Where a pre-tokenizer cuts in any case: after letters before common punctuation; before a space
+#: Where a pre-tokenizer cuts in any case: after letters before ASCII punctuation; before a space
 #: that ends white space; around the last character of other white space. Earlier white space
 #: stands on its own, as it does in the whole text.
 _PIECE = re.compile(
-    rf" ?[{_LETTER}]++(?=[,.;:!?{_SPACE}])| ?[^{_SPACE}]+"
+    rf" ?[{_LETTER}]++(?=[!-/:-@\[-`{{-~{_SPACE}])| ?[^{_SPACE}]+"
     rf"|[{_SPACE}]+(?=[{_SPACE}][^{_SPACE}])|[{_SPACE}](?=[^{_SPACE}])|[{_SPACE}]+")
 _WORD = re.compile(f" ?[{_LETTER}]+")
 #: Pieces kept in each of two generations.
 _MEMO = 250_000
-#: Pieces encoded at once: a long text is not one list.
-_MISSING = 50_000
 
-#: Pieces to their ids on end, as bytes, and where in them each piece's ids begin and end.
-Encode = Callable[[list[str]], tuple[bytes, Sequence[int]]]
+def pack_ids(ids: Sequence[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Memo(dict):
+    """Pieces to their ids; a piece that is missing comes from the generation before or is encoded."""
+
+    def __init__(self, old: dict[str, bytes], encode: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self._old, self._encode = old, encode
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = self._old.get(piece) or self._encode(piece)
+        return ids
 
 
 class Encoder:
-    """Texts to little-endian unsigned 32-bit ids, through a function that encodes pieces."""
+    """Texts to little-endian unsigned 32-bit ids, through a function that encodes a piece."""
 
-    def __init__(self, encode: Encode) -> None:
+    def __init__(self, encode: Callable[[str], bytes]) -> None:
         self._encode = encode
-        self._memo: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
+        self._memo = _Memo({}, encode)
 
     def __call__(self, text: str) -> bytes:
-        pieces = _PIECE.findall(text)
-        wanted = set(pieces)
-        if len(self._memo) + len(wanted) > _MEMO:
-            self._old, self._memo = self._memo, {}
-        memo, old, missing = self._memo, self._old, []
-        for piece in wanted:
-            if piece not in memo:
-                if (ids := old.get(piece)) is None:
-                    missing.append(piece)
-                else:
-                    memo[piece] = ids
-        for k in range(0, len(missing), _MISSING):
-            part = missing[k:k + _MISSING]
-            data, cuts = self._encode(part)
-            for i, piece in enumerate(part):
-                memo[piece] = data[cuts[i]:cuts[i + 1]]
-        return b"".join(map(memo.__getitem__, pieces))
+        if len(self._memo) > _MEMO:
+            self._memo = _Memo(dict(self._memo), self._encode)
+        return b"".join(map(self._memo.__getitem__, _PIECE.findall(text)))
 
 
 def _byte_symbols() -> dict[int, str]:
@@ -99,22 +94,9 @@ def library_encoder(path: str) -> Encoder:
     tokenizer.no_padding()
     form, is_word, merged = _word_form(tokenizer), _WORD.fullmatch, tokenizer.model.tokenize
 
-    def encode(pieces: list[str]) -> tuple[bytes, Sequence[int]]:
-        others = [p for p in pieces if form is None or not is_word(p)]
-        # All of them as the words of one text: one result to read instead of one for each.
-        found = tokenizer.encode(others, is_pretokenized=True, add_special_tokens=False)
-        cuts = np.searchsorted(np.array(found.word_ids, dtype=np.int64),
-                               np.arange(len(others) + 1)).tolist()
-        if len(others) == len(pieces):
-            return np.array(found.ids, dtype="<u4").tobytes(), [4 * c for c in cuts]
-        ids, all_cuts, k, all_found = [], [0], 0, found.ids
-        for piece in pieces:
-            if is_word(piece):
-                ids += [t.id for t in merged(form(piece))]
-            else:
-                ids += all_found[cuts[k]:cuts[k + 1]]
-                k += 1
-            all_cuts.append(4 * len(ids))
-        return np.array(ids, dtype="<u4").tobytes(), all_cuts
+    def encode(piece: str) -> bytes:
+        if form is not None and is_word(piece):
+            return pack_ids([t.id for t in merged(form(piece))])
+        return pack_ids(tokenizer.encode(piece, add_special_tokens=False).ids)
 
     return Encoder(encode)
