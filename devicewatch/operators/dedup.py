@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,13 +16,22 @@ def recency() -> list[Column]:
     """Newest version first: fetch time, then report key, then content.
 
     Fetch times are compared as instants: as text, ``10:00:00Z`` would sort after
-    ``10:00:00.5Z``. Rows that tie on everything are copies of one record.
+    ``10:00:00.5Z``. Report keys are compared as numbers where they are (``10`` is after ``9``);
+    others come behind these, as text. Rows that tie on everything are copies of one record.
     """
+    return [value.desc_nulls_last() for value in _order_values()]
+
+
+#: What tells the versions of a report apart.
+VERSION = ("report_number", "_ingested_at", "mdr_report_key", S.RECORD_HASH)
+
+
+def _order_values() -> list[Column]:
+    """What :func:`recency` orders by; as in it, NULL is the oldest."""
     return [
-        F.try_to_timestamp("_ingested_at").desc_nulls_last(),
-        F.col("_ingested_at").desc_nulls_last(),
-        F.col("mdr_report_key").desc_nulls_last(),
-        F.col(S.RECORD_HASH).desc_nulls_last(),
+        F.try_to_timestamp("_ingested_at").alias("_time"), F.col("_ingested_at").alias("_text"),
+        F.expr("try_cast(mdr_report_key AS DECIMAL(38, 0))").alias("_number"),
+        F.col("mdr_report_key").alias("_key"), F.col(S.RECORD_HASH).alias("_hash"),
     ]
 
 
@@ -39,6 +50,33 @@ def latest_reports(bronze: DataFrame) -> DataFrame:
     return first_by(bronze, ["report_number"], recency())
 
 
+def latest_unmoved(bronze: DataFrame) -> DataFrame:
+    """The rows of :func:`latest_reports`, for tables with wide columns: these are not shuffled.
+
+    Versions are counted on their narrow key columns, and only report numbers with several rows
+    take part in a join: theirs is the small side as long as few reports have several versions,
+    and adaptive execution then sends it to the rows. Copies of one version are the one case in
+    which rows have to meet; only these are.
+    """
+    version = F.struct(*_order_values(), *[F.col(c) for c in VERSION])
+    rows = bronze.select(version.alias("_version"), *VERSION)
+    copies = rows.groupBy("report_number", "_version").agg(F.count("*").alias("_copies"))
+    winners = copies.groupBy("report_number").agg(
+        F.max(F.struct("_version", "_copies")).alias("_best"), F.sum("_copies").alias("_rows")
+    ).where("_rows > 1").select(
+        F.col("report_number").alias("_number"), F.lit(True).alias("_several"),
+        *[F.col(f"_best._version.{c}").alias(f"_win{c}") for c in VERSION[1:]],
+        (F.col("_best._copies") > 1).alias("_copied"))
+    joined = bronze.join(
+        winners, F.col("report_number").eqNullSafe(F.col("_number")), "left")
+    wins = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_win{c}")) for c in VERSION[1:]])
+    alone = F.col("_several").isNull() | (wins & ~F.col("_copied"))
+    single = joined.where(alone).select(*bronze.columns)
+    copied = bronze.join(winners.where("_copied"), F.col("report_number").eqNullSafe(
+        F.col("_number"))).where(wins).select(*bronze.columns)
+    return single.unionByName(latest_reports(copied))
+
+
 def _is_numbered() -> Column:
     return F.coalesce(F.trim("report_number") != "", F.lit(False))
 

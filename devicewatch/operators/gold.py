@@ -63,6 +63,10 @@ def outcome_breakdown(events: DataFrame) -> DataFrame:
         F.count("report_number").alias("report_count"))
 
 
+#: What a flagged narrative says of its report.
+REPORT_COLUMNS = ("report_number", "date_received", "brand_name", "generic_name", "event_type")
+
+
 def flagged_narratives(narratives: DataFrame, events: DataFrame,
                        keywords: Sequence[str] = HIGH_RISK_KEYWORDS) -> DataFrame:
     """Narrative blocks that mention a keyword, with the report they belong to.
@@ -75,11 +79,8 @@ def flagged_narratives(narratives: DataFrame, events: DataFrame,
     hits = narratives.where(has_keyword("narrative_text", keywords)).select(
         "report_number", "text_type_code", "narrative_text",
         matched_keywords("narrative_text", keywords).alias("matched_keywords"))
-    about = events.select(
-        "report_number", "date_received", "brand_name", "generic_name", "event_type")
-    return hits.join(about, "report_number", "left").select(
-        "report_number", "date_received", "brand_name", "generic_name", "event_type",
-        "text_type_code", "narrative_text", "matched_keywords")
+    return hits.join(events.select(*REPORT_COLUMNS), "report_number", "left").select(
+        *REPORT_COLUMNS, "text_type_code", "narrative_text", "matched_keywords")
 
 
 def order_of(table: str) -> list[Column]:

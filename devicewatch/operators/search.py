@@ -17,7 +17,8 @@ _PAGES_PER_BLOCK = 10_000
 def search_predicate(params: JobParams) -> Column:
     """Any device made by the manufacturer, received within the inclusive date range.
 
-    The name matches as a case-insensitive phrase. An unreadable date matches no range.
+    The name matches as a case-insensitive phrase. An unreadable date matches no range. A
+    readable one is in the range exactly when its text is, which file statistics can tell.
     """
     phrase = params.manufacturer.lower()
     made_by = F.exists(F.from_json("device", _MAKERS),
@@ -25,7 +26,8 @@ def search_predicate(params: JobParams) -> Column:
     in_range = report_date("date_received").between(
         F.to_date(F.lit(params.date_from), "yyyyMMdd"),
         F.to_date(F.lit(params.date_to), "yyyyMMdd"))
-    return in_range & made_by
+    as_text = F.col("date_received").between(params.date_from, params.date_to)
+    return as_text & in_range & made_by
 
 
 def search(raw: DataFrame, params: JobParams) -> DataFrame:

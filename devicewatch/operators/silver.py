@@ -7,11 +7,16 @@ from pyspark.sql import functions as F
 
 from devicewatch import schemas as S
 from devicewatch.functions.columns import is_yes, report_date
-from devicewatch.operators.dedup import first_by, latest_reports, numbered_reports, recency
+from devicewatch.operators.dedup import (
+    VERSION,
+    first_by,
+    latest_reports,
+    latest_unmoved,
+    numbered_reports,
+    recency,
+)
 from devicewatch.operators.flatten import with_record_hash
 
-_VERSION = ("report_number", "_ingested_at", "mdr_report_key", S.RECORD_HASH)
-
 
 def _reports(bronze: DataFrame, quarantine_blank: bool) -> DataFrame:
     bronze = with_record_hash(bronze)
@@ -44,11 +49,11 @@ def devices_silver(bronze: DataFrame, latest_only: bool = True,
     ``latest_only`` takes the devices of the latest report version, the first listed winning.
     Otherwise devices of all versions count, the latest version of each winning.
     """
-    narrow = _reports(bronze, quarantine_blank).select(*_VERSION, "device_raw")
+    narrow = _reports(bronze, quarantine_blank).select(*VERSION, "device_raw")
     if latest_only:
         narrow = latest_reports(narrow)
     devices = narrow.select(
-        *_VERSION, F.posexplode_outer(F.from_json("device_raw", S.DEVICE_ARRAY))
+        *VERSION, F.posexplode_outer(F.from_json("device_raw", S.DEVICE_ARRAY))
         .alias("_position", "_device"))
     keys = ["report_number", "device_sequence_no"]
     kept = first_by(devices.withColumn("device_sequence_no", F.col("_device.device_sequence_no")),
@@ -68,12 +73,12 @@ def narratives_silver(bronze: DataFrame, latest_only: bool = True,
     """One row per narrative block that has text (empty text counts, missing text does not).
 
     ``latest_only`` takes the blocks of the latest report version; otherwise every landed
-    version adds its blocks and nothing is shuffled.
+    version adds its blocks. In neither case is the text shuffled, but that of exact copies.
     """
     narrow = _reports(bronze, quarantine_blank).select(
-        *_VERSION, "date_received", "mdr_text_raw")
+        *VERSION, "date_received", "mdr_text_raw")
     if latest_only:
-        narrow = latest_reports(narrow)
+        narrow = latest_unmoved(narrow)
     # The text filter drops what an outer explode would add, so this is an inner one.
     blocks = narrow.select(
         "report_number", report_date("date_received").alias("date_received"), "_ingested_at",

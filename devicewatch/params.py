@@ -59,12 +59,15 @@ def utc_stamp() -> str:
 
 @dataclasses.dataclass(frozen=True)
 class JobParams:
-    """What one job run is about. Dates are normalised and the page limit capped on creation."""
+    """What one job run is about. Dates are normalised and values checked on creation."""
 
     manufacturer: str
     date_from: str
     date_to: str
+    # Records the source is asked for per page.
     page_limit: int = MAX_PAGE_RECORDS
+    # Records of a landed page file, whatever the size of the source's pages.
+    file_records: int = 200_000
     run_id: str = dataclasses.field(default_factory=new_run_id)
     keywords: tuple[str, ...] = HIGH_RISK_KEYWORDS
     # Reports without a report number go to quarantine; False keeps them as one report.
@@ -75,10 +78,16 @@ class JobParams:
     def __post_init__(self) -> None:
         object.__setattr__(self, "date_from", compact_date(self.date_from))
         object.__setattr__(self, "date_to", compact_date(self.date_to))
-        object.__setattr__(self, "page_limit", min(int(self.page_limit), MAX_PAGE_RECORDS))
+        object.__setattr__(self, "page_limit", int(self.page_limit))
         object.__setattr__(self, "keywords", tuple(self.keywords))
-        if self.page_limit < 1:
-            raise ValueError("page_limit must be at least 1")
+        if not 1 <= self.page_limit <= MAX_PAGE_RECORDS:
+            raise ValueError(f"page_limit must be 1 to {MAX_PAGE_RECORDS}")
+        if self.file_records < 1:
+            raise ValueError("file_records must be at least 1")
+        if not self.manufacturer.strip():
+            raise ValueError("an empty manufacturer would match every device")
+        if not re.fullmatch(r"[\w.-]+", self.run_id, re.ASCII):
+            raise ValueError("run_id names a folder: letters, digits, '_', '.' and '-' only")
 
     @classmethod
     def from_mapping(cls, config: Mapping, **overrides) -> JobParams:

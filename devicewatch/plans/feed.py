@@ -17,6 +17,7 @@ from devicewatch import schemas as S
 from devicewatch.operators.flatten import flatten
 from devicewatch.operators.search import stamp
 from devicewatch.params import JobParams
+from devicewatch.sources.landing import record_json
 
 # The search the derived reports are stamped with and, in the search queries, filtered by.
 PARAMS = JobParams(
@@ -24,7 +25,7 @@ PARAMS = JobParams(
     run_id="run_reports")
 TEXT_PARAMS = dataclasses.replace(PARAMS, run_id="run_texts")
 # Terms that occur in the document and conversation texts.
-TEXT_KEYWORDS = ("license", "free", "apache", "death", "mit ", "copyright")
+TEXT_KEYWORDS = ("license", "free", "Apache", "death", "mit ", "copyright")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,7 +94,6 @@ def device_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").cast("string").alias("device_sequence_no"),
         F.col("_key").alias("device_event_key"),
         F.when(F.col("l_returnflag") == "A", "Y").otherwise("N").alias("implant_flag"),
-        F.col("l_linestatus").alias("device_availability"),
         F.substring("p_type", 1, 3).alias("device_report_product_code"),
         F.when(in_device, openfda).alias("openfda"))
     # Returned items list an accessory, for some under the sequence number of the device.
@@ -110,7 +110,8 @@ def device_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         _day("o_orderdate", "yyyy").alias("date_of_birth")))
     raw = _submissions(spark, sf_dir).withColumn("_key", key).select(
         F.col("o_orderkey").cast("string").alias("report_number"),
-        F.when(has_line, F.col("_key")).otherwise("initial").alias("mdr_report_key"),
+        F.when(in_device, (F.col("l_partkey") * 10 + F.col("l_linenumber")).cast("string"))
+        .when(has_line, F.col("_key")).otherwise("initial").alias("mdr_report_key"),
         F.when(in_device, "User Facility report")
         .when(has_line, "Manufacturer report").alias("report_source_code"),
         _received().alias("date_received"),
@@ -133,8 +134,6 @@ def device_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(has_line & ~in_device, F.to_json(openfda)).alias("openfda"),
         F.date_format(F.coalesce("l_shipdate", "o_orderdate").cast("date"),
                       "yyyy-MM-dd'T00:00:00Z'").alias("_fetched"),
-        # The report key spells out the whole line, so it identifies the content.
-        F.xxhash64("o_orderkey", "_key").alias(S.RECORD_HASH),
         F.when(has_line, "tables/lineitem").otherwise("tables/orders").alias(S.SOURCE_FILE))
     return stamp(raw, PARAMS, F.col("_fetched")).drop("_fetched")
 
@@ -153,8 +152,8 @@ def _text_report(df: DataFrame, number: Column, key: Column, received: Column, b
 def text_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw reports with narratives: documents line by line, conversations turn by turn.
 
-    A document belongs to the order of its number. Each turn is a newer version of its
-    conversation's report. Blank lines are blocks without text.
+    A document belongs to the order of its number. Each turn is a version of its conversation's
+    report, fetched with the others: its number, the report key, decides which is the latest. Blank lines are blocks without text.
     """
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").join(
         table(spark, sf_dir, "orders").select(
@@ -175,11 +174,30 @@ def text_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     from_turns = _text_report(
         turns, F.concat(F.lit("C"), "conv_id"), F.col("turn").cast("string"),
         F.lit(None).cast("string"), one_block,
-        F.concat(F.lit("2002-02-01T00:00:00."), F.lpad(F.col("turn").cast("string"), 6, "0"),
-                 F.lit("Z")), "tables/conversations")
+        F.lit("2002-02-01T00:00:00Z"), "tables/conversations")
     return from_documents.unionByName(from_turns)
 
 
+def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All raw reports, without the columns that only landed pages have."""
+    columns = [*S.RAW_SCHEMA.names, S.RUN_ID]
+    return device_reports(spark, sf_dir).select(*columns).unionByName(
+        text_reports(spark, sf_dir).select(*columns))
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All raw reports by page: ``_run_id``, ``page``, ``records`` (a JSON array) and ``count``.
+
+    A page holds the reports of fifty consecutive numbers, in the order of their text.
+    """
+    number = F.regexp_extract("report_number", r"(\d+)", 1).cast("long")
+    rows = reports(spark, sf_dir).select(
+        S.RUN_ID, F.floor(number / 50).alias("page"), record_json().alias("record"))
+    return rows.groupBy(S.RUN_ID, "page").agg(
+        F.concat(F.lit("[\n"), F.array_join(F.sort_array(F.collect_list("record")), ",\n"),
+                 F.lit("\n]")).alias("records"), F.count("*").alias("count"))
+
+
 def device_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The device reports, flattened."""
     return flatten(device_reports(spark, sf_dir))

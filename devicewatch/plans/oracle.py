@@ -15,10 +15,11 @@ sub AS (
   SELECT o.*, l.*, p_name, p_brand, p_type, p_size, s_name, n_name,
     l_orderkey IS NOT NULL AS has_line,
     CAST(o_orderkey AS VARCHAR) AS report_number,
-    CASE WHEN l_orderkey IS NULL THEN 'initial' ELSE
-      concat_ws('-', l_linenumber, l_partkey, l_suppkey, CAST(floor(l_quantity) AS BIGINT),
-                CAST(floor(l_extendedprice * 100) AS BIGINT), l_returnflag, l_linestatus)
-    END AS mdr_report_key,
+    concat_ws('-', l_linenumber, l_partkey, l_suppkey, CAST(floor(l_quantity) AS BIGINT),
+              CAST(floor(l_extendedprice * 100) AS BIGINT), l_returnflag, l_linestatus) AS line_key,
+    CASE WHEN l_orderkey IS NULL THEN 'initial'
+         WHEN l_linestatus = 'F' THEN CAST(l_partkey * 10 + l_linenumber AS VARCHAR)
+         ELSE line_key END AS mdr_report_key,
     CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN ''
          WHEN o_orderstatus = 'P' AND o_orderpriority = '4-NOT SPECIFIED'
            THEN strftime(o_orderdate, '%Y-%m-%d')
@@ -54,12 +55,16 @@ sub AS (
   LEFT JOIN nation ON n_nationkey = s_nationkey
 )"""
 
-_REP = _SUB + """,
+# Report keys that are numbers are ordered as numbers, before all others.
+_NUMBER = "TRY_CAST(mdr_report_key AS DECIMAL(38, 0))"
+
+_REP = _SUB + f""",
 rep AS (
   SELECT * FROM (
     SELECT *, CAST(year(received) AS INTEGER) AS yr, CAST(month(received) AS INTEGER) AS mon,
       row_number() OVER (PARTITION BY report_number
-                         ORDER BY fetched DESC, mdr_report_key DESC) AS version
+                         ORDER BY fetched DESC, {_NUMBER} DESC NULLS LAST,
+                           mdr_report_key DESC) AS version
     FROM sub) WHERE version = 1
 )"""
 
@@ -104,6 +109,14 @@ FROM (
 {tail}"""
 
 
+def _event_summary(source: str) -> str:
+    return f"""
+SELECT yr AS year, mon AS month, kind AS event_type, count(report_number) AS report_count,
+  {_count_flag('adverse')} AS adverse_event_count,
+  {_count_flag('problem')} AS product_problem_count
+FROM {source} GROUP BY 1, 2, 3"""
+
+
 def _outcomes(source: str) -> str:
     """CTE: one row per report and outcome code, from rows of (report_number, yr, codes)."""
     return f""",
@@ -133,7 +146,7 @@ dev AS (
 )"""
 
 
-_DEVICE_SELECT = """
+_DEVICE_SELECT = f"""
 SELECT report_number, p_brand AS brand_name, generic AS generic_name,
   s_name AS manufacturer_name, p_name AS model_number,
   CAST(l_partkey AS VARCHAR) AS catalog_number, 'LOT-' || l_suppkey AS lot_number,
@@ -141,7 +154,8 @@ SELECT report_number, p_brand AS brand_name, generic AS generic_name,
   substr(p_type, 1, 3) AS product_code, fetched AS _ingested_at
 FROM (
   SELECT *, row_number() OVER (PARTITION BY report_number, seq
-                               ORDER BY fetched DESC, mdr_report_key DESC, pos) AS rank
+                               ORDER BY fetched DESC, {_NUMBER} DESC NULLS LAST,
+                                 mdr_report_key DESC, pos) AS rank
   FROM dev) WHERE rank = 1"""
 
 _TEXTS = """
@@ -159,7 +173,7 @@ doc_block AS (
     unnest(range(len(string_split(text, chr(10))))) AS i
   FROM doc),
 turn AS (
-  SELECT *, '2002-02-01T00:00:00.' || lpad(CAST(turn AS VARCHAR), 6, '0') || 'Z' AS fetched,
+  SELECT *, '2002-02-01T00:00:00Z' AS fetched,
     row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS version
   FROM conversations),
 narrative AS (
@@ -178,7 +192,7 @@ _NARRATIVE_COLUMNS = """report_number, date_received, text_type_code, narrative_
 
 
 def _matched(text: str, keywords: tuple[str, ...]) -> str:
-    hits = ", ".join(f"CASE WHEN contains(lower({text}), '{k}') THEN '{k}' END" for k in keywords)
+    hits = ", ".join(f"CASE WHEN contains(lower({text}), '{k.lower()}') THEN '{k}' END" for k in keywords)
     return f"concat_ws(', ', {hits})"
 
 
@@ -202,8 +216,8 @@ def _device_json(generic: str, seq: str) -> str:
   || '","brand_name":"' || p_brand || '","generic_name":"' || {generic}
   || '","model_number":"' || p_name || '","catalog_number":"' || l_partkey
   || '","lot_number":"LOT-' || l_suppkey || '","device_sequence_no":"' || {seq}
-  || '","device_event_key":"' || mdr_report_key || '","implant_flag":"' || implant
-  || '","device_availability":"' || l_linestatus || '","device_report_product_code":"'
+  || '","device_event_key":"' || line_key || '","implant_flag":"' || implant
+  || '","device_report_product_code":"'
   || substr(p_type, 1, 3) || '"'
   || CASE WHEN l_linestatus = 'F' THEN ',"openfda":' || {_CLASSES} ELSE '' END || '}}'"""
 
@@ -229,7 +243,7 @@ _BRONZE = {
     "catalog_number": "CAST(l_partkey AS VARCHAR)",
     "lot_number": "'LOT-' || l_suppkey",
     "device_sequence_no": "CAST(l_linenumber AS VARCHAR)",
-    "device_event_key": "CASE WHEN has_line THEN mdr_report_key END",
+    "device_event_key": "CASE WHEN has_line THEN line_key END",
     "implant_flag": "implant",
     "product_code": "substr(p_type, 1, 3)",
     "device_class": "class_text",
@@ -260,6 +274,53 @@ def _bronze(wrap: str = "{}", skip: tuple[str, ...] = ()) -> str:
     return _with(_SUB, f"SELECT {columns} FROM sub")
 
 
+# The blocks of a document are its lines, the block of a turn is the turn.
+_TEXT_BRONZE = {
+    "report_number": ("CAST(doc_id AS VARCHAR)", "'C' || conv_id"),
+    "mdr_report_key": ("lang", "CAST(turn AS VARCHAR)"),
+    "date_received": ("received_text", "NULL"),
+    **{c: ("'[]'", "'[]'") for c in ("device_class", "regulation_number", "medical_specialty",
+                                     "patient_outcome", "device_raw", "patient_raw")},
+    "mdr_text_raw": ("blocks", """'[{"text_type_code":' || to_json(role) || ',"foi_text":'
+  || to_json(text) || ',"mdr_text_key":"' || conv_id || '-' || turn || '"}]'"""),
+    "_ingested_at": ("'2002-01-01T00:00:00Z'", "fetched"),
+    "_manufacturer_filter": ("'Supplier#00000000'",) * 2,
+    "_date_from": ("'19960101'",) * 2,
+    "_date_to": ("'19981231'",) * 2,
+    "_run_id": ("'run_texts'",) * 2,
+}
+_TEXT_ROWS = _TEXTS + """,
+doc_text AS (
+  SELECT doc_id, any_value(lang) AS lang, any_value(received_text) AS received_text,
+    len(list(line)) AS n_blocks, '[' || string_agg('{"text_type_code":"'
+    || CASE WHEN i = 0 THEN 'Description of Event or Problem'
+            ELSE 'Additional Manufacturer Narrative' END || '"'
+    || CASE WHEN line <> '' THEN ',"foi_text":' || to_json(line) ELSE '' END
+    || ',"mdr_text_key":"' || doc_id || '-' || i || '"}', ',' ORDER BY i) || ']' AS blocks
+  FROM (SELECT doc_id, lang, received_text, unnest(string_split(text, chr(10))) AS line,
+          unnest(range(len(string_split(text, chr(10))))) AS i FROM doc)
+  GROUP BY doc_id)"""
+
+
+def _text_rows(more: tuple[str, str] = ("", ""), skip: tuple[str, ...] = ()) -> str:
+    """Both kinds of text reports as raw rows, each with more columns."""
+    selects = []
+    for side, source in enumerate(("doc_text", "turn")):
+        columns = ", ".join(
+            f"CAST({_TEXT_BRONZE.get(c, ('NULL', 'NULL'))[side]} AS VARCHAR) AS {c}"
+            for c in _BRONZE if c != "_source_file" and c not in skip)
+        selects.append(f"SELECT {columns}{more[side]} FROM {source}")
+    return " UNION ALL ".join(selects)
+
+
+def _all_bronze(more: str = "", text_more: tuple[str, str] = ("", ""),
+                skip: tuple[str, ...] = ()) -> str:
+    columns = ", ".join(f"{sql} AS {name}" for name, sql in _BRONZE.items()
+                        if name != "_source_file" and name not in skip)
+    return _with(_SUB + "," + _TEXT_ROWS,
+                 f"SELECT {columns}{more} FROM sub UNION ALL {_text_rows(text_more, skip)}")
+
+
 # Any device of the version is made by the supplier of its line.
 _SEARCH = """FROM sub WHERE received BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'
   AND contains(lower(s_name), 'supplier#00000000')"""
@@ -269,38 +330,33 @@ _TOP_RISK = """ORDER BY total_reports DESC, brand_name NULLS FIRST, generic_name
 _TOP_FLAGGED = """ORDER BY date_received DESC NULLS LAST, report_number, text_type_code,
   md5(narrative_text) LIMIT 20"""
 
+# A page holds the reports of fifty consecutive numbers.
 _RUN_FILES = _SUB + """,
 record AS (
-  SELECT 'run_reports' AS run_id, CASE WHEN has_line THEN 'tables/lineitem' ELSE 'tables/orders'
-    END AS file, fetched FROM sub
-  UNION ALL SELECT 'run_texts', 'tables/documents', '2002-01-01T00:00:00Z' FROM documents
-  UNION ALL SELECT 'run_texts', 'tables/conversations',
-    '2002-02-01T00:00:00.' || lpad(CAST(turn AS VARCHAR), 6, '0') || 'Z' FROM conversations
+  SELECT 'run_reports' AS run_id, o_orderkey // 50 AS page, fetched FROM sub
+  UNION ALL SELECT 'run_texts', doc_id // 50, '2002-01-01T00:00:00Z' FROM documents
+  UNION ALL SELECT 'run_texts', conv_id // 50, '2002-02-01T00:00:00Z' FROM conversations
 )"""
 
 # Reports of both runs, as the events table sees them when the runs share one raw layer: a
 # document's report is newer than any version of the order with its number.
 _ALL_EVENTS = _REP + "," + _TEXTS + """,
 ev AS (
-  SELECT report_number, received, yr, codes, kind, p_brand, p_type, class_text, l_linestatus,
-    l_returnflag
+  SELECT report_number, received, yr, mon, codes, kind, p_brand, p_type, class_text,
+    l_linestatus, l_returnflag, adverse, problem
   FROM rep
   WHERE report_number NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM documents)
   UNION ALL
-  SELECT CAST(doc_id AS VARCHAR), received, CAST(year(received) AS INTEGER), NULL, NULL, NULL,
-    NULL, '[]', NULL, NULL
+  SELECT CAST(doc_id AS VARCHAR), received, CAST(year(received) AS INTEGER),
+    CAST(month(received) AS INTEGER), NULL, NULL, NULL, NULL, '[]', NULL, NULL, NULL, NULL
   FROM doc
   UNION ALL
-  SELECT 'C' || conv_id, NULL, NULL, NULL, NULL, NULL, NULL, '[]', NULL, NULL
+  SELECT 'C' || conv_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, '[]', NULL, NULL, NULL, NULL
   FROM turn WHERE version = 1
 )""" + _outcomes("ev")
 
 ORACLE: dict[str, str] = {
-    "event_summary": _with(_REP, f"""
-SELECT yr AS year, mon AS month, kind AS event_type, count(report_number) AS report_count,
-  {_count_flag('adverse')} AS adverse_event_count,
-  {_count_flag('problem')} AS product_problem_count
-FROM rep GROUP BY 1, 2, 3"""),
+    "event_summary": _with(_REP, _event_summary("rep")),
     "product_risk": _with(_REP, _product_risk("rep")),
     "product_risk_all_versions": _with(_SUB, _product_risk("sub")),
     "product_risk_top20": _with(_REP, _product_risk("rep", _TOP_RISK)),
@@ -339,35 +395,47 @@ SELECT CAST(p + 1 AS BIGINT) AS page_num, CAST(p * 1000 AS BIGINT) AS skip, 1000
 FROM (SELECT count(*) AS n FROM sub),
   LATERAL (SELECT unnest(range(CAST(ceil(n / 1000) AS BIGINT))) AS p)"""),
     "bronze_flatten": _bronze(),
-    "bronze_flatten_texts": _with(_TEXTS, """
-SELECT CAST(doc_id AS VARCHAR) AS report_number, lang AS mdr_report_key,
-  received_text AS date_received, '[]' AS device_raw, '[]' AS device_class,
-  CAST(len(string_split(text, chr(10))) AS INTEGER) AS blocks,
-  '2002-01-01T00:00:00Z' AS _ingested_at, 'run_texts' AS _run_id FROM doc
-UNION ALL
-SELECT 'C' || conv_id, CAST(turn AS VARCHAR), NULL, '[]', '[]', 1, fetched, 'run_texts'
-FROM turn"""),
+    "bronze_flatten_texts": _with(_TEXT_ROWS, _text_rows()),
     "null_to_empty": _bronze("coalesce({}, '')"),
     "date_parse": _with(_SUB, """
 SELECT report_number, mdr_report_key, received AS date_received, event_date AS date_of_event,
   ship_date AS date_report FROM sub"""),
-    "landing_roundtrip": _bronze(skip=("_source_file",)),
-    "landing_stream_ingest": _bronze(skip=("_source_file",)),
-    "bronze_append_merge": _with(_SUB + "," + _TEXTS, """
-SELECT report_number, mdr_report_key, fetched AS _ingested_at, 'run_reports' AS _run_id,
-  CAST(NULL AS INTEGER) AS narrative_blocks FROM sub
+    "landing_roundtrip": _all_bronze(),
+    "landing_stream_ingest": _all_bronze(),
+    "array_pages_roundtrip": _all_bronze(),
+    "responses_roundtrip": _all_bronze(skip=("_run_id",)),
+    "bronze_append_merge": _all_bronze(
+        ", CAST(NULL AS INTEGER) AS narrative_blocks",
+        (", CAST(n_blocks AS INTEGER)", ", CAST(1 AS INTEGER)")),
+    "corrupt_pages": _with(_TEXTS, """
+SELECT CASE WHEN number % 7 = 0 THEN 'kept aside' ELSE 'read' END AS kind, report_number,
+  mdr_report_key, CAST(0 AS BIGINT) AS records, CAST(0 AS BIGINT) AS corrupt_records
+FROM (SELECT doc_id AS number, CAST(doc_id AS VARCHAR) AS report_number, lang AS mdr_report_key
+      FROM documents
+      UNION ALL SELECT conv_id, 'C' || conv_id, CAST(turn AS VARCHAR) FROM conversations)
 UNION ALL
-SELECT CAST(doc_id AS VARCHAR), lang, '2002-01-01T00:00:00Z', 'run_texts',
-  CAST(len(string_split(text, chr(10))) AS INTEGER) FROM doc
-UNION ALL
-SELECT 'C' || conv_id, CAST(turn AS VARCHAR), fetched, 'run_texts', 1 FROM turn"""),
+SELECT 'summary', 'run_texts', 'bronze', CAST(sum(CAST(n % 7 <> 0 AS INTEGER)) AS BIGINT),
+  CAST(sum(CAST(n % 7 = 0 AS INTEGER)) AS BIGINT)
+FROM (SELECT doc_id AS n FROM documents UNION ALL SELECT conv_id FROM conversations)"""),
+    "gold_written": _with(_ALL_EVENTS, f"""
+SELECT 'event_summary' AS layer, * FROM ({_event_summary('ev')})
+UNION ALL BY NAME SELECT 'product_risk' AS layer, * FROM ({_product_risk('ev')})
+UNION ALL BY NAME SELECT 'outcome_breakdown' AS layer, * FROM (
+  SELECT year, outcome_label, count(report_number) AS report_count FROM outcomes GROUP BY 1, 2)
+UNION ALL BY NAME SELECT 'flagged_narratives' AS layer, * FROM (
+  SELECT n.report_number, received AS date_received, p_brand AS brand_name,
+    p_type AS generic_name, kind AS event_type, text_type_code, narrative_text,
+    {_matched('narrative_text', HIGH_RISK_KEYWORDS)} AS matched_keywords
+  FROM narrative n LEFT JOIN ev ON ev.report_number = n.report_number WHERE version = 1)
+WHERE layer <> 'flagged_narratives' OR matched_keywords <> ''"""),
     "run_summary": _with(_RUN_FILES, """
 SELECT run_id, 'Supplier#00000000' AS manufacturer, '19960101' AS date_from,
-  '19981231' AS date_to, count(DISTINCT file) AS total_pages, count(*) AS total_records,
-  'tables' AS landing_path, 'bronze' AS bronze_table, max(fetched) AS completed_at
+  '19981231' AS date_to, count(DISTINCT page) AS total_pages, count(*) AS total_records,
+  run_id AS landing_path, 'bronze' AS bronze_table, max(fetched) AS completed_at
 FROM record GROUP BY run_id"""),
     "run_files": _with(_RUN_FILES, """
-SELECT run_id AS _run_id, file AS _source_file, count(*) AS records FROM record GROUP BY 1, 2"""),
+SELECT run_id AS _run_id, run_id AS _source_file, count(*) AS records
+FROM record GROUP BY run_id, page"""),
     "layer_counts": _with(_ALL_EVENTS, f"""
 SELECT 'bronze' AS layer, (SELECT count(*) FROM sub) + (SELECT count(*) FROM documents)
   + (SELECT count(*) FROM conversations) AS row_count

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,17 @@ from devicewatch.operators.dedup import latest_reports
 from devicewatch.operators.flatten import flatten, null_to_empty
 from devicewatch.operators.search import count_matching, page_plan, search
 from devicewatch.plans import feed
-from devicewatch.plans.layers import PARTITIONS, gold_tables, silver_tables
+from devicewatch.plans.layers import (
+    GOLD_TABLES,
+    PARTITIONS,
+    Locations,
+    check_total,
+    gold_tables,
+    load_pages,
+    refresh_gold,
+    refresh_silver,
+    silver_tables,
+)
 from devicewatch.sources import landing, tables
 from devicewatch.sources.shared import shared_folder
 from devicewatch.streaming.ingest import ingest_new_pages
@@ -54,11 +65,8 @@ def bronze_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_flatten_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Narrative reports as flat text rows, their blocks counted."""
-    flat = feed.text_bronze(spark, sf_dir)
-    return flat.select(
-        "report_number", "mdr_report_key", "date_received", "device_raw", "device_class",
-        F.expr("json_array_length(mdr_text_raw)").alias("blocks"), "_ingested_at", S.RUN_ID)
+    """Narrative reports as flat text rows."""
+    return feed.text_bronze(spark, sf_dir).drop(S.RECORD_HASH, S.SOURCE_FILE)
 
 
 def null_to_empty_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,16 +81,20 @@ def date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[report_date(c).alias(c) for c in ("date_received", "date_of_event", "date_report")])
 
 
+def _flat(pages: DataFrame) -> DataFrame:
+    return flatten(landing.refuse_corrupt(pages)).drop(S.RECORD_HASH, S.SOURCE_FILE)
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> str:
     path = shared_folder(spark, "landing")
     landing.write_pages(feed.device_reports(spark, sf_dir), path, feed.PARAMS)
+    landing.write_pages(feed.text_reports(spark, sf_dir), path, feed.TEXT_PARAMS)
     return path
 
 
 def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reports landed as page files, read back and flattened."""
-    pages = landing.read_pages(spark, _landed(spark, sf_dir))
-    return flatten(landing.intact(pages)).drop(S.RECORD_HASH, S.SOURCE_FILE)
+    """All reports landed as page files, read back and flattened."""
+    return _flat(landing.read_pages(spark, _landed(spark, sf_dir)))
 
 
 def landing_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +105,65 @@ def landing_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_bronze(spark, bronze).drop(S.RECORD_HASH, S.SOURCE_FILE)
 
 
+def _array_pages(spark: SparkSession, sf_dir: str) -> str:
+    """All reports as a page-by-page client saves them: one JSON array a file, a folder a run."""
+    path, pages = shared_folder(spark, "pages"), feed.pages(spark, sf_dir)
+    for params in (feed.PARAMS, feed.TEXT_PARAMS):
+        (pages.where(F.col(S.RUN_ID) == params.run_id).select("records")
+         .write.option("maxRecordsPerFile", 1).text(f"{path}/{params.run_id}"))
+    return path
+
+
+def array_pages_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All reports from saved array pages."""
+    path = _array_pages(spark, sf_dir)
+    return _flat(landing.read_pages(spark, path, whole_file_pages=True))
+
+
+def responses_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All reports from saved responses, as many as the responses announce."""
+    path, pages = shared_folder(spark, "responses"), feed.pages(spark, sf_dir)
+    total = feed.reports(spark, sf_dir).count()
+    bodies = pages.select(F.concat(
+        F.lit(f'{{"meta":{{"results":{{"total":{total}}}}},"results":'), "records", F.lit("}"))
+        .alias("value"))
+    none = spark.range(1).select(
+        F.lit(f'{{"error":{{"code":"NOT_FOUND","message":"{landing.NO_MATCH}"}}}}').alias("value"))
+    bodies.unionByName(none).write.option("maxRecordsPerFile", 1).text(path)
+    records = landing.read_responses(spark, path)
+    check_total(records, landing.reported_total(spark, path))
+    return flatten(records).drop(S.RECORD_HASH, S.SOURCE_FILE)
+
+
+def corrupt_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Narrative reports of which some were cut off: what was read, what was kept aside, counts."""
+    base = shared_folder(spark, "corrupt")
+    at = Locations(f"{base}/landing", f"{base}/bronze", f"{base}/silver/", f"{base}/gold/")
+    line, number = landing.record_json(), F.regexp_extract("report_number", r"(\d+)", 1)
+    cut = F.substring(line, F.lit(1), F.floor(F.length(line) * 0.6).cast("int"))
+    params = feed.TEXT_PARAMS
+    (feed.text_reports(spark, sf_dir)
+     .select(F.when(number.cast("long") % 7 == 0, cut).otherwise(line).alias("value"))
+     .write.text(landing.run_folder(at.landing, params.run_id)))
+    load_pages(landing.read_pages(spark, at.landing), at)
+    kept = tables.read_bronze(spark, at.bronze)
+    aside = tables.read_run(spark, at.corrupt, params.run_id, S.CORRUPT_SCHEMA)
+    summary = run_summary(kept, "bronze", corrupt=aside)
+    zero = F.lit(0).cast("long")
+    return (
+        kept.select(F.lit("read").alias("kind"), "report_number", "mdr_report_key",
+                    zero.alias("records"), zero.alias("corrupt_records"))
+        .unionByName(aside.select(
+            F.lit("kept aside").alias("kind"),
+            *[F.regexp_extract(S.CORRUPT, f'"{c}":"([^"]*)"', 1).alias(c)
+              for c in ("report_number", "mdr_report_key")],
+            zero.alias("records"), zero.alias("corrupt_records")))
+        .unionByName(summary.select(
+            F.lit("summary").alias("kind"), F.col("run_id").alias("report_number"),
+            F.col("bronze_table").alias("mdr_report_key"),
+            F.col("total_records").alias("records"), "corrupt_records")))
+
+
 def _appended(spark: SparkSession, sf_dir: str) -> str:
     path = shared_folder(spark, "bronze")
     tables.append_bronze(feed.device_bronze(spark, sf_dir), path)
@@ -105,20 +176,28 @@ def _appended(spark: SparkSession, sf_dir: str) -> str:
 def bronze_append_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs appended, the second with a column more, read with merged schema."""
     merged = tables.read_bronze(spark, _appended(spark, sf_dir), merge_schema=True)
-    return merged.select("report_number", "mdr_report_key", "_ingested_at", S.RUN_ID,
-                         "narrative_blocks")
+    return merged.drop(S.RECORD_HASH, S.SOURCE_FILE)
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw layer of two runs, loaded from their pages."""
+    base = shared_folder(spark, "job")
+    at = Locations(f"{base}/landing", f"{base}/bronze", f"{base}/silver/", f"{base}/gold/")
+    pages = _array_pages(spark, sf_dir)
+    load_pages(landing.read_pages(spark, pages, whole_file_pages=True), at)
+    return tables.read_bronze(spark, at.bronze)
 
 
 def run_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages and records of each run."""
-    both = feed.device_bronze(spark, sf_dir).unionByName(feed.text_bronze(spark, sf_dir))
-    return run_summary(both, "bronze")
+    """Pages and records of each run, from its landed pages."""
+    folder = F.substring_index("landing_path", "/", -1)
+    return run_summary(_loaded(spark, sf_dir), "bronze").withColumn("landing_path", folder)
 
 
 def run_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records of each landed file."""
-    both = feed.device_bronze(spark, sf_dir).unionByName(feed.text_bronze(spark, sf_dir))
-    return run_files(both)
+    """Records of each landed page file; files are named by their folder."""
+    folder = F.element_at(F.split(S.SOURCE_FILE, "/"), -2)
+    return run_files(_loaded(spark, sf_dir)).withColumn(S.SOURCE_FILE, folder)
 
 
 # --- clean tables ------------------------------------------------------------------------
@@ -217,7 +296,9 @@ def matched_keywords_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _flagged(spark: SparkSession, sf_dir: str, latest_only: bool, **options) -> DataFrame:
     narratives = silver.narratives_silver(feed.text_bronze(spark, sf_dir), latest_only)
-    return gold.flagged_narratives(narratives, events_partitioned(spark, sf_dir), **options)
+    path = shared_folder(spark, "events")
+    tables.overwrite(_events(spark, sf_dir).select(*gold.REPORT_COLUMNS), path)
+    return gold.flagged_narratives(narratives, tables.read(spark, path), **options)
 
 
 def flagged_narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,6 +328,17 @@ def layer_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layer_counts({"bronze": bronze, **clean, **gold_tables(clean, feed.PARAMS)})
 
 
+def gold_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four analysis tables of a job over both kinds of reports, written and read again."""
+    base = shared_folder(spark, "job")
+    at = Locations(f"{base}/landing", _appended(spark, sf_dir), f"{base}/silver/", f"{base}/gold/")
+    refresh_silver(spark, feed.PARAMS, at)
+    refresh_gold(spark, feed.PARAMS, at)
+    written = [tables.read(spark, at.analysis(name)).withColumn("layer", F.lit(name))
+               for name in GOLD_TABLES]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), written)
+
+
 QUERIES: dict[str, Query] = {
     "event_summary": event_summary,
     "product_risk": product_risk,
@@ -275,6 +367,10 @@ QUERIES: dict[str, Query] = {
     "date_parse": date_parse,
     "landing_roundtrip": landing_roundtrip,
     "landing_stream_ingest": landing_stream_ingest,
+    "array_pages_roundtrip": array_pages_roundtrip,
+    "responses_roundtrip": responses_roundtrip,
+    "corrupt_pages": corrupt_pages,
+    "gold_written": gold_written,
     "bronze_append_merge": bronze_append_merge,
     "run_summary": run_summary_query,
     "run_files": run_files_query,

@@ -25,9 +25,11 @@ CORRUPT = "_corrupt_record"
 RUN_ID = "_run_id"
 SOURCE_FILE = "_source_file"
 RECORD_HASH = "_record_hash"
+FETCHED_AT = "_fetched_at"
 
-# A saved response of the source: hit count plus one page of records.
+# A saved response of the source: hit count plus one page of records, or an error.
 RESPONSE_SCHEMA = T.StructType([
+    T.StructField("error", T.StructType(_strings("code", "message"))),
     T.StructField("meta", T.StructType([
         T.StructField("results", T.StructType([T.StructField("total", T.LongType())]))])),
     T.StructField("results", T.ArrayType(RAW_SCHEMA)),
@@ -49,9 +51,10 @@ FIRST_PATIENT = T.ArrayType(T.StructType([
     T.StructField("sequence_number_outcome", T.VariantType()),
     *_strings("date_of_birth")]))
 
+# The names of the source's fields and of the layers' columns.
 DEVICE_ARRAY = T.ArrayType(T.StructType(_strings(
     "brand_name", "generic_name", "manufacturer_d_name", "model_number", "catalog_number",
-    "lot_number", "device_sequence_no", "implant_flag", "device_availability",
+    "lot_number", "device_sequence_no", "implant_flag",
     "device_report_product_code")))
 
 NARRATIVE_ARRAY = T.ArrayType(T.StructType(_strings(
@@ -73,6 +76,8 @@ BRONZE_SCHEMA = T.StructType(
     + [T.StructField(RECORD_HASH, T.LongType())]
     + _strings(RUN_ID))
 
+CORRUPT_SCHEMA = T.StructType(_strings(SOURCE_FILE, CORRUPT, RUN_ID))
+
 EVENTS_SCHEMA = T.StructType(
     _strings("report_number", "mdr_report_key", "report_source_code")
     + [T.StructField(n, T.DateType()) for n in ("date_received", "date_of_event", "date_report")]

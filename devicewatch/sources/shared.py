@@ -11,12 +11,20 @@ from pyspark.sql import SparkSession
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the session's ``spark.checkpoint.dir``.
 
-    Executors come and go, so the folder must be one that all of them see. A local session
-    without the setting uses a temporary folder; a cluster without it is an error.
+    Executors come and go, so the folder must be one that all of them see. Without the setting
+    this is an error, but in a session that has no executors of its own (master ``local`` or
+    ``local[n]``), where any folder is seen by all.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system the path names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)

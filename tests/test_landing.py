@@ -12,7 +12,8 @@ from devicewatch.operators.search import count_matching, page_plan, search, stam
 from devicewatch.sources import landing, tables
 from devicewatch.streaming.ingest import ingest_new_pages
 
-PARAMS = JobParams("acme health", "2023-01-01", "2025-12-31", page_limit=2, run_id="r1")
+PARAMS = JobParams("acme health", "2023-01-01", "2025-12-31", page_limit=2, run_id="r1",
+                   file_records=2)
 
 
 def report(number, received="20230601", makers=("ACME HEALTH INC",), **more):

@@ -4,6 +4,9 @@ import pytest
 from oracle_compare import compare, connect
 
 import __spark_entry__ as entry
+from devicewatch.operators.gold import order_of
+from devicewatch.plans.oracle import ORACLE
+from devicewatch.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,16 +17,39 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, con, name):
-    count, difference = compare(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name])
+    count, difference = compare(QUERIES[name](spark, SF_DIR), con, ORACLE[name])
     assert not difference
     assert count > 0
 
 
+#: The reading order as SQL. Rows come in it: the other comparison ignores order.
+ORDERS = {
+    "event_summary": "year NULLS FIRST, month NULLS FIRST, event_type NULLS FIRST",
+    "product_risk": "total_reports DESC, brand_name NULLS FIRST, generic_name NULLS FIRST, "
+                    "device_class NULLS FIRST",
+    "outcome_breakdown": "year NULLS FIRST, report_count DESC, outcome_label NULLS FIRST",
+    "flagged_narratives": "date_received DESC NULLS LAST, report_number, text_type_code, "
+                          "md5(narrative_text)",
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERS))
+def test_rows_come_in_reading_order(spark, con, name):
+    sql = f"SELECT * FROM ({ORACLE[name]}) ORDER BY {ORDERS[name]}"
+    cursor = con.execute(sql)
+    names = [d[0] for d in cursor.description]
+    want = cursor.fetchall()
+    got = [tuple(r) for r in QUERIES[name](spark, SF_DIR).select(*names).collect()]
+    assert got == want and len(set(want)) > 1
+    assert order_of(name)
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == [
         "year", "month", "event_type", "report_count", "adverse_event_count",

@@ -20,11 +20,14 @@ def test_bad_dates_are_refused(text):
         compact_date(text)
 
 
-def test_page_limit_is_capped():
-    assert JobParams("a", "20230101", "20230102", page_limit=5000).page_limit == 1000
+def test_values_out_of_range_are_refused():
     assert JobParams("a", "20230101", "20230102", page_limit=2).page_limit == 2
-    with pytest.raises(ValueError):
-        JobParams("a", "20230101", "20230102", page_limit=0)
+    assert JobParams("a", "20230101", "20230102").page_limit == 1000
+    for bad in ({"page_limit": 0}, {"page_limit": 1001}, {"file_records": 0},
+                {"manufacturer": ""}, {"manufacturer": "  "}, {"run_id": "a/b"}):
+        with pytest.raises(ValueError):
+            JobParams(**{"manufacturer": "a", "date_from": "20230101", "date_to": "20230102",
+                         **bad})
 
 
 def test_overrides_win_and_unknown_keys_are_refused():

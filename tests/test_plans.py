@@ -6,12 +6,12 @@ from collections import Counter
 import pytest
 from records import raw, rows
 
-import __spark_entry__ as entry
 from devicewatch import schemas as S
 from devicewatch.operators import gold
 from devicewatch.operators.dedup import latest_reports
 from devicewatch.operators.flatten import flatten
 from devicewatch.operators.silver import devices_silver, events_silver, narratives_silver
+from devicewatch.plans.queries import QUERIES
 from devicewatch.sources import tables
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -40,7 +40,7 @@ def bronze(spark, tmp_path_factory):
 
 
 def test_no_query_runs_python_or_crosses_tables(spark):
-    for name, query in entry.queries().items():
+    for name, query in QUERIES.items():
         text = plan(query(spark, SF_DIR))
         for bad in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert bad not in text, (name, bad)
@@ -110,7 +110,7 @@ def test_top_n_does_not_sort_everything(bronze):
 def test_hot_report_results(spark, bronze):
     latest = rows(latest_reports(bronze), "report_number", "mdr_report_key")
     assert len(latest) == 2001
-    assert dict(latest)["hot"] == max((str(i) for i in range(0, 3000, 3)))
+    assert dict(latest)["hot"] == str(max(range(0, 3000, 3)))
     assert devices_silver(bronze, latest_only=False).where("report_number = 'hot'").count() == 50
     flagged = gold.flagged_narratives(
         narratives_silver(bronze, latest_only=False), events_silver(bronze))
