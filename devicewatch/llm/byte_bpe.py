@@ -22,10 +22,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from devicewatch.llm.shared import whole_text
-from devicewatch.llm.tokens import Encoder
+from devicewatch.llm.tokens import Encoder, pack_ids
 
-_STATES = 60_000
-_PAIRS = 300_000
+_STATES = 40_000
+_PAIRS = 100_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -211,19 +211,19 @@ def transducer(path: str) -> Transducer:
     return Transducer(read_ranks(path))
 
 
+@functools.lru_cache(maxsize=2)
+def _token_bytes(path: str) -> dict[int, bytes]:
+    return {rank: token for token, rank in read_ranks(path).items()}
+
+
 @functools.lru_cache(maxsize=2)
 def text_encoder(path: str, pattern: str) -> Encoder:
     """An encoder that sends each match of the pattern through the transducer."""
     machine, find = transducer(path), regex.compile(pattern).findall
 
-    def encode(pieces: list[str]) -> tuple[bytes, Sequence[int]]:
-        ids: list[int] = []
-        cuts = [0]
-        for piece in pieces:
-            for match in find(piece):
-                ids += machine.encode(match.encode("utf-8", "surrogatepass"))
-            cuts.append(4 * len(ids))
-        return np.array(ids, dtype="<u4").tobytes(), cuts
+    def encode(piece: str) -> bytes:
+        return pack_ids([i for match in find(piece)
+                         for i in machine.encode(match.encode("utf-8", "surrogatepass"))])
 
     return Encoder(encode)
 
@@ -238,7 +238,28 @@ def encode(text_col: str, path: str, pattern: str) -> Column:
         encoder = text_encoder(path, pattern)
         return pa.array([encoder(t.as_py()) for t in batch], type=pa.binary())
 
-    return F.arrow_udf(of, "binary")(whole_text(text_col))
+    # Else the plan would encode again inside of what uses the ids.
+    return F.arrow_udf(of, "binary").asNondeterministic()(whole_text(text_col))
+
+
+def encode_and_decode(text_col: str, path: str, pattern: str) -> Column:
+    """A struct of :func:`encode` of the text, ``ids``, and :func:`decode` of these, ``text``.
+
+    One pass: the text goes to one Python worker, where both columns would take two.
+    """
+    kind = pa.struct([("ids", pa.binary()), ("text", pa.string())])
+
+    def of(batch: pa.Array) -> pa.Array:
+        encoder, table = text_encoder(path, pattern), transducer(path).bytes_of
+        ids = [encoder(t.as_py()) for t in batch]
+        return pa.array([{"ids": i, "text": _text(i, table)} for i in ids], type=kind)
+
+    return F.arrow_udf(of, "ids binary, text string")(whole_text(text_col))
+
+
+def _text(ids: bytes, table: Sequence[bytes]) -> str:
+    stream = StreamDecoder(table)
+    return "".join([*map(stream.feed, _pieces(ids)), stream.end()])
 
 
 def _pieces(ids: bytes, size: int = 8192) -> Iterator[list[int]]:
@@ -249,14 +270,8 @@ def _pieces(ids: bytes, size: int = 8192) -> Iterator[list[int]]:
 def decode(ids: Column, path: str) -> Column:
     """The text of a column of ids, decoded as a stream; null where the ids are null."""
     def of(batch: pa.Array) -> pa.Array:
-        table = transducer(path).bytes_of
-        found = []
-        for value in batch:
-            if (raw := value.as_py()) is None:
-                found.append(None)
-                continue
-            stream = StreamDecoder(table)
-            found.append("".join([*map(stream.feed, _pieces(raw)), stream.end()]))
-        return pa.array(found, type=pa.string())
+        table = _token_bytes(path)
+        return pa.array([_text(v.as_py(), table) if v.is_valid else None for v in batch],
+                        type=pa.string())
 
     return F.arrow_udf(of, "string")(ids)

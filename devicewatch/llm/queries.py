@@ -56,12 +56,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded by ranks and decoded again."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = byte_bpe.encode("text", path, public_tokenizers.PATTERN)
-    coded = read_table(spark, sf_dir, "documents").select("doc_id", ids.alias("ids"))
-    return coded.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(byte_bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"))
+    coded = byte_bpe.encode_and_decode("text", path, public_tokenizers.PATTERN)
+    return read_table(spark, sf_dir, "documents").select("doc_id", coded.alias("coded")).select(
+        "doc_id", (F.octet_length("coded.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("coded.ids", 256).alias("ids_sha256"),
+        F.sha2("coded.text", 256).alias("decoded_sha256"))
 
 
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

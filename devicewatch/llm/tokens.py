@@ -25,7 +25,7 @@ _PIECE = re.compile(
     rf"|[{_SPACE}]+(?=[{_SPACE}][^{_SPACE}])|[{_SPACE}](?=[^{_SPACE}])|[{_SPACE}]+")
 _WORD = re.compile(f" ?[{_LETTER}]+")
 #: Pieces kept in each of two generations.
-_MEMO = 250_000
+_MEMO = 200_000
 
 def pack_ids(ids: Sequence[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)

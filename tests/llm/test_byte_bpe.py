@@ -75,8 +75,10 @@ def test_stream_of_any_bytes(size):
 def test_edge_rows(spark, clash):
     docs = edge.documents(spark, clash=clash)
     coded = docs.withColumn("ids", byte_bpe.encode("text", PATH, PATTERN))
-    got = coded.withColumn("back", byte_bpe.decode(F.col("ids"), PATH)).collect()
+    coded = coded.withColumn("back", byte_bpe.decode(F.col("ids"), PATH))
+    got = coded.withColumn("both", byte_bpe.encode_and_decode("text", PATH, PATTERN)).collect()
     assert len(got) == len(edge.texts())
+    assert all((r["both"]["ids"], r["both"]["text"]) == (r["ids"], r["back"]) for r in got)
     for r in got:
         text = r["text"] or ""
         assert np.frombuffer(r["ids"], "<u4").tolist() == TIKTOKEN.encode_ordinary(text)
