@@ -22,10 +22,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from devicewatch.llm.shared import whole_text
-from devicewatch.llm.tokens import Encoder, pack_ids
+from devicewatch.llm.tokens import MEMO, Encoder, pack_ids
 
-_STATES = 40_000
-_PAIRS = 100_000
+_STATES = 60_000
+_PAIRS = 150_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -219,13 +219,17 @@ def _token_bytes(path: str) -> dict[int, bytes]:
 @functools.lru_cache(maxsize=2)
 def text_encoder(path: str, pattern: str) -> Encoder:
     """An encoder that sends each match of the pattern through the transducer."""
-    machine, find = transducer(path), regex.compile(pattern).findall
+    machine, split = transducer(path), regex.compile(pattern)
+    find, first = split.findall, split.match
 
     def encode(piece: str) -> bytes:
+        whole = first(piece)
+        if whole is not None and whole.end() == len(piece):
+            return pack_ids(machine.encode(piece.encode("utf-8", "surrogatepass")))
         return pack_ids([i for match in find(piece)
                          for i in machine.encode(match.encode("utf-8", "surrogatepass"))])
 
-    return Encoder(encode)
+    return Encoder(encode, 2 * MEMO)
 
 
 def encode(text_col: str, path: str, pattern: str) -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devicewatch.llm.shared import partitions, whole_text
-from devicewatch.llm.tokens import library_encoder
+from devicewatch.llm.tokens import MEMO, library_encoder
 
 MAGIC = b"PLN1"
 PLANES = {"byte": 4, "bit": 32}
@@ -128,7 +128,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     ordered = (rows.repartitionByRange(partitions(spark), "id", "tie")
                .sortWithinPartitions("id", "tie", "text").select("id", "text"))
     blocks = ordered.mapInArrow(
-        _write(lambda: library_encoder(tokenizer), end, planes, block), _BLOCKS)
+        _write(lambda: library_encoder(tokenizer, 2 * MEMO), end, planes, block), _BLOCKS)
     blocks.write.option("compression", "none").parquet(f"{path}/blocks")
     written = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks")
     totals = written.groupBy("shard").agg(F.sum("n_ids").alias("n")).orderBy("shard").collect()

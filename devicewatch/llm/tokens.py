@@ -24,8 +24,8 @@ _PIECE = re.compile(
     rf" ?[{_LETTER}]++(?=[!-/:-@\[-`{{-~{_SPACE}])| ?[^{_SPACE}]+"
     rf"|[{_SPACE}]+(?=[{_SPACE}][^{_SPACE}])|[{_SPACE}](?=[^{_SPACE}])|[{_SPACE}]+")
 _WORD = re.compile(f" ?[{_LETTER}]+")
-#: Pieces kept in each of two generations.
-_MEMO = 200_000
+#: Pieces kept in each of two generations: at most some 25 MB each in a worker.
+MEMO = 100_000
 
 def pack_ids(ids: Sequence[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
@@ -46,12 +46,12 @@ class _Memo(dict):
 class Encoder:
     """Texts to little-endian unsigned 32-bit ids, through a function that encodes a piece."""
 
-    def __init__(self, encode: Callable[[str], bytes]) -> None:
-        self._encode = encode
+    def __init__(self, encode: Callable[[str], bytes], memo: int = MEMO) -> None:
+        self._encode, self._size = encode, memo
         self._memo = _Memo({}, encode)
 
     def __call__(self, text: str) -> bytes:
-        if len(self._memo) > _MEMO:
+        if len(self._memo) > self._size:
             self._memo = _Memo(dict(self._memo), self._encode)
         return b"".join(map(self._memo.__getitem__, _PIECE.findall(text)))
 
@@ -82,7 +82,7 @@ def _word_form(tokenizer: Tokenizer) -> Callable[[str], str] | None:
 
 
 @functools.lru_cache(maxsize=4)
-def library_encoder(path: str) -> Encoder:
+def library_encoder(path: str, memo: int = MEMO) -> Encoder:
     """An encoder by a file of the tokenizers library, kept for the life of the process.
 
     Strings of special tokens in a text are ordinary text, and none are added. A piece that is one
@@ -99,4 +99,4 @@ def library_encoder(path: str) -> Encoder:
             return pack_ids([t.id for t in merged(form(piece))])
         return pack_ids(tokenizer.encode(piece, add_special_tokens=False).ids)
 
-    return Encoder(encode)
+    return Encoder(encode, memo)
