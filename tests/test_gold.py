@@ -145,3 +145,9 @@ def test_unknown_order(spark):
 def test_layer_counts(spark):
     got = layer_counts({"a": spark.range(3), "b": spark.range(0), "c": spark.range(5)})
     assert rows(got, "layer", "row_count") == [("a", 3), ("b", 0), ("c", 5)]
+
+
+def test_keywords_match_in_any_case(spark):
+    df = spark.createDataFrame([("Patient had MRI failure",), ("admiral",)], "t string")
+    assert rows(df.where(has_keyword("t", ["MRI"])).select(
+        matched_keywords("t", ["MRI", "Failure"]).alias("m")), "m") == [("MRI, Failure",)]

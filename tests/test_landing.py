@@ -1,4 +1,5 @@
 import json
+import os
 import random
 
 import pytest
@@ -224,3 +225,49 @@ def test_stream_picks_up_new_pages_only(spark, tmp_path):
     second = JobParams("acme", "2023-01-01", "2025-12-31", run_id="r2")
     landing.write_pages(raw(spark, report("c")), land, second)
     assert ingest() == [("a", "r1"), ("b", "r1"), ("c", "r2")]
+
+
+def test_other_errors_and_empty_bodies_fail_the_read(spark, tmp_path):
+    for name, body in (("limit", {"error": {"code": "429", "message": "too many requests"}}),
+                       ("odd", {"meta": {"results": {"total": 5}}})):
+        write_page(tmp_path / name, "1.json", {"meta": {"results": {"total": 5}},
+                                               "results": [report("a")]})
+        write_page(tmp_path / name, "2.json", body)
+        for read in (landing.read_responses, landing.reported_total):
+            with pytest.raises(Exception, match="not a page of results"):
+                read(spark, str(tmp_path / name)).collect()
+        with pytest.raises(Exception, match="not a page of results"):
+            landing.read_responses(spark, str(tmp_path / name)).count()
+
+
+def test_responses_carry_when_they_were_saved(spark, tmp_path):
+    write_page(tmp_path, "1.json", {"results": [report("a")]})
+    os.utime(tmp_path / "1.json", (1_700_000_000, 1_700_000_000))
+    assert landing.read_responses(spark, str(tmp_path)).first()[S.FETCHED_AT] == (
+        "2023-11-14T22:13:20.000000Z")
+
+
+def test_a_stream_keeps_broken_lines_aside_or_stops(spark, tmp_path):
+    land, bronze, aside = (str(tmp_path / d) for d in ("land", "bronze", "aside"))
+    landing.write_pages(raw(spark, report("a"), report("b")), land, PARAMS)
+    (tmp_path / "land" / "_run_id=r1" / "part-x.txt").write_text('{"report_number": "cut')
+    with pytest.raises(Exception, match="cannot be parsed"):
+        ingest_new_pages(spark, land, bronze, str(tmp_path / "o1")).awaitTermination()
+    ingest_new_pages(spark, land, bronze + "2", str(tmp_path / "o2"),
+                     quarantine=aside).awaitTermination()
+    assert rows(tables.read_bronze(spark, bronze + "2"), "report_number") == [("a",), ("b",)]
+    assert rows(spark.read.parquet(aside), S.CORRUPT) == [('{"report_number": "cut',)]
+
+
+def test_streams_and_batches_do_not_mix(spark, tmp_path):
+    land, streamed, batched = (str(tmp_path / d) for d in ("land", "s", "b"))
+    landing.write_pages(raw(spark, report("a")), land, PARAMS)
+    ingest_new_pages(spark, land, streamed, str(tmp_path / "o")).awaitTermination()
+    more = flatten(raw(spark, report("b")))
+    with pytest.raises(ValueError, match="written by a stream"):
+        tables.append_bronze(more, streamed)
+    with pytest.raises(ValueError, match="written by a stream"):
+        tables.replace_run(more, streamed, "r9")
+    tables.append_bronze(more, batched)
+    with pytest.raises(ValueError, match="would hide"):
+        ingest_new_pages(spark, land, batched, str(tmp_path / "o2"))

@@ -4,6 +4,8 @@ import pytest
 from records import raw, rows
 
 from devicewatch import JobParams
+from devicewatch import schemas as S
+from devicewatch.operators.audit import run_summary
 from devicewatch.plans.layers import (
     Locations,
     ingest,
@@ -13,7 +15,7 @@ from devicewatch.plans.layers import (
     refresh_silver,
 )
 from devicewatch.sources import shared, tables
-from devicewatch.sources.landing import read_pages
+from devicewatch.sources.landing import read_pages, read_run_pages
 
 
 def report(number, day, text, kind="Injury"):
@@ -115,3 +117,79 @@ def test_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = (shared.shared_folder(spark, "p") for _ in range(2))
     assert first.startswith(base) and first != second
+
+
+def paths(tmp_path):
+    return Locations(f"{tmp_path}/l", f"{tmp_path}/b", f"{tmp_path}/s/", f"{tmp_path}/g/")
+
+
+def test_broken_pages_are_kept_and_counted(spark, tmp_path):
+    at = paths(tmp_path)
+    folder = tmp_path / "raw" / "run_1"
+    folder.mkdir(parents=True)
+    page = json.dumps([report(str(i), "20230101", "died") for i in range(1000)], indent=2)
+    (folder / "page_0001.json").write_text(page[:int(len(page) * 0.99)])
+    (folder / "page_0002.json").write_text(json.dumps([report("x", "20230101", "died")]))
+    pages = read_pages(spark, f"{tmp_path}/raw", whole_file_pages=True)
+    for _ in range(2):
+        load_pages(pages, at)
+    kept = tables.read_bronze(spark, at.bronze)
+    aside = tables.read_run(spark, at.corrupt, "run_1", S.CORRUPT_SCHEMA)
+    summary = run_summary(kept, corrupt=aside).first()
+    assert (summary.total_records, summary.total_pages, summary.corrupt_pages,
+            summary.corrupt_records) == (1, 2, 1, 1)
+    assert aside.first()[S.SOURCE_FILE].endswith("page_0001.json")
+
+
+def test_a_repeat_without_matches_empties_the_run(spark, tmp_path):
+    at = paths(tmp_path)
+    source = raw(spark, report("1", "20230101", "x"), report("2", "20230101", "y"))
+    assert ingest(source, params("r1"), at).first().total_records == 2
+    again = ingest(source.where("false"), params("r1"), at).first()
+    assert (again.total_pages, again.total_records, again.corrupt_records) == (0, 0, 0)
+    assert tables.read_bronze(spark, at.bronze).count() == 0
+
+
+def test_records_have_to_be_as_many_as_announced(spark, tmp_path):
+    at = paths(tmp_path)
+    source = raw(spark, report("1", "20230101", "x"))
+    with pytest.raises(ValueError, match="1 records of 2 announced"):
+        ingest(source, params("r1"), at, announced=spark.range(1).selectExpr("2L AS total"))
+    assert not (tmp_path / "l").exists()
+    done = ingest(source, params("r1"), at, announced=spark.range(1).selectExpr("1L AS total"))
+    assert done.first().total_records == 1
+
+
+def test_each_page_has_its_own_stamp(spark, tmp_path):
+    at = paths(tmp_path)
+    source = raw(spark, report("1", "20230101", "x"), report("2", "20230101", "y")).selectExpr(
+        "*", "'2024-01-0' || report_number || 'T00:00:00Z' AS _fetched_at")
+    ingest(source, params("r1"), at)
+    assert rows(tables.read_bronze(spark, at.bronze), "report_number", "_ingested_at") == [
+        ("1", "2024-01-01T00:00:00Z"), ("2", "2024-01-02T00:00:00Z")]
+
+
+def test_a_run_is_read_from_its_own_folder(spark, tmp_path):
+    at = paths(tmp_path)
+    for run in ("r1", "r2"):
+        ingest(raw(spark, report(run, "20230101", "x")), params(run), at)
+    for df in (read_run_pages(spark, at.landing, "r2"), tables.read_run(spark, at.bronze, "r2")):
+        assert {r.report_number for r in df.collect()} == {"r2"}
+        assert {r[S.RUN_ID] for r in df.collect()} == {"r2"}
+        files = df.inputFiles()
+        assert files and all("_run_id=r2/" in f for f in files)
+        scan = df._jdf.queryExecution().optimizedPlan().collectLeaves().head()
+        roots = scan.relation().location().rootPaths()
+        assert roots.size() == 1 and roots.head().toString().endswith("_run_id=r2")
+
+
+def test_a_folder_that_executors_do_not_share_is_refused():
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "local-cluster[2,1,1024]"
+
+    with pytest.raises(RuntimeError):
+        shared.shared_folder(Cluster, "p")

@@ -8,7 +8,7 @@ from records import raw, rows
 
 from devicewatch import schemas as S
 from devicewatch.operators import gold
-from devicewatch.operators.dedup import latest_reports
+from devicewatch.operators.dedup import latest_reports, latest_unmoved
 from devicewatch.operators.flatten import flatten
 from devicewatch.operators.silver import devices_silver, events_silver, narratives_silver
 from devicewatch.plans.queries import QUERIES
@@ -145,3 +145,27 @@ def test_hot_report_is_split_in_the_join(spark, bronze, tmp_path):
 
 def test_raw_helper_defaults(spark):
     assert raw(spark, {"report_number": "r"}).first()[S.RUN_ID] == "r1"
+
+
+def test_latest_narratives_leave_the_text_in_place(spark, bronze, tmp_path):
+    """In the plan that ran, no shuffle or sort has the text: few reports have versions."""
+    path = str(tmp_path / "t")
+    few = bronze.where("report_number <> 'hot' or mdr_report_key in ('3', '30')")
+    few.write.parquet(path)
+    got = narratives_silver(spark.read.parquet(path))
+    got.write.parquet(str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).where(
+        "report_number = 'hot'").first().narrative_text == "death 30"
+    ran = got._jdf.queryExecution()
+    ran.executedPlan().execute().count()
+    final = ran.executedPlan().toString().split("== Initial Plan ==")[0]
+    moved = [line for line in final.splitlines()
+             if re.search(r"Exchange (hash|range|single)|Sort \[", line)]
+    assert "isFinalPlan=true" in final and "mdr_text_raw" not in "".join(moved)
+
+
+def test_latest_unmoved_is_latest(bronze):
+    copies = bronze.unionByName(bronze.where("cast(mdr_report_key AS int) % 5 = 0"))
+    one, two = (rows(f(copies), "report_number", "mdr_report_key", "mdr_text_raw")
+                for f in (latest_reports, latest_unmoved))
+    assert one == two and len(one) == 2001

@@ -249,3 +249,18 @@ def test_latest_reports_against_brute_force(spark):
                                     (rank, r.event_type))
     assert rows(latest_reports(df), "report_number", "event_type") == sorted(
         (number, kind) for number, (_, kind) in best.items())
+
+
+def test_report_keys_are_ordered_as_numbers(spark):
+    """Fetched at one time, key 10000001 is later than 9999999 in all three clean tables."""
+    def version(key, brand):
+        return {"report_number": "1", "mdr_report_key": key, "event_type": brand,
+                "device": [{"brand_name": brand, "device_sequence_no": "1"}],
+                "mdr_text": [{"foi_text": brand}]}
+
+    for old in ("9999999", "abc", None, "009"):
+        df = flatten(raw(spark, version("10000001", "new"), version(old, "old")))
+        assert events_silver(df).first().event_type == "new"
+        assert devices_silver(df).first().brand_name == "new"
+        assert devices_silver(df, latest_only=False).first().brand_name == "new"
+        assert narratives_silver(df).first().narrative_text == "new"
