@@ -159,9 +159,11 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     length = F.element_at(F.array(*[F.lit(max(1, settings.excerpt // d)) for d in (1, 3, 10)]),
                           (F.pmod(draw("length"), F.lit(3)) + 1).cast("int"))
     start = F.pmod(draw("start"), F.greatest(F.length("text") - length, F.lit(0)) + 1) + 1
-    sample = (chosen.withColumn("_order", draw("order")).orderBy("_order", "id", "lang")
-              .limit(settings.sample_rows).select(
-                  F.substring("text", start.cast("int"), length).alias("text"), "lang").collect())
+    # Cut before the rows are ordered: whole texts stay where they are.
+    excerpts = chosen.select(
+        F.substring("text", start.cast("int"), length).alias("text"), "lang",
+        draw("order").alias("order"))
+    sample = excerpts.orderBy("order", "lang", "text").limit(settings.sample_rows).collect()
     sample.sort(key=lambda r: (r["lang"], r["text"]))
     return train([r["text"] for r in sample], [r["lang"] for r in sample], settings)
 
