@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devicewatch.llm.shared import whole_text
-from devicewatch.llm.tokens import library_encoder
+from devicewatch.llm.tokens import MEMO, library_encoder
 
 SCHEMA = ("id long, start long, length long, ids binary, doc_tokens long, sequence_id long, "
           "offset long")
@@ -136,13 +136,15 @@ def _pack(encoder: Callable[[], Callable[[str], bytes]], end: int | None, capaci
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-         end: int | None = None, capacity: int = 2048, smallest: int = 64) -> DataFrame:
+         end: int | None = None, capacity: int = 2048, smallest: int = 64,
+         memo: int = MEMO) -> DataFrame:
     """One row per piece: ``id``, ``start``, ``length``, ``ids``, ``doc_tokens``, ``sequence_id``, ``offset``.
 
     ``tokenizer`` is a file of the tokenizers library; ``end`` is an id put after every document.
     ``ids`` are little-endian unsigned 32-bit. Each id of a document lies in one piece, ``start``
     ids into it; pieces fill a sequence from ``offset`` 0 without gaps, up to ``capacity``.
-    Null texts count as empty: without ``end`` they have no piece. Rows that repeat an id are
+    ``memo`` is how many pieces of text a worker remembers, twice over: more is faster and takes
+    more memory. Null texts count as empty: without ``end`` they have no piece. Rows that repeat an id are
     packed each. Other columns are ignored. Every partition is packed on its own, in one pass and
     without a shuffle, and ends in at most one sequence that is not full but for its short rests.
     """
@@ -150,4 +152,4 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         raise ValueError("capacity >= smallest >= 1 is needed")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
     return rows.mapInArrow(
-        _pack(lambda: library_encoder(tokenizer), end, capacity, smallest), SCHEMA)
+        _pack(lambda: library_encoder(tokenizer, memo), end, capacity, smallest), SCHEMA)

@@ -14,6 +14,9 @@ from devicewatch.llm import (
 from devicewatch.llm.shared import read_table
 from devicewatch.sources.shared import shared_folder
 
+#: Pieces of text that a worker remembers in the queries that do little else than encode.
+_MEMO = 400_000
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -26,7 +29,7 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
     pieces = packing.pack(read_table(spark, sf_dir, "documents"),
-                          public_tokenizers.path("word_bpe_49k.json"), end=1)
+                          public_tokenizers.path("word_bpe_49k.json"), end=1, memo=_MEMO)
     return pieces.select(
         F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"),
         "doc_tokens", "sequence_id", "offset")
@@ -98,7 +101,8 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ids of all documents, written in files of planes and read back."""
     path = shared_folder(spark, "tokens")
     token_files.write_tokens(read_table(spark, sf_dir, "documents"), path,
-                             public_tokenizers.path("byte_bpe_50k.json"), end=2)
+                             public_tokenizers.path("byte_bpe_50k.json"), end=2,
+                             memo=_MEMO)
     return token_files.read_tokens(spark, path).select(
         F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 

@@ -112,11 +112,12 @@ def _write(encoder: Callable[[], Callable[[str], bytes]], end: int | None, plane
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id",
                  text_col: str = "text", end: int | None = None, planes: str = "byte",
-                 block: int = BLOCK) -> None:
+                 block: int = BLOCK, memo: int = MEMO) -> None:
     """Write the ids of all texts in ascending order of document id (nulls first, then by text).
 
     ``tokenizer`` is a file of the tokenizers library; ``end`` is an id put after every document.
     Null texts count as empty; rows that repeat an id are written each; other columns are ignored.
+    ``memo`` is how many pieces of text a worker remembers, twice over.
     ``{path}/blocks`` has the blocks by shard, ``{path}/shards`` where in all ids each shard
     begins: the one number per shard that passes through the driver.
     """
@@ -128,7 +129,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     ordered = (rows.repartitionByRange(partitions(spark), "id", "tie")
                .sortWithinPartitions("id", "tie", "text").select("id", "text"))
     blocks = ordered.mapInArrow(
-        _write(lambda: library_encoder(tokenizer, 2 * MEMO), end, planes, block), _BLOCKS)
+        _write(lambda: library_encoder(tokenizer, memo), end, planes, block), _BLOCKS)
     blocks.write.option("compression", "none").parquet(f"{path}/blocks")
     written = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks")
     totals = written.groupBy("shard").agg(F.sum("n_ids").alias("n")).orderBy("shard").collect()
