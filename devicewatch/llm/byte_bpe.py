@@ -229,7 +229,7 @@ def text_encoder(path: str, pattern: str) -> Encoder:
         return pack_ids([i for match in find(piece)
                          for i in machine.encode(match.encode("utf-8", "surrogatepass"))])
 
-    return Encoder(encode, 2 * MEMO)
+    return Encoder(encode, 3 * MEMO)
 
 
 def encode(text_col: str, path: str, pattern: str) -> Column:
