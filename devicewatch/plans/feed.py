@@ -188,11 +188,11 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All raw reports by page: ``_run_id``, ``page``, ``records`` (a JSON array) and ``count``.
 
-    A page holds the reports of fifty consecutive numbers, in the order of their text.
+    A page holds the reports of two hundred consecutive numbers, in the order of their text.
     """
     number = F.regexp_extract("report_number", r"(\d+)", 1).cast("long")
     rows = reports(spark, sf_dir).select(
-        S.RUN_ID, F.floor(number / 50).alias("page"), record_json().alias("record"))
+        S.RUN_ID, F.floor(number / 200).alias("page"), record_json().alias("record"))
     return rows.groupBy(S.RUN_ID, "page").agg(
         F.concat(F.lit("[\n"), F.array_join(F.sort_array(F.collect_list("record")), ",\n"),
                  F.lit("\n]")).alias("records"), F.count("*").alias("count"))

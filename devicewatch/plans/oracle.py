@@ -330,12 +330,12 @@ _TOP_RISK = """ORDER BY total_reports DESC, brand_name NULLS FIRST, generic_name
 _TOP_FLAGGED = """ORDER BY date_received DESC NULLS LAST, report_number, text_type_code,
   md5(narrative_text) LIMIT 20"""
 
-# A page holds the reports of fifty consecutive numbers.
+# A page holds the reports of two hundred consecutive numbers.
 _RUN_FILES = _SUB + """,
 record AS (
-  SELECT 'run_reports' AS run_id, o_orderkey // 50 AS page, fetched FROM sub
-  UNION ALL SELECT 'run_texts', doc_id // 50, '2002-01-01T00:00:00Z' FROM documents
-  UNION ALL SELECT 'run_texts', conv_id // 50, '2002-02-01T00:00:00Z' FROM conversations
+  SELECT 'run_reports' AS run_id, o_orderkey // 200 AS page, fetched FROM sub
+  UNION ALL SELECT 'run_texts', doc_id // 200, '2002-01-01T00:00:00Z' FROM documents
+  UNION ALL SELECT 'run_texts', conv_id // 200, '2002-02-01T00:00:00Z' FROM conversations
 )"""
 
 # Reports of both runs, as the events table sees them when the runs share one raw layer: a
