@@ -1,17 +1,20 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine, with evidence.
 
-Terms are words and word beginnings, chosen by how far they lean to toxic examples of a bounded
-labelled sample; their document frequencies are counted over all documents. The examples sit in
+Terms are all words and word beginnings of a text, hashed to a wide fixed space; their document
+frequencies are counted over all documents. Every labelled example of a bounded sample sits in
 an inverted index whose postings are cut into blocks of examples with the largest weight of each,
-so blocks that cannot reach the nearest found so far are skipped and the result stays exact.
+so blocks that cannot reach the nearest found so far are skipped and the result stays exact. The
+score weighs the vote of the nearest against how far the words of the text lean to either class.
 """
 
 from __future__ import annotations
 
 import dataclasses
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,21 +25,23 @@ from devicewatch.llm.shared import materialise, whole_text
 
 _WORD = re.compile(r"\w+")
 _STEMS = (4, 5)
-_VECTOR = "terms array<int>, counts array<int>"
+#: Words that a worker remembers, texts that it looks up together, and blocks of the index that are
+#: searched before others are skipped.
+_MEMO, _TEXTS, _AHEAD = 100_000, 64, 8
+#: Terms in more than one example in so many are kept as rows of a matrix.
+_FREQUENT = 10
 
 
 @dataclasses.dataclass(frozen=True)
 class Settings:
     """``sample_rows`` bounds the labelled examples (half of them toxic where there are enough).
 
-    ``vocabulary`` bounds the terms, ``least`` and ``lean`` are the toxic examples and the
-    log odds a term needs, ``nearest`` is how many examples vote, ``block`` the examples to a block of postings.
+    ``space`` is the number of places that terms are hashed to, ``nearest`` how many examples
+    vote, ``block`` the examples to a block of postings.
     """
 
     sample_rows: int = 8_000
-    vocabulary: int = 4_096
-    least: int = 4
-    lean: float = 2.0
+    space: int = 1 << 21
     nearest: int = 15
     block: int = 64
     evidence: int = 3
@@ -49,137 +54,250 @@ def word_terms(word: str) -> tuple[str, ...]:
 
 # --- terms -------------------------------------------------------------------------------
 
-def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        seen: tuple[Counter, Counter] = (Counter(), Counter())
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                               strict=True):
-            words = set(_WORD.findall(text.lower()))
-            seen[toxic].update({t for w in words for t in word_terms(w)})
-        terms = list(seen[0].keys() | seen[1].keys())
-        yield pa.RecordBatch.from_pydict(
-            {"term": terms, "clean": [seen[0][t] for t in terms],
-             "toxic": [seen[1][t] for t in terms]},
-            schema=pa.schema([("term", pa.string()), ("clean", pa.int64()),
-                              ("toxic", pa.int64())]))
-
-
-def choose_terms(sample: DataFrame, clean: int, toxic: int, settings: Settings) -> list[str]:
-    """The terms that lean furthest to toxic examples, by log odds less their standard error."""
-    counts = (sample.select("text", "toxic")
-              .mapInArrow(_term_counts, "term string, clean long, toxic long")
-              .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
-    odds = (F.log((F.col("toxic") + 0.5) / (toxic + 1.0))
-            - F.log((F.col("clean") + 0.5) / (clean + 1.0)))
-    error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    lean = odds - error
-    kept = (counts.where((F.col("toxic") >= settings.least) & (lean > settings.lean))
-            .withColumn("lean", lean).orderBy(F.desc("lean"), "term")
-            .limit(settings.vocabulary))
-    return [r["term"] for r in kept.select("term").collect()]
-
-
-def term_vector(text_col: str, terms: list[str]) -> Column:
-    """Term numbers and counts of the whole text, as a struct of two arrays."""
-    number = {t: k for k, t in enumerate(terms)}
-    kind = pa.struct([("terms", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))])
+class _Places(dict):
+    """Places of the terms of a word."""
+
+    def __init__(self, space: int) -> None:
+        self.space = space
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        found = self[word] = tuple(zlib.crc32(t.encode("utf-8", "surrogatepass")) % self.space
+                                   for t in word_terms(word))
+        return found
+
+
+def text_vector(text: str, known: _Places) -> tuple[np.ndarray, np.ndarray]:
+    """Places in order and counts of all terms of a text."""
+    words = Counter(_WORD.findall(text.lower()))
+    if not words:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    places = [known[w] for w in words]
+    if len(known) > _MEMO:
+        known.clear()
+    sizes = np.fromiter(map(len, places), np.int64, len(places))
+    at = np.fromiter(chain.from_iterable(places), np.int64, int(sizes.sum()))
+    counts = np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes)
+    order = np.argsort(at)
+    at = at[order]
+    first = np.nonzero(np.diff(at, prepend=-1))[0]
+    return at[first], np.add.reduceat(counts[order], first)
+
+
+def packed(at: np.ndarray, counts: np.ndarray) -> bytes:
+    """Steps between places and counts, byte by byte, so that zeros stand together."""
+    both = np.column_stack([np.diff(at, prepend=0), counts]).astype("<u4")
+    return both.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    both = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u4")
+    return np.cumsum(both[:, 0], dtype=np.int32), both[:, 1].astype(np.int32)
+
+
+def term_vector(text_col: str, space: int) -> Column:
+    """All terms of the whole text, as :func:`packed` has them."""
+    known = _Places(space)
 
     def of(batch: pa.Array) -> pa.Array:
-        known: dict[str, tuple[int, ...]] = {}
-        found = []
-        for value in batch:
-            total: Counter = Counter()
-            for word, n in Counter(_WORD.findall(value.as_py().lower())).items():
-                hits = known.get(word)
-                if hits is None:
-                    hits = known[word] = tuple(
-                        number[t] for t in word_terms(word) if t in number)
-                for k in hits:
-                    total[k] += n
-            at = sorted(total)
-            found.append({"terms": at, "counts": [total[k] for k in at]})
-        return pa.array(found, type=kind)
+        return pa.array([packed(*text_vector(value.as_py(), known)) for value in batch],
+                        type=pa.binary())
+
+    return F.arrow_udf(of, "binary")(whole_text(text_col))
+
+
+def _term_counts(space: int):
+    """Vectors to the number of rows that have each term, once for a task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(space, dtype=np.int64)
+        for batch in batches:
+            for value in batch.column(0):
+                n[unpacked(value.as_py())[0]] += 1
+        found = np.nonzero(n)[0]
+        for k in range(0, len(found), 65536):
+            part = found[k:k + 65536]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part.astype(np.int32)), pa.array(n[part])], names=["term", "n"])
 
-    return F.arrow_udf(of, f"struct<{_VECTOR.replace(' array', ':array')}>")(whole_text(text_col))
+    return run
+
+
+def document_frequency(vectors: DataFrame, space: int) -> np.ndarray:
+    """How many rows of ``vector`` have each term."""
+    counts = (vectors.select("vector").mapInArrow(_term_counts(space), "term int, n long")
+              .groupBy("term").agg(F.sum("n").alias("n")).toArrow())
+    frequency = np.zeros(space)
+    frequency[counts.column("term").to_numpy()] = counts.column("n").to_numpy()
+    return frequency
 
 
 # --- index -------------------------------------------------------------------------------
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
 class Index:
-    """Examples as unit vectors in an inverted index with block maxima."""
+    """Examples as unit vectors in an inverted index with block maxima.
+
+    The postings of terms that many examples have are columns of a matrix, with the largest
+    weight in each block of examples; a block is multiplied with the texts that it may still
+    serve. The short lists of other terms are added up first, in full, and are part of the bounds.
+    """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int,
                  block: int) -> None:
         self.size, self.block = len(vectors), block
-        self.blocks = -(-self.size // block)
-        lists: list[list[tuple[int, float]]] = [[] for _ in range(terms)]
-        for example, (at, weight) in enumerate(vectors):
-            for k, w in zip(at.tolist(), weight.tolist(), strict=True):
-                lists[k].append((example, w))
-        self.examples = [np.array([e for e, _ in p], dtype=np.int64) for p in lists]
-        self.weights = [np.array([w for _, w in p]) for p in lists]
-        self.starts = [np.searchsorted(e, np.arange(self.blocks + 1) * block)
-                       for e in self.examples]
-        self.most = np.zeros((terms, self.blocks))
-        for k, p in enumerate(lists):
-            for example, w in p:
-                self.most[k, example // block] = max(self.most[k, example // block], w)
+        kind = np.min_scalar_type(max(1, self.size))
+        term = np.concatenate([np.empty(0, np.int32), *[at for at, _ in vectors]], dtype=np.int32)
+        order = np.argsort(term, kind="stable")  # examples stay in order
+        term = term[order]
+        example = np.repeat(np.arange(self.size, dtype=kind), [len(at) for at, _ in vectors])[order]
+        weight = np.concatenate([np.empty(0), *[w for _, w in vectors]])[order]
+        first = np.nonzero(np.diff(term, prepend=-1))[0]
+        self.terms, n = term[first], np.diff(first, append=len(term))
+        del order, term
+        often = n * _FREQUENT > self.size
+        self.row = np.where(often, np.cumsum(often) - 1, -1).astype(np.int32)
+        dense = np.repeat(often, n)
+        self.dense = (np.repeat(self.row[often], n[often]), example[dense], weight[dense])
+        self.ends = np.cumsum(np.where(often, 0, n)).astype(np.int32)  # of postings
+        self.example, self.weight = example[~dense], weight[~dense]
+        self._make()
+
+    def _make(self) -> None:
+        rows, columns, weight = self.dense
+        self.matrix = np.zeros((int((self.row >= 0).sum()), self.size))
+        self.matrix[rows, columns] = weight
+        self.tops = np.arange(0, self.size, self.block)
+        self.most = np.maximum.reduceat(self.matrix, self.tops, axis=1) if self.size else None
+
+    def __getstate__(self) -> dict:
+        made = ("matrix", "tops", "most")  # again where the index arrives
+        return {k: v for k, v in self.__dict__.items() if k not in made}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._make()
+
+    def known(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which terms the examples have, and their numbers in ``terms``."""
+        if not len(self.terms):
+            return np.zeros(len(at), dtype=bool), np.empty(0, dtype=np.int64)
+        k = np.minimum(np.searchsorted(self.terms, at.astype(np.int32)), len(self.terms) - 1)
+        there = self.terms[k] == at
+        return there, k[there]
 
     def nearest(self, at: np.ndarray, weight: np.ndarray, n: int) -> list[tuple[float, int]]:
         """The ``n`` examples of largest cosine above 0, ties by number, as (cosine, example)."""
-        if not len(at) or not self.size:
-            return []
-        bound = weight @ self.most[at]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(best) == n and bound[b] * (1 + 1e-9) < -best[-1][0]:
-                break
-            score = np.zeros(self.block)
-            for k, w in zip(at.tolist(), weight.tolist(), strict=True):
-                lo, hi = self.starts[k][b], self.starts[k][b + 1]
-                if lo < hi:
-                    score[self.examples[k][lo:hi] - b * self.block] += w * self.weights[k][lo:hi]
-            hit = np.nonzero(score > 0)[0]
-            found = sorted(zip((-score[hit]).tolist(), (hit + b * self.block).tolist(),
-                               strict=True))
-            best = sorted(best + found[:n])[:n]
+        return self.nearest_of([(at, weight)], n)[0]
+
+    def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]],
+                   n: int) -> list[list[tuple[float, int]]]:
+        """:meth:`nearest` of several vectors."""
+        if not self.size:
+            return [[] for _ in vectors]
+        query = np.zeros((len(vectors), len(self.matrix)))
+        score = np.zeros((len(vectors), self.size))
+        for q, (at, weight) in enumerate(vectors):
+            there, k = self.known(at)
+            weight, row = weight[there], self.row[k]
+            query[q, row[row >= 0]] = weight[row >= 0]
+            k, weight = k[row < 0], weight[row < 0]
+            start = np.where(k > 0, self.ends[k - 1], 0)
+            sizes = self.ends[k] - start
+            of = _ranges(start, sizes)
+            score[q] = np.bincount(
+                self.example[of], np.repeat(weight, sizes) * self.weight[of], self.size)
+        bound = np.maximum.reduceat(score, self.tops, axis=1) + query @ self.most
+        done = np.zeros(bound.shape, dtype=bool)
+        order = np.argsort(-bound, axis=1, kind="stable")[:, :-(-n // self.block) + _AHEAD]
+        np.put_along_axis(done, order, True, axis=1)
+        self._multiply(score, query, done)
+        reached = np.where(np.repeat(done, self.block, axis=1)[:, :self.size], score, 0)
+        least = np.partition(reached, -n, axis=1)[:, -n] if n <= self.size else np.zeros(len(score))
+        # The other blocks that may still reach the nearest found.
+        behind = ~done & (bound > 0) & (bound + 1e-9 >= least[:, None])
+        self._multiply(score, query, behind)
+        done |= behind
+        return [self._best(row, of, n) for row, of in zip(score, done, strict=True)]
+
+    def _multiply(self, score: np.ndarray, query: np.ndarray, of: np.ndarray) -> None:
+        for b, top in enumerate(self.tops.tolist()):
+            texts = np.nonzero(of[:, b])[0]
+            if len(texts):
+                part = slice(top, top + self.block)
+                score[texts, part] += query[texts] @ self.matrix[:, part]
+
+    def _best(self, score: np.ndarray, of: np.ndarray, n: int) -> list[tuple[float, int]]:
+        score = np.where(np.repeat(of, self.block)[:self.size], score, 0)
+        least = np.partition(score, -n)[-n] - 1e-11 if n < self.size else 0.0
+        hit = np.nonzero((score > 0) & (score >= least))[0]
+        # Equal examples tie whatever the order of the sums.
+        found = np.round(score[hit], 12)
+        hit, found = hit[found > 0], found[found > 0]
+        best = sorted(zip((-found).tolist(), hit.tolist(), strict=True))[:n]
         return [(min(1.0, -s), e) for s, e in best]
 
 
 def unit(at: list[int], counts: list[int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The TF-IDF unit vector, with logarithmic term frequency."""
-    at_ = np.asarray(at, dtype=np.int64)
+    at_ = np.asarray(at, dtype=np.int32)
     weight = (1 + np.log(np.asarray(counts, dtype=np.float64))) * idf[at_] if len(at_) else (
         np.empty(0))
     return at_, weight / np.linalg.norm(weight) if len(at_) else weight
 
 
+def leans(index: Index, toxic: np.ndarray) -> np.ndarray:
+    """How far each of the examples' terms leans to toxic (above 0) or clean ones.
+
+    The log odds, drawn towards 0 by their standard error.
+    """
+    number = np.repeat(np.arange(len(index.terms)), np.diff(index.ends, prepend=0))
+    seen = []
+    for v in (0, 1):
+        n = np.bincount(number[toxic[index.example] == v], minlength=len(index.terms)) + 0.5
+        n[index.row >= 0] += np.count_nonzero(index.matrix[:, toxic == v], axis=1)
+        seen.append(n)
+    odds = np.log(seen[1] / ((toxic == 1).sum() + 1.0)) - np.log(
+        seen[0] / ((toxic == 0).sum() + 1.0))
+    error = np.sqrt(1 / seen[0] + 1 / seen[1])
+    return np.sign(odds) * np.maximum(0.0, np.abs(odds) - error)
+
+
 @dataclasses.dataclass(frozen=True)
 class Model:
-    """Terms, their weights, the index, its examples' labels, and the calibration."""
+    """Weights of terms, the index, its examples' labels, leans of terms, and the calibration."""
 
-    terms: tuple[str, ...]
     idf: np.ndarray
     index: Index
     ids: tuple
     toxic: np.ndarray
     weight: np.ndarray
-    slope: float
+    lean: np.ndarray
+    slopes: tuple[float, float]
     shift: float
     blank: float
     settings: Settings
 
-    def raw(self, near: list[tuple[float, int]]) -> float:
-        """Log odds of the distance-weighted vote."""
-        return _vote(near, self.toxic, self.weight)
-
-    def score(self, at: list[int], counts: list[int]) -> tuple[float, list]:
-        near = self.index.nearest(*unit(at, counts, self.idf), self.settings.nearest)
-        if not near:
-            return self.blank, []
-        p = 1 / (1 + np.exp(-(self.slope * self.raw(near) + self.shift)))
-        return float(p), [(self.ids[e], s, int(self.toxic[e]))
-                          for s, e in near[:self.settings.evidence]]
+    def raw(self, at: np.ndarray, near: list[tuple[float, int]]) -> tuple[float, float]:
+        """Log odds of the distance-weighted vote, and the lean of all terms (a mean of powers)."""
+        lean = self.lean[self.index.known(at)[1]]
+        return _vote(near, self.toxic, self.weight), float(np.log(np.exp(2 * lean).mean()))
+
+    def scores(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, list]]:
+        """Score and evidence of each (terms, counts)."""
+        units = [unit(at, counts, self.idf) for at, counts in vectors]
+        for (at, _), near in zip(units, self.index.nearest_of(units, self.settings.nearest),
+                                 strict=True):
+            if not near:
+                yield self.blank, []
+                continue
+            x = np.dot(self.slopes, self.raw(at, near)) + self.shift
+            p = 1 / (1 + np.exp(-np.clip(x, -500, 500)))
+            yield float(p), [(self.ids[e], s, int(self.toxic[e]))
+                             for s, e in near[:self.settings.evidence]]
 
 
 def _vote(near, toxic: np.ndarray, weight: np.ndarray) -> float:
@@ -189,14 +307,17 @@ def _vote(near, toxic: np.ndarray, weight: np.ndarray) -> float:
     return float(np.log(votes[1] / votes[0]))
 
 
-def _platt(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic fit by gradient steps, pulled towards slope 1, shift 0."""
-    slope, shift = 1.0, 0.0
-    for _ in range(400):
-        off = w * (1 / (1 + np.exp(-(slope * x + shift))) - y)
-        slope -= 0.2 * ((off * x).sum() / w.sum() + 0.01 * (slope - 1))
-        shift -= 0.2 * (off.sum() / w.sum() + 0.01 * shift)
-    return max(slope, 0.05), shift
+def _platt(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[tuple[float, float], float]:
+    """Slopes and shift of a logistic fit by Newton's steps, pulled towards the vote alone."""
+    x, w = np.column_stack([x, np.ones(len(x))]), w / w.sum()
+    aim = np.array([1.0, 0.0, 0.0])
+    fit_ = aim.copy()
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ fit_, -30, 30)))
+        slope = x.T @ (w * (p - y)) + 0.01 * (fit_ - aim)
+        curve = (x * (w * p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(3)
+        fit_ = fit_ - np.clip(np.linalg.solve(curve, slope), -1, 1)
+    return (max(float(fit_[0]), 0.05), max(float(fit_[1]), 0.0)), float(fit_[2])
 
 
 def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -206,7 +327,8 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
 
     ``labelled`` has an id and a 0/1 label; rows with null in either are left out. Rows whose
     text is null count as empty. At most ``sample_rows`` examples, chosen by a hash of their
-    id, reach the driver, as term vectors. Inverse document frequencies count all of ``docs``.
+    id, reach the driver, as vectors of all their terms. Inverse document frequencies count
+    all of ``docs``.
     """
     labels = labelled.select(
         F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")
@@ -222,64 +344,75 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
                              & (F.pmod(draw, F.lit(1_000_000)) < int(share)))
                 .orderBy(draw, "id").limit(half))
         chosen = part if chosen is None else chosen.unionByName(part)
-    # At most sample_rows ids.
-    sample = materialise(docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-                         .join(F.broadcast(chosen), "id"), "toxicity-sample")
-    sizes = {r["toxic"]: r["n"] for r in
-             sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    terms = choose_terms(sample, sizes.get(0, 0), sizes.get(1, 0), settings)
-
     vectors = materialise(docs.select(
-        F.col(id_col).alias("id"), term_vector(text_col, terms).alias("vector")), "toxicity-terms")
-    found = vectors.select(F.explode("vector.terms").alias("term")).groupBy("term").agg(
-        F.count(F.lit(1)).alias("n")).collect()
-    frequency = np.zeros(len(terms))
-    for r in found:
-        frequency[r["term"]] = r["n"]
-    idf = np.log((1 + vectors.count()) / (1 + frequency)) + 1
-
-    examples = sample.select("id", "toxic", term_vector("text", terms).alias("vector")).collect()
-    examples.sort(key=lambda r: (r["id"], r["toxic"], r["vector"]["terms"], r["vector"]["counts"]))
-    prior = [there.get(v, 0) / max(1, sizes.get(v, 0)) for v in (0, 1)]
+        F.col(id_col).alias("id"), term_vector(text_col, settings.space).alias("vector")),
+        "toxicity-terms")
+    frequency = document_frequency(vectors, settings.space)
+    idf = (np.log((1 + vectors.count()) / (1 + frequency)) + 1).astype(np.float32)
+
+    # At most sample_rows ids.
+    sample = vectors.join(F.broadcast(chosen), "id").toArrow()
+    examples = [(i, t, *unpacked(v)) for i, t, v in zip(
+        *[sample.column(c).to_pylist() for c in ("id", "toxic", "vector")], strict=True)]
+    del sample
+    examples.sort(key=lambda r: (r[0], r[1], r[2].tobytes(), r[3].tobytes()))
+    return train(examples, there, idf, settings), vectors
+
+
+def train(examples: list[tuple], there: dict[int, int], idf: np.ndarray,
+          settings: Settings = Settings()) -> Model:
+    """A model from (id, label, terms, counts) of examples; ``there`` are all labels of a class."""
+    toxic = np.array([t for _, t, _, _ in examples], dtype=np.int64)
+    sizes = [int((toxic == v).sum()) for v in (0, 1)]
+    prior = [there.get(v, 0) / max(1, sizes[v]) for v in (0, 1)]
     scale = max(prior) or 1.0
     weight = np.array([max(p / scale, 1e-3) for p in prior])  # of one example in all documents
-    toxic = np.array([r["toxic"] for r in examples], dtype=np.int64)
-    units = [unit(r["vector"]["terms"], r["vector"]["counts"], idf) for r in examples]
+    ids = [i for i, _, _, _ in examples]
+    units = [unit(at, counts, idf) for _, _, at, counts in examples]
+    del examples
     full = [k for k, (at, _) in enumerate(units) if len(at)]
-    # Examples that share no term are neighbours of nothing: their votes are a constant.
+    # Examples without a word are neighbours of nothing: their votes are a constant.
     blank = np.array([k for k in range(len(units)) if not len(units[k][0])], dtype=np.int64)
     tallies = [weight[v] * (toxic[blank] == v).sum() for v in (0, 1)] if len(blank) else [0, 0]
     nothing = (tallies[1] + 0.05) / (tallies[0] + tallies[1] + 0.5)
 
-    def model(of: list[int], slope: float = 1.0, shift: float = 0.0) -> Model:
-        return Model(tuple(terms), idf, Index([units[k] for k in of], len(terms), settings.block),
-                     tuple(examples[k]["id"] for k in of), toxic[of], weight, slope, shift,
-                     float(nothing), settings)
+    def model(of: list[int], slopes: tuple[float, float] = (1.0, 0.0),
+              shift: float = 0.0) -> Model:
+        index = Index([units[k] for k in of], settings.space, settings.block)
+        return Model(idf, index, tuple(ids[k] for k in of), toxic[of], weight,
+                     leans(index, toxic[of]), slopes, shift, float(nothing), settings)
 
     held, rest = full[::5], [k for i, k in enumerate(full) if i % 5]
     trial = model(rest)
-    raw = [trial.raw(near) if (near := trial.index.nearest(*units[k], settings.nearest)) else 0.0
-           for k in held]
-    slope, shift = _platt(np.array(raw), toxic[held], weight[toxic[held]]) if held else (1.0, 0.0)
-    return model(full, slope, shift), vectors
+    met = []
+    for k in range(0, len(held), _TEXTS):
+        part = held[k:k + _TEXTS]
+        found = trial.index.nearest_of([units[e] for e in part], settings.nearest)
+        met += [(e, near) for e, near in zip(part, found, strict=True) if near]
+    if not met:
+        return model(full)
+    raw = np.array([trial.raw(units[k][0], near) for k, near in met])
+    at = toxic[[k for k, _ in met]]
+    del trial
+    return model(full, *_platt(raw, at, weight[at]))
 
 
 def score(vectors: DataFrame, model: Model) -> DataFrame:
     """``id``, ``score`` and ``evidence`` (id, cosine and label of the nearest examples).
 
-    ``vectors`` has ``id`` and ``vector``. A text without any term has no neighbour: its score is
-    the toxic share of such examples, and its evidence is empty.
+    ``vectors`` has ``id`` and ``vector``. A text that shares no term with an example has no
+    neighbour: its score is the toxic share of examples without a word, its evidence empty.
     """
     kind = pa.struct([("score", pa.float64()), ("evidence", pa.list_(pa.struct([
         ("id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())])))])
 
     def of(batch: pa.Array) -> pa.Array:
         found = []
-        for value in batch:
-            v = value.as_py()
-            p, near = model.score(v["terms"], v["counts"])
-            found.append({"score": p, "evidence": [
-                {"id": i, "cosine": s, "toxic": t} for i, s, t in near]})
+        for k in range(0, len(batch), _TEXTS):
+            vectors = [unpacked(value.as_py()) for value in batch[k:k + _TEXTS]]
+            found += [{"score": p, "evidence": [
+                {"id": i, "cosine": s, "toxic": t} for i, s, t in near]}
+                for p, near in model.scores(vectors)]
         return pa.array(found, type=kind)
 
     scored = F.arrow_udf(

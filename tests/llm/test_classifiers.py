@@ -118,3 +118,29 @@ def test_nearest_examples_are_exact():
             assert np.allclose([s for s, _ in got], [-c for c, _ in best])
             assert {e for s, e in got if s > -best[-1][0] + 1e-9} == {
                 k for c, k in best if -c > -best[-1][0] + 1e-9}
+
+
+def test_toxicity_searches_all_words_of_all_examples(spark):
+    """Words that lean to no class, or stand in one text only, count in the cosine as well."""
+    rows = [(k, f"{edge.words(k, 12)} common rare{k}x") for k in range(60)]
+    rows += [(100, rows[7][1]), (101, "quite unseen rare7x"), (102, "unseen elsewhere")]
+    labels = spark.createDataFrame([(k, int(k % 6 == 0)) for k in range(60)],
+                                   "doc_id long, toxic int")
+    model, vectors = toxicity.fit(edge.documents(spark, rows), labels)
+    assert len(model.ids) == 60 and (model.toxic == 0).sum() == 50
+    got = {r["id"]: r for r in toxicity.score(vectors, model).collect()}
+    counts = []
+    for _, text in rows:
+        terms = [t for w in text.split() for t in toxicity.word_terms(w)]
+        counts.append({t: terms.count(t) for t in terms})
+    n = {t: sum(t in c for c in counts) for c in counts for t in c}
+    whole = [{t: (1 + np.log(k)) * (np.log((1 + len(rows)) / (1 + n[t])) + 1)
+              for t, k in c.items()} for c in counts]
+    norm = [sum(w * w for w in v.values()) ** 0.5 for v in whole]
+    for q, (id_, _) in enumerate(rows):
+        cosine = [sum(w * whole[k].get(t, 0) for t, w in whole[q].items()) / norm[q] / norm[k]
+                  for k in range(60)]
+        best = sorted([(-c, k) for k, c in enumerate(cosine) if c > 0])[:3]
+        assert np.allclose([e["cosine"] for e in got[id_]["evidence"]], [-c for c, _ in best])
+    assert got[100]["evidence"][0]["id"] == 7 and got[101]["evidence"][0]["id"] == 7
+    assert not got[102]["evidence"]
