@@ -27,19 +27,22 @@ from devicewatch.llm.unionfind import Forest
 class Settings:
     """``sample_rows`` bounds the vectors the trees are fitted on; every vector is indexed.
 
-    ``leaf`` is the number of vectors a leaf aims at. Vectors within ``margin`` of a split (unit
-    vectors, unit directions) go to both sides. A leaf of more than ``task`` vectors is compared
-    piece by piece, in several tasks, in full. A node whose split leaves more than ``least_cut``
-    of it on one side, as a tight cluster does, stays a leaf.
+    ``leaf`` is the number of vectors a leaf aims at. Two vectors at the threshold differ along a
+    direction by ``sqrt(2 (1 - threshold) / length)`` (standard deviation); vectors within
+    ``spill`` times that of a split, or a given ``margin``, go to both sides. A leaf of more than ``task`` vectors is
+    compared piece by piece, in several tasks, in full. A node whose split leaves more than
+    ``least_cut`` of it on one side stays a leaf: it is hardly wider than the spill, as a cluster
+    of linked vectors is, and cuts through it would part its pairs again and again.
     """
 
     threshold: float = 0.9
     trees: int = 6
     leaf: int = 512
-    margin: float = 0.02
+    spill: float = 0.36
+    margin: float | None = None
     sample_rows: int = 20_000
     task: int = 4_096
-    least_cut: float = 0.9
+    least_cut: float = 0.65
     seed: int = 11
 
 
@@ -47,7 +50,9 @@ class Tree:
     """Directions and cuts of one tree; leaves are numbered in order."""
 
     def __init__(self, sample: np.ndarray, leaf: int, settings: Settings, number: int) -> None:
-        self.margin = settings.margin
+        apart = 2 * (1 - settings.threshold) / sample.shape[1]
+        self.margin = (settings.spill * max(0.0, apart) ** 0.5 if settings.margin is None
+                       else settings.margin)
         self.nodes: list[tuple[np.ndarray, float, int, int] | int] = []
         self.leaves = 0
         rng = np.random.default_rng([settings.seed, number])

@@ -103,3 +103,33 @@ def test_recall_on_the_given_vectors(spark):
     found, all_ = (sum(r[1] for r in x) for x in (listed(got), want))
     assert found <= all_ and found >= 0.99 * all_
     assert all(a[1] <= b[1] for a, b in zip(listed(got), want, strict=True))
+
+
+@pytest.mark.parametrize("mean", [0.9, 0.92, 0.95])
+@pytest.mark.parametrize("leaf", [16, 102])
+def test_pairs_of_a_hot_cluster_meet(mean, leaf):
+    """Production trees of 100,000 vectors (leaf 102) or more, a third of them in one cluster."""
+    rng, size = np.random.default_rng(1), 64
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    heart = unit(rng.normal(size=(1, size)))
+    hot = unit(mean ** 0.5 * heart + (1 - mean) ** 0.5 * unit(rng.normal(size=(33_000, size))))
+    far = unit(rng.normal(size=(67_000, size)))
+    sample = np.concatenate([hot, far])[rng.choice(100_000, 20_000, replace=False)]
+    i, j = rng.integers(0, len(hot), (2, 8000))
+    near = (np.einsum("ij,ij->i", hot[i], hot[j]) >= 0.9) & (i != j)
+    i, j = i[near][:2000], j[near][:2000]
+    aside = rng.normal(size=(2000, size))
+    aside -= np.einsum("ij,ij->i", far[:2000], aside)[:, None] * far[:2000]
+    twin = 0.91 * far[:2000] + (1 - 0.91 ** 2) ** 0.5 * unit(aside)
+    ends = np.concatenate([hot[i], far[:2000], hot[j], twin])
+    half, met = len(ends) // 2, np.zeros(len(ends) // 2, dtype=bool)
+    for k in range(Settings().trees):
+        for _, rows in embedding_dedup.Tree(sample, leaf, Settings(), k).route(ends):
+            there = np.zeros(len(ends), dtype=bool)
+            there[rows] = True
+            met |= there[:half] & there[half:]
+    assert met[:len(i)].mean() > 0.995 and met[len(i):].mean() > 0.995, (
+        met[:len(i)].mean(), met[len(i):].mean())
