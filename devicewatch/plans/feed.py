@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import dataclasses
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from devicewatch import schemas as S
@@ -24,6 +24,8 @@ PARAMS = JobParams(
     manufacturer="Supplier#00000000", date_from="1996-01-01", date_to="1998-12-31",
     run_id="run_reports")
 TEXT_PARAMS = dataclasses.replace(PARAMS, run_id="run_texts")
+# Records that a row of pages holds at most.
+PAGE_RECORDS = 2_000
 # Terms that occur in the document and conversation texts.
 TEXT_KEYWORDS = ("license", "free", "Apache", "death", "mit ", "copyright")
 
@@ -185,17 +187,36 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         text_reports(spark, sf_dir).select(*columns))
 
 
-def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def page_number() -> Column:
+    """The page of a report: two hundred consecutive numbers."""
+    return F.floor(F.regexp_extract("report_number", r"(\d+)", 1).cast("long") / 200)
+
+
+def pages(spark: SparkSession, sf_dir: str, most: int = PAGE_RECORDS) -> DataFrame:
     """All raw reports by page: ``_run_id``, ``page``, ``records`` (a JSON array) and ``count``.
 
-    A page holds the reports of two hundred consecutive numbers, in the order of their text.
+    A page holds the reports of two hundred consecutive numbers, in the order of their text. One
+    of more than ``most`` records is dealt out and cut into rows of ``most`` at most.
     """
-    number = F.regexp_extract("report_number", r"(\d+)", 1).cast("long")
     rows = reports(spark, sf_dir).select(
-        S.RUN_ID, F.floor(number / 200).alias("page"), record_json().alias("record"))
-    return rows.groupBy(S.RUN_ID, "page").agg(
+        S.RUN_ID, page_number().alias("page"), record_json().alias("record"))
+    keys = [S.RUN_ID, "page"]
+    large = (rows.groupBy(*keys).agg(F.count("*").alias("count")).where(F.col("count") > most)
+             .select(F.col(S.RUN_ID).alias("_run"), F.col("page").alias("_page"),
+                     F.ceil(F.col("count") / (most / 2)).alias("_parts")))
+    # One row for each ``most`` records at most, so that records are not dealt out for the join.
+    large = F.broadcast(large)
+    # Equal records are dealt out by the task they come from.
+    dealt = F.xxhash64("record", F.spark_partition_id())
+    part = F.coalesce(F.pmod("_dealt", "_parts"), F.lit(0)).alias("_part")
+    rows = rows.withColumn("_dealt", dealt).join(
+        large, F.col(S.RUN_ID).eqNullSafe(F.col("_run")) & F.col("page").eqNullSafe(F.col("_page")),
+        "left").select(*keys, "record", part)
+    place = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy("record"))
+    rows = rows.withColumn("_cut", F.floor((place - 1) / most))
+    return rows.groupBy(*keys, "_part", "_cut").agg(
         F.concat(F.lit("[\n"), F.array_join(F.sort_array(F.collect_list("record")), ",\n"),
-                 F.lit("\n]")).alias("records"), F.count("*").alias("count"))
+                 F.lit("\n]")).alias("records"), F.count("*").alias("count")).drop("_part", "_cut")
 
 
 def device_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -188,16 +188,22 @@ def _loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_bronze(spark, at.bronze)
 
 
+def _by_page(bronze: DataFrame) -> DataFrame:
+    """Rows with the page in place of the file's name: a page may be cut into several files."""
+    folder = F.regexp_extract(S.SOURCE_FILE, r"^(.*/)[^/]*$", 1)
+    return bronze.withColumn(S.SOURCE_FILE, F.concat(folder, feed.page_number()))
+
+
 def run_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages and records of each run, from its landed pages."""
     folder = F.substring_index("landing_path", "/", -1)
-    return run_summary(_loaded(spark, sf_dir), "bronze").withColumn("landing_path", folder)
+    return run_summary(_by_page(_loaded(spark, sf_dir)), "bronze").withColumn("landing_path", folder)
 
 
 def run_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records of each landed page file; files are named by their folder."""
+    """Records of each landed page; pages are named by their folder."""
     folder = F.element_at(F.split(S.SOURCE_FILE, "/"), -2)
-    return run_files(_loaded(spark, sf_dir)).withColumn(S.SOURCE_FILE, folder)
+    return run_files(_by_page(_loaded(spark, sf_dir))).withColumn(S.SOURCE_FILE, folder)
 
 
 # --- clean tables ------------------------------------------------------------------------

@@ -1,5 +1,6 @@
 """What the optimizer makes of the operators, and how they take skewed data."""
 
+import json
 import re
 from collections import Counter
 
@@ -11,8 +12,10 @@ from devicewatch.operators import gold
 from devicewatch.operators.dedup import latest_reports, latest_unmoved
 from devicewatch.operators.flatten import flatten
 from devicewatch.operators.silver import devices_silver, events_silver, narratives_silver
+from devicewatch.plans import feed
 from devicewatch.plans.queries import QUERIES
 from devicewatch.sources import tables
+from devicewatch.sources.landing import record_json
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -169,3 +172,19 @@ def test_latest_unmoved_is_latest(bronze):
     one, two = (rows(f(copies), "report_number", "mdr_report_key", "mdr_text_raw")
                 for f in (latest_reports, latest_unmoved))
     assert one == two and len(one) == 2001
+
+
+def test_no_page_holds_more_than_its_records(spark, monkeypatch):
+    folder = "/root/testdata/sf0.001"
+    # Reports in which one number has very many copies.
+    hot = feed.text_reports(spark, folder).limit(1).crossJoin(spark.range(0, 700, 1, 3).drop("id"))
+    every = feed.reports(spark, folder)
+    every = every.unionByName(hot.select(*every.columns)).localCheckpoint()
+    monkeypatch.setattr(feed, "reports", lambda *_: every)
+    got = feed.pages(spark, folder, 50).collect()
+    assert max(r["count"] for r in got) <= 50
+    assert sum(r["count"] for r in got) == every.count()
+    records = [json.dumps(x, sort_keys=True) for r in got for x in json.loads(r["records"])]
+    given = [json.dumps(json.loads(r[0]), sort_keys=True)
+             for r in every.select(record_json()).collect()]
+    assert sorted(records) == sorted(given)
