@@ -1,11 +1,12 @@
-"""Repeated passages by a sparse suffix array.
-
-Only suffixes at content-selected places are kept: the word n-gram of least hash in each window of
-n-grams, so any two equal runs of enough words keep the same suffix. Sorted, suffixes that begin alike
-are neighbours; one without an equal neighbour is dropped. Around the others the match is extended
-left and right: each run of ``min_words`` words that holds such a suffix is sorted by its content,
-and every run but the first of its kind is a repeat. Overlapping repeats of a document together
-are its longest repeated passages, however many documents share which part of them.
+"""Repeated passages by fingerprints of words, in place of a suffix sort.
+
+Only content-selected places are kept: the word n-gram of least hash in each window of n-grams, so
+any two equal runs of enough words keep the same place. Rows are the n-gram's hash and place; sorted,
+equal n-grams are neighbours, and one without an equal neighbour is dropped. Around the others each
+run of ``min_words`` words that holds such an n-gram is hashed and sorted by its hash, and every run
+but the first of its kind is a repeat. Texts are not compared: two runs whose 64-bit hashes clash
+count as equal. Overlapping repeats of a document together are its longest repeated passages, however
+many documents share which part of them.
 
 All sorts spread equal rows over as many partitions as they need, and neighbours are compared
 across partitions by the ends of each.
