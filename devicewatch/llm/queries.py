@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devicewatch.llm import (
-    byte_bpe, chat_format, embedding_dedup, exact_dedup, langid, packing, simhash,
-    suffix_dedup, token_files, toxicity)
-from devicewatch.llm.shared import read_table
+    byte_bpe, chat_format, embedding_dedup, exact_dedup, factor_dedup, langid, packing,
+    prefix_trie, simhash, suffix_dedup, token_files, toxicity, variants)
+from devicewatch.llm.shared import read_table, whole_text
 from devicewatch.sources.shared import shared_folder
 
 #: Pieces of text that a worker remembers in the queries that do little else than encode.
@@ -128,6 +128,71 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def rebuilt_turns(conversations: DataFrame) -> DataFrame:
+    """Every conversation's turns after the first h of the first conversation of its hundred.
+
+    A row without a place names a conversation, as some are left without turns.
+    """
+    turns = prefix_trie.number_turns(conversations)
+    shared = F.crc32(F.col("conv").cast("string").cast("binary")) % 6
+    convs = turns.select("conv").distinct().select(
+        "conv", shared.alias("h"), (F.col("conv") - F.col("conv") % 100).alias("base"))
+    heads = turns.where((F.col("conv") % 100 == 0) & (F.col("place") < 5)).withColumnsRenamed(
+        {"conv": "base"})
+    sizes = heads.groupBy("base").agg(F.count(F.lit(1)).alias("turns"))
+    convs = convs.join(sizes, "base", "left").select(
+        "conv", "h", "base", F.least("h", F.coalesce("turns", F.lit(0))).alias("before"))
+    first = convs.join(heads, "base").where("place < h").select(
+        "conv", "place", "role", "digest", "size")
+    own = turns.where(F.col("place") >= shared).join(convs.select("conv", "h", "before"), "conv")
+    own = own.select("conv", (F.col("place") - F.col("h") + F.col("before")).alias("place"),
+                     "role", "digest", "size")
+    return first.unionByName(own).unionByName(convs.select("conv"), allowMissingColumns=True)
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the trie of rebuilt conversations."""
+    return prefix_trie.prefix_trie(rebuilt_turns(read_table(spark, sf_dir, "conversations")))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of windows that start in a smaller doc_id too."""
+    found = factor_dedup.drop_repeats(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate(F.coalesce("spans", F.array().cast("array<struct<start:int,stop:int>>")),
+                          F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select("doc_id", "n_words", removed.alias("n_removed"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_LETTERS = "[A-Za-z\u00C0-\u00FF]{7,}"
+
+
+def varied_words(docs: DataFrame) -> DataFrame:
+    """Words of 7 letters or more that stand at least twice, and how often.
+
+    One in 31 runs of letters, by a hash of doc_id and run, loses a letter. A null doc_id reads as
+    the empty text.
+    """
+    lower = F.translate(whole_text("text"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+                        "abcdefghijklmnopqrstuvwxyz")
+    runs = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
+                       F.explode(F.regexp_extract_all(lower, F.lit(_LETTERS), F.lit(0)))
+                       .alias("run"))
+    runs = runs.withColumn("h", F.crc32(F.concat("id", F.lit(":"), "run").cast("binary")))
+    at = (F.col("h") % F.length("run")).cast("int")
+    shorter = F.concat(F.substring("run", F.lit(1), at),
+                       F.substring("run", at + 2, F.length("run")))
+    words = runs.select(F.when(F.col("h") % 31 == 0, shorter).otherwise(F.col("run"))
+                        .alias("word"))
+    return words.where(F.length("word") >= 7).groupBy("word").agg(
+        F.count(F.lit(1)).alias("n")).where("n >= 2")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words of the documents with the more frequent word they are one letter from."""
+    return variants.variant_groups(varied_words(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_packing": op2_packing,
@@ -139,4 +204,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_token_files": op9_token_files,
     "op10_chat_format": op10_chat_format,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }
