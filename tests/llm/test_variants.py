@@ -1,0 +1,107 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from devicewatch.llm import queries, variants
+
+
+def near(a, b):
+    """Whether exactly one insertion, deletion or replacement turns one into the other."""
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    short, long = sorted((a, b), key=len)
+    return any(long[:k] + long[k + 1:] == short for k in range(len(long)))
+
+
+def brute(counts, ratio=10):
+    found = {}
+    for word, n in counts.items():
+        others = [o for o in counts if near(word, o)]
+        best = min(others, key=lambda o: (-counts[o], o), default=None)
+        good = best is not None and counts[best] >= ratio * n and counts[best] > n
+        found[word] = [n, len(others), best if good else None, counts[best] if good else None]
+    for word, row in found.items():
+        root = word
+        while found[root][2] is not None:
+            root = found[root][2]
+        row.append(root)
+    return found
+
+
+def check(spark, counts, monkeypatch=None, shard=None):
+    if shard:
+        monkeypatch.setattr(variants, "_WORDS", shard)
+    words = spark.createDataFrame(list(counts.items()), "word string, n long")
+    got = variants.variant_groups(words.withColumns(
+        {"id": F.lit("own"), "nodes": F.lit("own"), "shard": F.lit("own")}).repartition(3))
+    assert got.columns == ["word", "n", "n_near", "form", "form_n", "root"]
+    rows = {r["word"]: [r["n"], r["n_near"], r["form"], r["form_n"], r["root"]]
+            for r in got.collect()}
+    assert got.count() == len(counts) and rows == brute(counts)
+
+
+@pytest.mark.parametrize("seed, shard", [(1, None), (2, 20), (3, 3)])
+def test_random_words(spark, monkeypatch, seed, shard):
+    rng = random.Random(seed)
+    counts = {"".join(rng.choices("abé\U0001f600", k=rng.randint(0, 5))):
+              rng.choice([1, 2, 10, 20, 100, 200, 3000]) for _ in range(150)}
+    check(spark, counts, monkeypatch, shard)
+
+
+def test_runs_of_one_letter_and_ties(spark):
+    check(spark, {"aaaa": 100, "aaa": 1, "aaaaa": 100, "aab": 1000, "b": 5, "": 500, "c": 50,
+                  "zaab": 1000, "taab": 1000, "aabb": 3})
+
+
+def test_chain_to_the_last_form(spark):
+    check(spark, {"a" * k: 10 ** (8 - k) for k in range(9)})
+
+
+def test_very_long_word(spark):
+    long = "ab" * 10_000
+    check(spark, {long: 2, long + "b": 40, long[:-1] + "c": 7, "ab": 1})
+
+
+def test_nulls_repeated_rows_and_empty_table(spark):
+    words = spark.createDataFrame(
+        [("word", 3), ("word", 4), (None, 9), ("ward", None), ("wor", 70)], "word string, n long")
+    rows = {r["word"]: (r["n"], r["n_near"], r["form"], r["root"])
+            for r in variants.variant_groups(words).collect()}
+    assert rows == {"word": (7, 2, "wor", "wor"), "ward": (0, 1, "word", "wor"),
+                    "wor": (70, 1, None, "wor")}
+    assert variants.variant_groups(words.limit(0)).collect() == []
+    with pytest.raises(ValueError):
+        variants.variant_groups(words, ratio=1)
+
+
+def test_trie_nodes_are_dense_and_shared(spark, monkeypatch):
+    monkeypatch.setattr(variants, "_WORDS", 4)
+    rng = random.Random(5)
+    words = {"".join(rng.choices("ab", k=rng.randint(0, 6))) for _ in range(60)}
+    got = variants.trie_nodes(spark.createDataFrame([(w,) for w in words], "word string"))
+    by_prefix = {}
+    for r in got.collect():
+        assert len(r["nodes"]) == len(r["word"]) + 1
+        for d, node in enumerate(r["nodes"]):
+            assert by_prefix.setdefault(r["word"][:d], node) == node
+    assert sorted(by_prefix.values()) == list(range(len(by_prefix)))
+
+
+def test_words_of_documents(spark):
+    docs = spark.createDataFrame(
+        [(1, "Ünicodé WORDING wording ab1wording " + "x" * 30_000), (2, None), (None, "wording"),
+         (3, ""), (4, "x" * 30_000)], "doc_id long, text string")
+    import zlib
+    want = {}
+    for id_, runs in ((1, ["Ünicodé", "wording", "wording", "abwording"[2:], "x" * 30_000]),
+                      ("", ["wording"]), (4, ["x" * 30_000])):
+        for run in runs:
+            h = zlib.crc32(f"{id_}:{run}".encode())
+            if h % 31 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            want[run] = want.get(run, 0) + 1
+    want = {w: n for w, n in want.items() if n > 1 and len(w) > 6}
+    assert {r["word"]: r["n"] for r in queries.varied_words(docs).collect()} == want
