@@ -14,7 +14,8 @@ that are new to a block whose anchor may go on in another are then compared acro
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +36,23 @@ _ROWS = 1 << 14
 _BYTES = 1 << 23
 
 
-def _anchors(text: bytes, min_words: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and word position of each anchor."""
+def _anchors(text: bytes, min_words: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each anchor, and the first and last window it stands for.
+
+    A window's anchor is the first of its n-grams of least hash: the same wherever the window
+    stands, and later for later windows.
+    """
     grams, least = suffixes(word_hashes(np.frombuffer(text, dtype=np.uint8)), min_words, gram)
+    if not len(least):
+        none = np.empty(0, dtype=np.int64)
+        return grams[:0], none, none
     at = selected(grams, least, min_words - gram + 1)
-    return grams[at], at
+    chosen = np.searchsorted(at, np.arange(len(least)))
+    while (other := grams[at[chosen]] != least).any():
+        chosen += other
+    first = np.nonzero(np.diff(chosen, prepend=-1))[0]
+    last = np.append(first[1:], len(least)) - 1
+    return least[first], first, last
 
 
 def _raw(text: str) -> bytes:
@@ -64,7 +77,7 @@ def _distinct_anchors(min_words: int, gram: int):
         held, size = [], 0
         for rows in batches:
             for id_, text in zip(*rows.columns, strict=True):
-                hashes, _ = _anchors(_raw(text.as_py()), min_words, gram)
+                hashes, _, _ = _anchors(_raw(text.as_py()), min_words, gram)
                 if len(hashes):
                     hashes, times = np.unique(hashes, return_counts=True)
                     held.append((hashes, id_.as_py(), times))
@@ -94,30 +107,29 @@ _PASSAGE = "anchor long, id long, tie long, start int, words binary"
 
 
 def _passages(min_words: int, gram: int, table: np.ndarray):
-    """``id``, ``tie``, ``text`` to the words around each anchor that passes the filter.
+    """``id``, ``tie``, ``text`` to the words of the windows of each anchor that passes the filter.
 
-    They reach as far as a window of ``min_words`` words that holds the anchor can. ``words`` are
-    joined by one space, ``start`` is the position of the first.
+    ``words`` are joined by one space, ``start`` is the position of the first.
     """
     schema = pa.schema([("anchor", pa.int64()), ("id", pa.int64()), ("tie", pa.int64()),
                         ("start", pa.int32()), ("words", pa.binary())])
-    mask, reach = np.uint64(len(table) * 64 - 1), min_words - gram
+    mask = np.uint64(len(table) * 64 - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for rows in batches:
             for id_, tie, text in zip(*rows.columns, strict=True):
                 raw = _raw(text.as_py())
-                hashes, places = _anchors(raw, min_words, gram)
+                hashes, first, last = _anchors(raw, min_words, gram)
                 slots = hashes & mask
                 hit = (table[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1)
                 if not hit.any():
                     continue
                 words, id_, tie = raw.split(), id_.as_py(), tie.as_py()
-                for anchor, at in zip(hashes[hit == 1].view(np.int64).tolist(),
-                                      places[hit == 1].tolist(), strict=True):
-                    start = max(at - reach, 0)
-                    passage = b" ".join(words[start:at + min_words])
+                for anchor, start, end in zip(hashes[hit == 1].view(np.int64).tolist(),
+                                              first[hit == 1].tolist(), last[hit == 1].tolist(),
+                                              strict=True):
+                    passage = b" ".join(words[start:end + min_words])
                     held.append((anchor, id_, tie, start, passage))
                     size += len(passage)
                     if len(held) >= _ROWS or size >= _BYTES:
@@ -136,10 +148,11 @@ def _batch(held: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 _FOUND = ("id long, tie long, start int, stop int, source_id long, source_start int, "
-          "new_window binary")
-_FOUND_TYPES = pa.schema([("id", pa.int64()), ("tie", pa.int64()), ("start", pa.int32()),
-                          ("stop", pa.int32()), ("source_id", pa.int64()),
-                          ("source_start", pa.int32()), ("new_window", pa.binary())])
+          "new_window binary, places array<int>")
+_FOUND_TYPES = pa.schema([
+    ("id", pa.int64()), ("tie", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()),
+    ("source_id", pa.int64()), ("source_start", pa.int32()), ("new_window", pa.binary()),
+    ("places", pa.list_(pa.int32()))])
 
 
 class _Block:
@@ -149,8 +162,9 @@ class _Block:
         self.min_words = min_words
         self.passages: list[tuple[int | None, int, list[bytes]]] = []
         self.index: dict[int, list[tuple[int, int]]] = {}
-        self.last: tuple | None = None
-        self.starts: list[int] = []
+        #: Where documents have windows that no smaller id of the block has: by place in the
+        #: index, id and tie.
+        self.new: dict[tuple, list[int]] = {}
 
     def _find(self, words: list[bytes], at: int, key: int) -> tuple[int, int] | None:
         """The first passage, and the place in it, with the window of ``words`` at ``at``."""
@@ -160,91 +174,87 @@ class _Block:
                 return passage, place
         return None
 
-    def parse(self, id_: int | None, start: int, words: list[bytes]) -> tuple[list, list[int]]:
-        """The factors of a passage, and where it has windows that no smaller id has.
-
-        A factor is start and stop in words of the passage, and what it repeats: id and position.
-        """
-        n = self.min_words
-        factors, new, missing, own = [], [], [], len(self.passages)
+    def parse(self, id_: int | None, tie: int, start: int, words: list[bytes]) -> list[tuple]:
+        """The factors of a passage: start, stop, and the id and position they repeat."""
+        n, own, factors = self.min_words, len(self.passages), []
         at, last = 0, len(words) - n
         while at <= last:
             key = hash(tuple(words[at:at + n]))
             hit = self._find(words, at, key)
             source = self.passages[hit[0]] if hit else None
             if source is None or source[0] == id_:
-                new.append(at)
                 if source is None:
-                    missing.append((key, at))
+                    hit = own, at
+                    self.index.setdefault(key, []).append(hit)
+                    if own == len(self.passages):
+                        self.passages.append((id_, start, words))
+                self.new.setdefault((*hit, id_, tie), []).append(start + at)
                 at += 1
                 continue
             held, place = source[2], hit[1]
             stop, end = at + n, place + n
             while stop < len(words) and end < len(held) and words[stop] == held[end]:
                 stop, end = stop + 1, end + 1
-            factors.append((at, stop, source[0], source[1] + place))
+            factors.append((start + at, start + stop, source[0], source[1] + place))
             at = stop - n + 1
-        if missing:
-            self.passages.append((id_, start, words))
-            for key, place in missing:
-                self.index.setdefault(key, []).append((own, place))
-        return factors, new
+        return factors
+
+    def new_windows(self) -> Iterator[tuple]:
+        """The windows no smaller id of the block has, as rows of ``_FOUND``."""
+        for (passage, place, id_, tie), places in self.new.items():
+            words = self.passages[passage][2][place:place + self.min_words]
+            yield id_, tie, None, None, None, None, b" ".join(words), places
 
 
 def _parse(min_words: int):
     """Passages in order of anchor and id to factors, and new windows where a block is cut."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        group: list[tuple] = []  # the new windows of the anchor being read
-        anchor, block, is_first, seen = None, _Block(min_words), True, None
+        anchor, block, seen, blocks = None, _Block(min_words), None, 0
 
         for rows in batches:
             for row in zip(*(c.to_pylist() for c in rows.columns), strict=True):
                 if row[0] != anchor:
-                    if is_first and anchor is not None:
-                        held += group  # the block before may have ended in this anchor
-                        is_first = False
-                    anchor, block, group, seen = row[0], _Block(min_words), [], None
+                    if blocks == 1:  # the partition before may have ended in this anchor
+                        yield from _in_batches(block.new_windows())
+                    anchor, block, seen, blocks = row[0], _Block(min_words), None, blocks + 1
                 elif row[1:4] == seen:
                     continue  # a repeated row
                 seen = row[1:4]
                 _, id_, tie, start, passage = row
-                words = passage.split()
-                factors, new = block.parse(id_, start, words)
-                for a, b, source, place in factors:
-                    held.append((id_, tie, start + a, start + b, source, place, None))
-                group += [(id_, tie, start + a, start + a + min_words, None, None,
-                           (words, a)) for a in new]
+                held += [(id_, tie, *factor, None, None)
+                         for factor in block.parse(id_, tie, start, passage.split())]
                 if len(held) >= _ROWS:
-                    yield _batch(_windows(held, min_words), _FOUND_TYPES)
+                    yield _batch(held, _FOUND_TYPES)
                     held = []
-        held += group  # the next block may go on with it
-        for k in range(0, len(held), _ROWS):
-            yield _batch(_windows(held[k:k + _ROWS], min_words), _FOUND_TYPES)
+        yield from _in_batches(held)
+        yield from _in_batches(block.new_windows())  # the next partition may go on with it
 
     return run
 
 
-def _windows(held: list[tuple], min_words: int) -> list[tuple]:
-    return [row if row[-1] is None else
-            (*row[:-1], b" ".join(row[-1][0][row[-1][1]:row[-1][1] + min_words]))
-            for row in held]
+def _in_batches(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    rows = iter(rows)
+    while held := list(islice(rows, _ROWS)):
+        yield _batch(held, _FOUND_TYPES)
 
 
-def _across(new: DataFrame) -> DataFrame:
+def _across(new: DataFrame, min_words: int) -> DataFrame:
     """Factors of one window each, of blocks that the same anchor fills together.
 
-    Blocks send each window they do not know with the smallest id they have it in, so the rows
-    of a window are as many as the blocks.
+    Blocks send each window they do not know once for the smallest id they have it in, so the
+    rows of a window are as many as the blocks.
     """
-    place = F.struct(F.col("id").isNotNull(), "id", "start")
+    place = F.struct(F.col("id").isNotNull(), "id", F.array_min("places").alias("start"))
     first = new.groupBy("new_window").agg(
         F.min(place).alias("first"), F.max(place).alias("last")).where(
         ~F.col("first.id").eqNullSafe(F.col("last.id"))).select(
         "new_window", F.col("first.id").alias("first_id"), F.col("first.start").alias("at"))
-    return new.join(first, "new_window").where(~F.col("id").eqNullSafe(F.col("first_id"))).select(
-        "id", "tie", "start", "stop", F.col("first_id").alias("source_id"),
-        F.col("at").alias("source_start"))
+    again = new.select("new_window", "id", "tie", "places").join(first, "new_window").where(
+        ~F.col("id").eqNullSafe(F.col("first_id")))
+    return again.select("id", "tie", F.explode("places").alias("start"), "first_id", "at").select(
+        "id", "tie", "start", (F.col("start") + min_words).alias("stop"),
+        F.col("first_id").alias("source_id"), F.col("at").alias("source_start"))
 
 
 def _tie(text: Column) -> Column:
@@ -289,7 +299,7 @@ def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
         .mapInArrow(_parse(min_words), _FOUND), "factors")
     names = ["id", "tie", "start", "stop", "source_id", "source_start"]
     return found.where("new_window IS NULL").select(*names).unionByName(
-        _across(found.where("new_window IS NOT NULL")))
+        _across(found.where("new_window IS NOT NULL"), min_words))
 
 
 _SPAN = "array<struct<start:int,stop:int>>"

@@ -104,16 +104,25 @@ def test_full_filter_changes_nothing(spark, monkeypatch):
 def test_hash_clashes_of_windows_change_nothing(monkeypatch):
     block = factor_dedup._Block(2)
     monkeypatch.setattr(factor_dedup, "hash", lambda x: 1, raising=False)
-    assert block.parse(1, 0, [b"a", b"b", b"c", b"d"]) == ([], [0, 1, 2])
-    assert block.parse(2, 10, [b"x", b"c", b"d", b"e"]) == ([(1, 3, 1, 2)], [0, 2])
+    assert block.parse(1, 0, 0, [b"a", b"b", b"c", b"d"]) == []
+    assert block.parse(2, 0, 10, [b"x", b"c", b"d", b"e"]) == [(11, 13, 1, 2)]
+    assert sorted((r[0], r[6], r[7]) for r in block.new_windows()) == [
+        (1, b"a b", [0]), (1, b"b c", [1]), (1, b"c d", [2]), (2, b"d e", [12]), (2, b"x c", [10])]
 
 
 def test_greedy_factors_and_windows_across_them():
     block = factor_dedup._Block(3)
-    block.parse(1, 100, list("abcdef"))
-    block.parse(2, 200, list("defghi"))
+    block.parse(1, 0, 100, [b"%c" % c for c in b"abcdef"])
+    block.parse(2, 0, 200, [b"%c" % c for c in b"defghi"])
     # The longest match from the first word ends at f; the next factor starts across its end.
-    assert block.parse(3, 0, list("abcdefghi")) == ([(0, 6, 1, 100), (4, 9, 2, 201)], [])
+    assert block.parse(3, 0, 0, [b"%c" % c for c in b"abcdefghi"]) == [
+        (0, 6, 1, 100), (4, 9, 2, 201)]
+
+
+def test_windows_of_one_document_are_sent_once():
+    block = factor_dedup._Block(2)
+    assert block.parse(1, 5, 0, [b"a"] * 6) == []
+    assert list(block.new_windows()) == [(1, 5, None, None, None, None, b"a a", [0, 1, 2, 3, 4])]
 
 
 def test_empty_table(spark):
