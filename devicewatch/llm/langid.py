@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from devicewatch.llm.shared import whole_text
+from devicewatch.llm.shared import PLACES, places, whole_text
 
 UNKNOWN = "und"
 _ORDERS = (2, 3, 4)
@@ -24,13 +24,15 @@ _CHUNK = 1 << 16
 
 @dataclasses.dataclass(frozen=True)
 class Settings:
-    """``sample_rows`` bounds the labelled excerpts used in training, ``excerpt`` their length.
+    """``sample_rows`` bounds the labelled excerpts used in training, ``excerpt`` their length,
+    ``languages`` the label values.
 
     ``reject_share`` is the share of rightly predicted held-back excerpts that the rejection
     threshold may cost; the threshold never exceeds ``reject_below``.
     """
 
     sample_rows: int = 8_000
+    languages: int = 1_000
     excerpt: int = 400
     buckets: int = 1 << 16
     dimensions: int = 16
@@ -140,21 +142,24 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows without language or letters are left out. The sample has at most ``sample_rows``
     excerpts of at most ``excerpt`` characters, chosen by hashes of id and text: only these
-    reach the driver. No labelled row gives a model without languages, which rejects all.
+    reach the driver. No labelled row gives a model without languages, which rejects all. More
+    than ``languages`` label values are an error, as is a sample without a row.
     """
     rows = labelled.select(
         F.col(id_col).alias("id"), whole_text(text_col).alias("text"),
         F.col(lang_col).cast("string").alias("lang")
     ).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(1000).collect()}
+        F.count(F.lit(1)).alias("n")).limit(settings.languages + 1).collect()}
     if not counts:
         return train([], [], settings)
-    each = settings.sample_rows / len(counts)
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items()
-                           for x in (lang, int(min(1.0, each / n) * 1_000_000))])
+    if len(counts) > settings.languages:
+        raise ValueError(f"more than {settings.languages} languages: is {lang_col} a label?")
+    each = -(-settings.sample_rows // len(counts))
+    share = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items())
+                           for x in (lang, places(each, n))])
     draw = lambda what: F.xxhash64(F.lit(what), "id", F.xxhash64("text"))
-    chosen = rows.where(F.pmod(draw("row"), F.lit(1_000_000)) < share[F.col("lang")])
+    chosen = rows.where(F.pmod(draw("row"), F.lit(PLACES)) < share[F.col("lang")])
     # Excerpts of several lengths, from anywhere in the text.
     length = F.element_at(F.array(*[F.lit(max(1, settings.excerpt // d)) for d in (1, 3, 10)]),
                           (F.pmod(draw("length"), F.lit(3)) + 1).cast("int"))
@@ -164,6 +169,8 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.substring("text", start.cast("int"), length).alias("text"), "lang",
         draw("order").alias("order"))
     sample = excerpts.orderBy("order", "lang", "text").limit(settings.sample_rows).collect()
+    if not sample:
+        raise RuntimeError(f"none of {sum(counts.values())} labelled rows was drawn")
     sample.sort(key=lambda r: (r["lang"], r["text"]))
     return train([r["text"] for r in sample], [r["lang"] for r in sample], settings)
 

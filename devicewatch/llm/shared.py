@@ -23,6 +23,15 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Places of a hash that samples are drawn from.
+PLACES = 1 << 62
+
+
+def places(wanted: int, there: int) -> int:
+    """How many of ``PLACES`` draw about ``wanted`` of ``there`` rows: at least one, or all."""
+    return PLACES if there <= wanted else max(1, PLACES * wanted // there)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

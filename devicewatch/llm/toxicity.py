@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from devicewatch.llm.shared import materialise, whole_text
+from devicewatch.llm.shared import PLACES, materialise, places, whole_text
 
 _WORD = re.compile(r"\w+")
 _STEMS = (4, 5)
@@ -339,9 +339,8 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     draw = F.xxhash64(F.lit("example"), "id")
     chosen = None
     for value in (0, 1):
-        share = min(1.0, half / max(1, there.get(value, 0))) * 1_000_000
-        part = (labels.where((F.col("toxic") == value)
-                             & (F.pmod(draw, F.lit(1_000_000)) < int(share)))
+        drawn = places(half, there.get(value, 0))
+        part = (labels.where((F.col("toxic") == value) & (F.pmod(draw, F.lit(PLACES)) < drawn))
                 .orderBy(draw, "id").limit(half))
         chosen = part if chosen is None else chosen.unionByName(part)
     vectors = materialise(docs.select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from devicewatch.llm import langid, toxicity
 from devicewatch.llm.queries import QUERIES
+from devicewatch.llm.shared import PLACES, places
 
 SF = "/root/testdata/sf0.01"
 
@@ -43,6 +44,23 @@ def test_language_without_labels(spark):
     assert one.collect()[0]["f"]["lang"] == "und"
 
 
+def test_samples_of_any_number_of_rows():
+    for there in (0, 1, 2000, 2_000_000_001, 10 ** 12, 10 ** 18):
+        share = places(2000, there)
+        assert 1 <= share <= PLACES
+        assert there <= 2000 or 1900 < share * there / PLACES < 2100
+    assert places(1, 10 ** 30) == 1
+
+
+def test_too_many_languages_and_an_empty_sample_are_errors(spark, monkeypatch):
+    docs = edge.documents(spark)
+    with pytest.raises(ValueError):
+        langid.fit(docs, settings=langid.Settings(languages=1))
+    monkeypatch.setattr(langid, "places", lambda wanted, there: 0)
+    with pytest.raises(RuntimeError):
+        langid.fit(docs)
+
+
 def test_chunks_do_not_change_the_mean(monkeypatch):
     model = langid.train(["abc def", "xyz uvw"] * 10, ["a", "b"] * 10)
     text = edge.words(3, 500)
