@@ -275,5 +275,7 @@ def _leaf_links(points: DataFrame, total: int, kind: str, settings: Settings) ->
     others = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
     tasks = split.withColumn("other", others).withColumns({
         "one": F.least("piece", "other"), "two": F.greatest("piece", "other")})
-    return tasks.drop("pieces", "other").groupBy("leaf", "one", "two").applyInArrow(
+    # Rows lie by leaf after the join, which would keep all tasks of a large leaf in one place.
+    spread = tasks.drop("pieces", "other").repartition("leaf", "one", "two")
+    return spread.groupBy("leaf", "one", "two").applyInArrow(
         _compare(settings.threshold, kind), "a long, b long, links long")

@@ -133,3 +133,19 @@ def test_pairs_of_a_hot_cluster_meet(mean, leaf):
             met |= there[:half] & there[half:]
     assert met[:len(i)].mean() > 0.995 and met[len(i):].mean() > 0.995, (
         met[:len(i)].mean(), met[len(i):].mean())
+
+
+def test_tasks_of_a_large_leaf_are_dealt_apart(spark):
+    points = spark.createDataFrame(
+        [(k, np.array(v).tobytes(), 1) for k, (_, v) in enumerate(cloud(200))],
+        "node long, vector binary, copies long")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = embedding_dedup._leaf_links(points, 200, "double", Settings(task=16))
+        plan = links._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    above_join = plan[:plan.index("SortMergeJoin")]
+    assert "hashpartitioning(leaf" in above_join and "one#" in above_join.split(
+        "hashpartitioning(leaf")[1].split(")")[0]
