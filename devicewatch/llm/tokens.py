@@ -24,8 +24,13 @@ _PIECE = re.compile(
     rf" ?[{_LETTER}]++(?=[!-/:-@\[-`{{-~{_SPACE}])| ?[^{_SPACE}]+"
     rf"|[{_SPACE}]+(?=[{_SPACE}][^{_SPACE}])|[{_SPACE}](?=[^{_SPACE}])|[{_SPACE}]+")
 _WORD = re.compile(f" ?[{_LETTER}]+")
-#: Pieces kept in each of two generations: at most some 25 MB each in a worker.
+#: Pieces kept in each of two generations, about: each generation ends at ``_PIECE_BYTES`` times
+#: as many bytes, here some 25 MB in a worker, however long the pieces are.
 MEMO = 100_000
+_PIECE_BYTES = 256
+#: Longer pieces hardly come again.
+_LONGEST = 64
+
 
 def pack_ids(ids: Sequence[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
@@ -36,22 +41,31 @@ class _Memo(dict):
 
     def __init__(self, old: dict[str, bytes], encode: Callable[[str], bytes]) -> None:
         super().__init__()
-        self._old, self._encode = old, encode
+        self._old, self._encode, self.held = old, encode, 0
 
     def __missing__(self, piece: str) -> bytes:
+        if len(piece) > _LONGEST:
+            return self._encode(piece)
         ids = self[piece] = self._old.get(piece) or self._encode(piece)
+        self.held += 200 + 4 * len(piece) + len(ids)
         return ids
 
 
 class Encoder:
-    """Texts to little-endian unsigned 32-bit ids, through a function that encodes a piece."""
+    """Texts to little-endian unsigned 32-bit ids, through a function that encodes a piece.
+
+    A text that holds one of the ``whole`` strings is encoded in one piece.
+    """
 
-    def __init__(self, encode: Callable[[str], bytes], memo: int = MEMO) -> None:
-        self._encode, self._size = encode, memo
+    def __init__(self, encode: Callable[[str], bytes], memo: int = MEMO,
+                 whole: Sequence[str] = ()) -> None:
+        self._encode, self._size, self._whole = encode, memo * _PIECE_BYTES, tuple(whole)
         self._memo = _Memo({}, encode)
 
     def __call__(self, text: str) -> bytes:
-        if len(self._memo) > self._size:
+        if any(s in text for s in self._whole):
+            return self._encode(text)
+        if self._memo.held > self._size:
             self._memo = _Memo(dict(self._memo), self._encode)
         return b"".join(map(self._memo.__getitem__, _PIECE.findall(text)))
 
@@ -82,14 +96,18 @@ def _word_form(tokenizer: Tokenizer) -> Callable[[str], str] | None:
 
 
 @functools.lru_cache(maxsize=4)
-def library_encoder(path: str, memo: int = MEMO) -> Encoder:
+def library_encoder(path: str, memo: int = MEMO, specials: bool = True) -> Encoder:
     """An encoder by a file of the tokenizers library, kept for the life of the process.
 
-    Strings of special tokens in a text are ordinary text, and none are added. A piece that is one
-    word goes to the library's model at once, any other through its whole chain.
+    No special tokens are added. Where a text holds the string of one, that becomes its id, as in
+    the library; without ``specials`` it is ordinary text. A piece that is one word goes to the
+    library's model at once, any other through its whole chain.
     """
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    added = list(tokenizer.get_added_tokens_decoder().values())
+    if any(t.normalized for t in added):
+        raise ValueError("tokens that stand for normalised text are not supported")
+    tokenizer.encode_special_tokens = not specials
     tokenizer.no_truncation()
     tokenizer.no_padding()
     form, is_word, merged = _word_form(tokenizer), _WORD.fullmatch, tokenizer.model.tokenize
@@ -99,4 +117,4 @@ def library_encoder(path: str, memo: int = MEMO) -> Encoder:
             return pack_ids([t.id for t in merged(form(piece))])
         return pack_ids(tokenizer.encode(piece, add_special_tokens=False).ids)
 
-    return Encoder(encode, memo)
+    return Encoder(encode, memo, [t.content for t in added if specials or not t.special])

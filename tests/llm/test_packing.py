@@ -14,7 +14,6 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 def library(path):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -30,6 +29,24 @@ def test_pieces_give_the_ids_of_whole_texts(name):
         assert np.frombuffer(encoder(text), "<u4").tolist() == whole(text), repr(text)
 
 
+def test_special_strings_as_in_the_library_or_as_text():
+    text = "x <|endoftext|> y"
+    assert np.frombuffer(tokens.library_encoder(PATH)(text), "<u4").tolist() == [343, 49407, 344]
+    plain = np.frombuffer(tokens.library_encoder(PATH, specials=False)(text), "<u4").tolist()
+    assert 49407 not in plain and len(plain) == 8
+
+
+def test_memo_is_bounded_by_bytes():
+    encoder = tokens.Encoder(str.encode, memo=100)
+    held = []
+    for k in range(3000):
+        assert encoder(f"{k} {'z' * (k % 70)}{k}") == f"{k} {'z' * (k % 70)}{k}".encode()
+        held.append(encoder._memo.held + sum(map(len, encoder._memo._old)))
+    assert max(held) < 3 * 100 * tokens._PIECE_BYTES
+    encoder("z" * 100_000)
+    assert max(map(len, encoder._memo)) <= tokens._LONGEST
+
+
 @pytest.mark.parametrize("clash", [False, True])
 def test_every_id_in_one_piece(spark, clash):
     docs = edge.documents(spark, clash=clash)

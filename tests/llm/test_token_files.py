@@ -12,7 +12,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 def whole(text):
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids + [2]
 
 
