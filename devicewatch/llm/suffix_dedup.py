@@ -261,7 +261,9 @@ def _first_rows(marked: DataFrame) -> DataFrame:
                 found.append((r["id"], r["place"]))
         else:
             before = r
-    return marked.sparkSession.createDataFrame(found, "id long, place long")
+    ids, places = zip(*found, strict=True) if found else ((), ())
+    return marked.sparkSession.createDataFrame(pa.table(
+        {"id": pa.array(ids, type=pa.int64()), "place": pa.array(places, type=pa.int64())}))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

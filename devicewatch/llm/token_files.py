@@ -133,12 +133,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     blocks.write.option("compression", "none").parquet(f"{path}/blocks")
     written = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks")
     totals = written.groupBy("shard").agg(F.sum("n_ids").alias("n")).orderBy("shard").collect()
-    begins, at = [], 0
-    for r in totals:
-        begins.append((r["shard"], at, r["n"]))
-        at += r["n"]
-    spark.createDataFrame(begins, "shard int, begins long, n_ids long").coalesce(1).write.parquet(
-        f"{path}/shards")
+    sizes = np.array([r["n"] for r in totals], dtype=np.int64)
+    begins = pa.table({"shard": pa.array([r["shard"] for r in totals], type=pa.int32()),
+                       "begins": np.cumsum(sizes) - sizes, "n_ids": sizes})
+    spark.createDataFrame(begins).coalesce(1).write.parquet(f"{path}/shards")
 
 
 def _read(whole: bool):
