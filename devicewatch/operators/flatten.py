@@ -44,7 +44,7 @@ def flatten(raw: DataFrame) -> DataFrame:
         json_list(F.col("device")).alias("device_raw"),
         json_list(F.col("patient")).alias("patient_raw"),
         *S.STAMP_COLUMNS,
-        *[c for c in (S.SOURCE_FILE, S.RUN_ID) if c in raw.columns],
+        *[c for c in (S.SOURCE_FILE, S.RUN_ID, S.CORRUPT) if c in raw.columns],
         S.RECORD_HASH)
 
 

@@ -18,6 +18,7 @@ from devicewatch.operators.flatten import flatten
 from devicewatch.operators.search import stamp
 from devicewatch.params import JobParams
 from devicewatch.sources.landing import record_json
+from devicewatch.sources.shared import staged
 
 # The search the derived reports are stamped with and, in the search queries, filtered by.
 PARAMS = JobParams(
@@ -188,7 +189,10 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_number() -> Column:
-    """The page of a report: two hundred consecutive numbers."""
+    """The page of a report: two hundred consecutive numbers.
+
+    Their versions are about as many records as the source sends in a page at most.
+    """
     return F.floor(F.regexp_extract("report_number", r"(\d+)", 1).cast("long") / 200)
 
 
@@ -198,14 +202,12 @@ def pages(spark: SparkSession, sf_dir: str, most: int = PAGE_RECORDS) -> DataFra
     A page holds the reports of two hundred consecutive numbers, in the order of their text. One
     of more than ``most`` records is dealt out and cut into rows of ``most`` at most.
     """
-    rows = reports(spark, sf_dir).select(
-        S.RUN_ID, page_number().alias("page"), record_json().alias("record"))
+    rows, _ = staged(reports(spark, sf_dir).select(
+        S.RUN_ID, page_number().alias("page"), record_json().alias("record")), "records")
     keys = [S.RUN_ID, "page"]
     large = (rows.groupBy(*keys).agg(F.count("*").alias("count")).where(F.col("count") > most)
              .select(F.col(S.RUN_ID).alias("_run"), F.col("page").alias("_page"),
                      F.ceil(F.col("count") / (most / 2)).alias("_parts")))
-    # One row for each ``most`` records at most, so that records are not dealt out for the join.
-    large = F.broadcast(large)
     # Equal records are dealt out by the task they come from.
     dealt = F.xxhash64("record", F.spark_partition_id())
     part = F.coalesce(F.pmod("_dealt", "_parts"), F.lit(0)).alias("_part")

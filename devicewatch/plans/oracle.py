@@ -408,14 +408,14 @@ SELECT report_number, mdr_report_key, received AS date_received, event_date AS d
         ", CAST(NULL AS INTEGER) AS narrative_blocks",
         (", CAST(n_blocks AS INTEGER)", ", CAST(1 AS INTEGER)")),
     "corrupt_pages": _with(_TEXTS, """
-SELECT CASE WHEN number % 7 = 0 THEN 'kept aside' ELSE 'read' END AS kind, report_number,
+SELECT CASE WHEN number % 14 = 7 THEN 'kept aside' ELSE 'read' END AS kind, report_number,
   mdr_report_key, CAST(0 AS BIGINT) AS records, CAST(0 AS BIGINT) AS corrupt_records
 FROM (SELECT doc_id AS number, CAST(doc_id AS VARCHAR) AS report_number, lang AS mdr_report_key
       FROM documents
       UNION ALL SELECT conv_id, 'C' || conv_id, CAST(turn AS VARCHAR) FROM conversations)
 UNION ALL
-SELECT 'summary', 'run_texts', 'bronze', CAST(sum(CAST(n % 7 <> 0 AS INTEGER)) AS BIGINT),
-  CAST(sum(CAST(n % 7 = 0 AS INTEGER)) AS BIGINT)
+SELECT 'summary', 'run_texts', 'bronze', CAST(sum(CAST(n % 14 <> 7 AS INTEGER)) AS BIGINT),
+  CAST(sum(CAST(n % 14 = 7 AS INTEGER)) AS BIGINT)
 FROM (SELECT doc_id AS n FROM documents UNION ALL SELECT conv_id FROM conversations)"""),
     "gold_written": _with(_ALL_EVENTS, f"""
 SELECT 'event_summary' AS layer, * FROM ({_event_summary('ev')})

@@ -106,11 +106,10 @@ def landing_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _array_pages(spark: SparkSession, sf_dir: str) -> str:
-    """All reports as a page-by-page client saves them: one JSON array a file, a folder a run."""
-    path, pages = shared_folder(spark, "pages"), feed.pages(spark, sf_dir)
-    for params in (feed.PARAMS, feed.TEXT_PARAMS):
-        (pages.where(F.col(S.RUN_ID) == params.run_id).select("records")
-         .write.option("maxRecordsPerFile", 1).text(f"{path}/{params.run_id}"))
+    """All reports as a page-by-page client saves them: one JSON array a file, a folder a page."""
+    path = shared_folder(spark, "pages")
+    (feed.pages(spark, sf_dir).select(S.RUN_ID, "page", "records")
+     .write.partitionBy(S.RUN_ID, "page").option("maxRecordsPerFile", 1).text(path))
     return path
 
 
@@ -136,16 +135,21 @@ def responses_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corrupt_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Narrative reports of which some were cut off: what was read, what was kept aside, counts."""
+    """Narrative reports of which some were cut off: what was read, what was kept aside, counts.
+
+    Half of the pages cut off are fetched again, whole, and the run is loaded anew.
+    """
     base = shared_folder(spark, "corrupt")
     at = Locations(f"{base}/landing", f"{base}/bronze", f"{base}/silver/", f"{base}/gold/")
     line, number = landing.record_json(), F.regexp_extract("report_number", r"(\d+)", 1)
     cut = F.substring(line, F.lit(1), F.floor(F.length(line) * 0.6).cast("int"))
     params = feed.TEXT_PARAMS
-    (feed.text_reports(spark, sf_dir)
-     .select(F.when(number.cast("long") % 7 == 0, cut).otherwise(line).alias("value"))
-     .write.text(landing.run_folder(at.landing, params.run_id)))
-    load_pages(landing.read_pages(spark, at.landing), at)
+    for every in (7, 14):
+        (feed.text_reports(spark, sf_dir)
+         .select(F.when(number.cast("long") % every == every - 7, cut).otherwise(line)
+                 .alias("value"))
+         .write.mode("overwrite").text(landing.run_folder(at.landing, params.run_id)))
+        load_pages(landing.read_pages(spark, at.landing), at)
     kept = tables.read_bronze(spark, at.bronze)
     aside = tables.read_run(spark, at.corrupt, params.run_id, S.CORRUPT_SCHEMA)
     summary = run_summary(kept, "bronze", corrupt=aside)
@@ -184,26 +188,28 @@ def _loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_folder(spark, "job")
     at = Locations(f"{base}/landing", f"{base}/bronze", f"{base}/silver/", f"{base}/gold/")
     pages = _array_pages(spark, sf_dir)
-    load_pages(landing.read_pages(spark, pages, whole_file_pages=True), at)
+    load_pages(landing.read_pages(spark, pages, whole_file_pages=True), at,
+               landing.landed_files(spark, pages))
     return tables.read_bronze(spark, at.bronze)
 
 
 def _by_page(bronze: DataFrame) -> DataFrame:
-    """Rows with the page in place of the file's name: a page may be cut into several files."""
-    folder = F.regexp_extract(S.SOURCE_FILE, r"^(.*/)[^/]*$", 1)
-    return bronze.withColumn(S.SOURCE_FILE, F.concat(folder, feed.page_number()))
+    """Rows with the page's folder in place of the file: a page may be cut into several files."""
+    return bronze.withColumn(S.SOURCE_FILE, landing.page_folder())
 
 
 def run_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages and records of each run, from its landed pages."""
     folder = F.substring_index("landing_path", "/", -1)
-    return run_summary(_by_page(_loaded(spark, sf_dir)), "bronze").withColumn("landing_path", folder)
+    summary = run_summary(_by_page(_loaded(spark, sf_dir)), "bronze")
+    return summary.withColumn("landing_path", F.substring_index(folder, "=", -1))
 
 
 def run_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of each landed page; pages are named by their folder."""
     folder = F.element_at(F.split(S.SOURCE_FILE, "/"), -2)
-    return run_files(_by_page(_loaded(spark, sf_dir))).withColumn(S.SOURCE_FILE, folder)
+    return run_files(_by_page(_loaded(spark, sf_dir))).withColumn(
+        S.SOURCE_FILE, F.substring_index(folder, "=", -1))
 
 
 # --- clean tables ------------------------------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
@@ -24,6 +24,19 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """``df`` written to a new shared folder, as read from there, and the folder."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all in it, on whatever file system the path names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, on whatever file system the path names."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

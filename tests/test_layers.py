@@ -5,7 +5,7 @@ from records import raw, rows
 
 from devicewatch import JobParams
 from devicewatch import schemas as S
-from devicewatch.operators.audit import run_summary
+from devicewatch.operators.audit import run_files, run_summary
 from devicewatch.plans.layers import (
     Locations,
     ingest,
@@ -15,7 +15,7 @@ from devicewatch.plans.layers import (
     refresh_silver,
 )
 from devicewatch.sources import shared, tables
-from devicewatch.sources.landing import read_pages, read_run_pages
+from devicewatch.sources.landing import landed_files, page_folder, read_pages, read_run_pages
 
 
 def report(number, day, text, kind="Injury"):
@@ -193,3 +193,72 @@ def test_a_folder_that_executors_do_not_share_is_refused():
 
     with pytest.raises(RuntimeError):
         shared.shared_folder(Cluster, "p")
+
+
+def saved(folder, run, **pages):
+    """Pages as a client saves them, one JSON array a file, replacing the run's earlier ones."""
+    at = folder / run
+    at.mkdir(parents=True, exist_ok=True)
+    for old in at.iterdir():
+        old.unlink()
+    for name, records in pages.items():
+        text = records if isinstance(records, str) else json.dumps(records)
+        (at / f"{name}.json").write_text(text)
+
+
+def numbered(*numbers):
+    return [{"report_number": n, "date_received": "20230101", "_ingested_at": "t"} for n in numbers]
+
+
+def state(spark, at):
+    kept = rows(tables.read_bronze(spark, at.bronze), "_run_id", "report_number")
+    aside = tables.read(spark, at.corrupt, S.CORRUPT_SCHEMA).groupBy(S.RUN_ID).count()
+    seen = tables.read(spark, at.manifest).selectExpr(
+        "_run_id", "regexp_extract(_source_file, '([^/]+).json$', 1) AS page", "records",
+        "corrupt_records")
+    return kept, rows(aside, "_run_id", "count"), rows(
+        seen, "_run_id", "page", "records", "corrupt_records")
+
+
+def test_reload_leaves_no_stale_rows(spark, tmp_path):
+    at = Locations("", f"{tmp_path}/bronze", "", "")
+    pages = tmp_path / "pages"
+
+    def load(run):
+        files = str(pages / run)
+        load_pages(read_pages(spark, files, whole_file_pages=True), at,
+                   landed_files(spark, files))
+
+    saved(pages, "other", a=numbered("9"))
+    load("other")
+    other = ("other", "9"), ("other", "a", 1, 0)
+    saved(pages, "r1", a=numbered("1", "2"), b="[{broken")
+    load("r1")
+    assert state(spark, at) == ([other[0], ("r1", "1"), ("r1", "2")], [("r1", 1)], [
+        other[1], ("r1", "a", 2, 0), ("r1", "b", 0, 1)])
+    # The broken page is fetched again: nothing stays aside.
+    saved(pages, "r1", a=numbered("1", "2"), b=numbered("3"))
+    load("r1")
+    assert state(spark, at) == ([other[0], ("r1", "1"), ("r1", "2"), ("r1", "3")], [], [
+        other[1], ("r1", "a", 2, 0), ("r1", "b", 1, 0)])
+    # All pages broken: no good row stays.
+    saved(pages, "r1", a="[{", b="[{broken")
+    load("r1")
+    assert state(spark, at) == ([other[0]], [("r1", 2)], [
+        other[1], ("r1", "a", 0, 1), ("r1", "b", 0, 1)])
+    # Only pages without a record: the run is known and empty.
+    saved(pages, "r1", a="[]")
+    load("r1")
+    assert state(spark, at) == ([other[0]], [], [other[1], ("r1", "a", 0, 0)])
+
+
+def test_load_without_a_file_list_and_pages_in_folders(spark, tmp_path):
+    at = Locations("", f"{tmp_path}/bronze", "", "")
+    for page, numbers in ((1, ("1", "2")), (2, ("3",))):
+        saved(tmp_path / "pages" / "_run_id=r1", f"page={page}", x=numbered(*numbers))
+    found = load_pages(read_pages(spark, f"{tmp_path}/pages", whole_file_pages=True), at)
+    assert rows(found, "_run_id", "records", "corrupt_records") == [("r1", 1, 0), ("r1", 2, 0)]
+    pages = run_files(tables.read_bronze(spark, at.bronze).withColumn(
+        S.SOURCE_FILE, page_folder()))
+    assert rows(pages.selectExpr("right(_source_file, 21) AS page", "records"), "page",
+                "records") == [("pages/_run_id=r1/page=1"[-21:], 2), ("pages/_run_id=r1/page=2"[-21:], 1)]
