@@ -49,10 +49,13 @@ def product_risk(events: DataFrame, one_row_per_report: bool = False) -> DataFra
         .withColumn("risk_tier", risk_tier("adverse_event_rate")))
 
 
-def outcome_codes(events: DataFrame) -> DataFrame:
-    """One row per report and patient outcome code; a report without codes has one NULL."""
+def outcome_codes(events: DataFrame, *more: str) -> DataFrame:
+    """One row per report and patient outcome code; a report without codes has one NULL.
+
+    ``more`` columns of the events stay beside the code.
+    """
     return events.select(
-        "report_number", "year",
+        "report_number", "year", *more,
         F.explode_outer(F.from_json("patient_outcome", S.OUTCOME_ARRAY)).alias("outcome_code"),
     ).withColumn("outcome_label", outcome_label("outcome_code"))
 

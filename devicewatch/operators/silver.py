@@ -25,6 +25,11 @@ def _reports(bronze: DataFrame, quarantine_blank: bool) -> DataFrame:
 
 def events_silver(bronze: DataFrame, quarantine_blank: bool = True) -> DataFrame:
     """One row per report: latest version, typed dates, calendar parts, boolean flags."""
+    return event_rows(latest_reports(_reports(bronze, quarantine_blank)))
+
+
+def event_rows(reports: DataFrame, *more: str) -> DataFrame:
+    """Raw reports as rows of the events table; ``more`` columns come after its own."""
     received = report_date("date_received")
     derived = {
         "date_received": received,
@@ -36,10 +41,9 @@ def events_silver(bronze: DataFrame, quarantine_blank: bool = True) -> DataFrame
         "is_product_problem": is_yes("product_problem_flag"),
         "is_implant": is_yes("implant_flag"),
     }
-    latest = latest_reports(_reports(bronze, quarantine_blank))
-    return latest.select(*[
+    return reports.select(*[
         derived[name].alias(name) if name in derived else F.col(name)
-        for name in S.EVENTS_SCHEMA.names])
+        for name in S.EVENTS_SCHEMA.names], *more)
 
 
 def devices_silver(bronze: DataFrame, latest_only: bool = True,
@@ -52,8 +56,13 @@ def devices_silver(bronze: DataFrame, latest_only: bool = True,
     narrow = _reports(bronze, quarantine_blank).select(*VERSION, "device_raw")
     if latest_only:
         narrow = latest_reports(narrow)
-    devices = narrow.select(
-        *VERSION, F.posexplode_outer(F.from_json("device_raw", S.DEVICE_ARRAY))
+    return device_rows(narrow)
+
+
+def device_rows(reports: DataFrame, *more: str) -> DataFrame:
+    """The devices of raw reports, the latest report's first listed of each sequence number."""
+    devices = reports.select(
+        *VERSION, *more, F.posexplode_outer(F.from_json("device_raw", S.DEVICE_ARRAY))
         .alias("_position", "_device"))
     keys = ["report_number", "device_sequence_no"]
     kept = first_by(devices.withColumn("device_sequence_no", F.col("_device.device_sequence_no")),
@@ -65,7 +74,7 @@ def devices_silver(bronze: DataFrame, latest_only: bool = True,
         "_device.model_number", "_device.catalog_number", "_device.lot_number",
         "device_sequence_no", "_device.implant_flag",
         F.col("_device.device_report_product_code").alias("product_code"),
-        "_ingested_at")
+        "_ingested_at", *more)
 
 
 def narratives_silver(bronze: DataFrame, latest_only: bool = True,
@@ -79,11 +88,16 @@ def narratives_silver(bronze: DataFrame, latest_only: bool = True,
         *VERSION, "date_received", "mdr_text_raw")
     if latest_only:
         narrow = latest_unmoved(narrow)
+    return narrative_rows(narrow)
+
+
+def narrative_rows(reports: DataFrame, *more: str) -> DataFrame:
+    """The narrative blocks of raw reports that have text."""
     # The text filter drops what an outer explode would add, so this is an inner one.
-    blocks = narrow.select(
-        "report_number", report_date("date_received").alias("date_received"), "_ingested_at",
+    blocks = reports.select(
+        "report_number", report_date("date_received").alias("date_received"), "_ingested_at", *more,
         F.explode(F.from_json("mdr_text_raw", S.NARRATIVE_ARRAY)).alias("_block"))
     return blocks.select(
         "report_number", "date_received", "_block.text_type_code",
         F.col("_block.foi_text").alias("narrative_text"), "_block.mdr_text_key",
-        "_ingested_at").where(F.col("narrative_text").isNotNull())
+        "_ingested_at", *more).where(F.col("narrative_text").isNotNull())

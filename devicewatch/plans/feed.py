@@ -12,6 +12,7 @@ import dataclasses
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from devicewatch import schemas as S
 from devicewatch.operators.flatten import flatten
@@ -221,6 +222,16 @@ def pages(spark: SparkSession, sf_dir: str, most: int = PAGE_RECORDS) -> DataFra
                  F.lit("\n]")).alias("records"), F.count("*").alias("count")).drop("_part", "_cut")
 
 
+#: The columns that name a version of a report.
+KEY_SCHEMA = T.StructType([T.StructField(n, T.StringType())
+                           for n in ("report_number", "mdr_report_key")])
+
+
+def fetched_before(year: int) -> Column:
+    """Whether a report was fetched before this year."""
+    return F.substring("_ingested_at", 1, 4) < str(year)
+
+
 def device_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The device reports, flattened."""
     return flatten(device_reports(spark, sf_dir))

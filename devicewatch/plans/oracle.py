@@ -436,6 +436,14 @@ FROM record GROUP BY run_id"""),
     "run_files": _with(_RUN_FILES, """
 SELECT run_id AS _run_id, run_id AS _source_file, count(*) AS records
 FROM record GROUP BY run_id, page"""),
+    "snapshot_read": _with(_SUB, """
+SELECT 'during' AS layer, report_number, mdr_report_key FROM sub WHERE fetched < '1996'
+UNION ALL SELECT 'after', report_number, mdr_report_key FROM sub"""),
+    "gold_incremental": _with(_ALL_EVENTS, f"""
+SELECT 'event_summary' AS layer, * FROM ({_event_summary('ev')})
+UNION ALL BY NAME SELECT 'product_risk' AS layer, * FROM ({_product_risk('ev')})
+UNION ALL BY NAME SELECT 'outcome_breakdown' AS layer, * FROM (
+  SELECT year, outcome_label, count(report_number) AS report_count FROM outcomes GROUP BY 1, 2)"""),
     "layer_counts": _with(_ALL_EVENTS, f"""
 SELECT 'bronze' AS layer, (SELECT count(*) FROM sub) + (SELECT count(*) FROM documents)
   + (SELECT count(*) FROM conversations) AS row_count
@@ -452,3 +460,8 @@ UNION ALL SELECT 'outcome_breakdown', count(*) FROM (
 UNION ALL SELECT 'flagged_narratives', count(*) FROM narrative
   WHERE version = 1 AND {_matched('narrative_text', HIGH_RISK_KEYWORDS)} <> ''"""),
 }
+
+ORACLE["silver_incremental"] = f"""
+SELECT 'events' AS layer, * FROM ({ORACLE["events_silver"]})
+UNION ALL BY NAME SELECT 'devices' AS layer, * FROM ({ORACLE["devices_silver"]})
+UNION ALL BY NAME SELECT 'narratives' AS layer, * FROM ({ORACLE["narratives_silver"]})"""

@@ -16,7 +16,7 @@ from devicewatch.operators.audit import layer_counts, run_files, run_summary
 from devicewatch.operators.dedup import latest_reports
 from devicewatch.operators.flatten import flatten, null_to_empty
 from devicewatch.operators.search import count_matching, page_plan, search
-from devicewatch.plans import feed
+from devicewatch.plans import feed, incremental
 from devicewatch.plans.layers import (
     GOLD_TABLES,
     PARTITIONS,
@@ -28,7 +28,7 @@ from devicewatch.plans.layers import (
     refresh_silver,
     silver_tables,
 )
-from devicewatch.sources import landing, tables
+from devicewatch.sources import landing, tables, versions
 from devicewatch.sources.shared import shared_folder
 from devicewatch.streaming.ingest import ingest_new_pages
 
@@ -351,6 +351,63 @@ def gold_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), written)
 
 
+def _upserted(spark: SparkSession, sf_dir: str, later_first: bool = False) -> str:
+    """A base that three runs brought up to date: device reports of some lines, those of the others
+    with some of the first again, and texts. ``later_first`` swaps the first two."""
+    base = shared_folder(spark, "incremental")
+    devices = feed.device_bronze(spark, sf_dir)
+    early, again = feed.fetched_before(1996), F.pmod(F.xxhash64("report_number"), F.lit(5)) == 0
+    runs = [devices.where(early), devices.where(~early | again)]
+    for rows in [*(reversed(runs) if later_first else runs), feed.text_bronze(spark, sf_dir)]:
+        incremental.upsert(rows, base, buckets=16)
+    return base
+
+
+def _layers(tables_: dict[str, DataFrame]) -> DataFrame:
+    named = [df.withColumn("layer", F.lit(name)) for name, df in tables_.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+
+
+def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean tables after runs that each changed some buckets: events and devices as of the
+    version before the texts, narratives of the latest."""
+    base = _upserted(spark, sf_dir)
+    devices_only = versions.version(spark, base, 2)
+    return _layers({
+        "events": incremental.clean_table(spark, base, "events", devices_only),
+        "devices": incremental.clean_table(spark, base, "devices", devices_only),
+        "narratives": incremental.clean_table(spark, base, "narratives")})
+
+
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The analysis tables that are kept as sums, after runs that changed reports back and forth."""
+    base = _upserted(spark, sf_dir, later_first=True)
+    return _layers({name: incremental.analysis_table(spark, base, name)
+                    for name in ("event_summary", "product_risk", "outcome_breakdown")})
+
+
+def snapshot_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see of a table while its next version is written, and once it is published."""
+    base, schema = shared_folder(spark, "versions"), feed.KEY_SCHEMA
+    rows = feed.device_reports(spark, sf_dir).select(
+        *schema.names, "_ingested_at", F.lit(0).alias(versions.BUCKET))
+
+    def commit(shown: DataFrame) -> versions.Commit:
+        begun = versions.Commit(spark, base)
+        begun.write("reports", shown.drop("_ingested_at"), [0])
+        return begun
+
+    def seen() -> DataFrame:
+        return versions.read(spark, base, versions.version(spark, base), "reports", schema).drop(
+            versions.BUCKET)
+
+    commit(rows.where(feed.fetched_before(1996))).publish()
+    begun = commit(rows)
+    during = seen()
+    begun.publish()
+    return _layers({"during": during, "after": seen()})
+
+
 QUERIES: dict[str, Query] = {
     "event_summary": event_summary,
     "product_risk": product_risk,
@@ -387,4 +444,7 @@ QUERIES: dict[str, Query] = {
     "run_summary": run_summary_query,
     "run_files": run_files_query,
     "layer_counts": layer_counts_query,
+    "silver_incremental": silver_incremental,
+    "gold_incremental": gold_incremental,
+    "snapshot_read": snapshot_read,
 }
