@@ -355,6 +355,20 @@ ev AS (
   FROM turn WHERE version = 1
 )""" + _outcomes("ev")
 
+# One row per hit that did not land, of pages of 50.
+_MISSING = _SUB + """,
+hit AS (
+  SELECT pos, pos // 50 + 1 AS page, n FROM (SELECT count(*) AS n FROM sub),
+    LATERAL (SELECT unnest(range(n)) AS pos)),
+gap AS (
+  SELECT pos, page, pos - row_number() OVER (ORDER BY pos) AS island
+  FROM hit
+  WHERE NOT (page % 7 NOT IN (3, 4)
+             AND pos % 50 < least(50, n - (page - 1) * 50) - CASE page % 11 WHEN 5 THEN 20 ELSE 0 END)
+    AND NOT (page % 5 = 0 AND pos % 50 >= 10)
+    AND NOT ((page - 1) % 5 = 0 AND page > 1 AND pos % 50 < 5)
+)"""
+
 ORACLE: dict[str, str] = {
     "event_summary": _with(_REP, _event_summary("rep")),
     "product_risk": _with(_REP, _product_risk("rep")),
@@ -436,6 +450,22 @@ FROM record GROUP BY run_id"""),
     "run_files": _with(_RUN_FILES, """
 SELECT run_id AS _run_id, run_id AS _source_file, count(*) AS records
 FROM record GROUP BY run_id, page"""),
+    "missing_pages": _with(_MISSING, """
+SELECT page AS page_num, CAST(min(pos) AS BIGINT) AS skip, count(*) AS records
+FROM gap GROUP BY page, island"""),
+    "fetch_ranges": _with(_MISSING, """
+SELECT CAST(min(pos) AS BIGINT) AS skip, count(*) AS records, count(DISTINCT page) AS pages
+FROM gap GROUP BY island"""),
+    "flagged_by_table": """
+WITH words AS (SELECT string_split(text, ' ') AS w FROM benchmark),
+term AS (
+  SELECT DISTINCT lower(t) AS term FROM (
+    SELECT unnest(list_concat(w, list_transform(range(1, greatest(len(w), 2)),
+      lambda i: concat_ws(' ', w[i], w[i + 1])))) AS t FROM words)
+  WHERE length(t) >= 9)
+SELECT doc_id, CAST(count(*) AS INTEGER) AS n_terms,
+  md5(string_agg(term, '|' ORDER BY term)) AS terms_md5
+FROM documents JOIN term ON contains(lower(text), term) GROUP BY doc_id""",
     "snapshot_read": _with(_SUB, """
 SELECT 'during' AS layer, report_number, mdr_report_key FROM sub WHERE fetched < '1996'
 UNION ALL SELECT 'after', report_number, mdr_report_key FROM sub"""),

@@ -10,12 +10,18 @@ from pyspark.sql import functions as F
 
 from devicewatch import schemas as S
 from devicewatch.functions.columns import report_date
-from devicewatch.functions.keywords import has_keyword, matched_keywords
+from devicewatch.functions.keywords import flagged_by_table, has_keyword, matched_keywords
 from devicewatch.operators import gold, silver
 from devicewatch.operators.audit import layer_counts, run_files, run_summary
 from devicewatch.operators.dedup import latest_reports
 from devicewatch.operators.flatten import flatten, null_to_empty
-from devicewatch.operators.search import count_matching, page_plan, search
+from devicewatch.operators.search import (
+    count_matching,
+    fetch_ranges,
+    missing_pages,
+    page_plan,
+    search,
+)
 from devicewatch.plans import feed, incremental
 from devicewatch.plans.layers import (
     GOLD_TABLES,
@@ -212,6 +218,28 @@ def run_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         S.SOURCE_FILE, F.substring_index(folder, "=", -1))
 
 
+def _half_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is missing where some planned pages failed, some were cut off and some came twice."""
+    limit = 50
+    plan = page_plan(feed.device_reports(spark, sf_dir), limit)
+    kept = F.col("records") - F.when(F.col("page_num") % 11 == 5, 20).otherwise(0)
+    landed = plan.where(~(F.col("page_num") % 7).isin(3, 4)).select("skip", kept.alias("records"))
+    # A second client fetched pages of another size, for one in five of its own.
+    again = plan.where(F.col("page_num") % 5 == 0).select(
+        (F.col("skip") + 10).alias("skip"), F.lit(45).alias("records"))
+    return missing_pages(plan, landed.unionByName(again).unionByName(again), limit)
+
+
+def missing_pages_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages, and parts of pages, that did not arrive."""
+    return _half_landed(spark, sf_dir)
+
+
+def fetch_ranges_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as ranges to fetch."""
+    return fetch_ranges(_half_landed(spark, sf_dir))
+
+
 # --- clean tables ------------------------------------------------------------------------
 
 def reports_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,6 +334,19 @@ def matched_keywords_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         matched_keywords("text").alias("matched_high_risk"))
 
 
+def flagged_by_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain a word of the benchmark items, or two words in a row of them."""
+    words = F.split("text", " ")
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 1, F.lit(1))),
+                        lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i)))
+    terms = feed.table(spark, sf_dir, "benchmark").select(
+        F.explode(F.concat(words, pairs)).alias("term")).where(F.length("term") >= 9)
+    documents = feed.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return flagged_by_table(documents, terms, "text").select(
+        "doc_id", F.size("matched_terms").alias("n_terms"),
+        F.md5(F.array_join("matched_terms", "|")).alias("terms_md5"))
+
+
 def _flagged(spark: SparkSession, sf_dir: str, latest_only: bool, **options) -> DataFrame:
     narratives = silver.narratives_silver(feed.text_bronze(spark, sf_dir), latest_only)
     path = shared_folder(spark, "events")
@@ -427,9 +468,12 @@ QUERIES: dict[str, Query] = {
     "flagged_narratives": flagged_narratives,
     "flagged_custom": flagged_custom,
     "flagged_latest20": flagged_latest20,
+    "flagged_by_table": flagged_by_table_query,
     "search_filter": search_filter,
     "matching_count": matching_count,
     "page_plan": page_plan_query,
+    "missing_pages": missing_pages_query,
+    "fetch_ranges": fetch_ranges_query,
     "bronze_flatten": bronze_flatten,
     "bronze_flatten_texts": bronze_flatten_texts,
     "null_to_empty": null_to_empty_query,
