@@ -14,95 +14,26 @@ that are new to a block whose anchor may go on in another are then compared acro
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from itertools import islice
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from devicewatch.llm.anchors import (
+    ANCHOR, WindowIndex, anchor_filter, anchors, batch_of, distinct_anchors, in_batches, passing,
+    raw_bytes, repeated_spans)
 from devicewatch.llm.shared import materialise, partitions, whole_text
-from devicewatch.llm.suffix_dedup import selected, suffixes, word_hashes
 
 #: Words an anchor is selected by.
 GRAM = 25
 #: Passages of a block, about.
 _PASSAGES = 20_000
-#: Bits of the filter of shared anchors for each of them, and at most. A full filter deals passages
-#: in vain and changes nothing.
-_BITS_EACH, _MOST_BITS = 16, 1 << 28
 _ROWS = 1 << 14
 _BYTES = 1 << 23
 
 
-def _anchors(text: bytes, min_words: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of each anchor, and the first and last window it stands for.
-
-    A window's anchor is the first of its n-grams of least hash: the same wherever the window
-    stands, and later for later windows.
-    """
-    grams, least = suffixes(word_hashes(np.frombuffer(text, dtype=np.uint8)), min_words, gram)
-    if not len(least):
-        none = np.empty(0, dtype=np.int64)
-        return grams[:0], none, none
-    at = selected(grams, least, min_words - gram + 1)
-    chosen = np.searchsorted(at, np.arange(len(least)))
-    while (other := grams[at[chosen]] != least).any():
-        chosen += other
-    first = np.nonzero(np.diff(chosen, prepend=-1))[0]
-    last = np.append(first[1:], len(least)) - 1
-    return least[first], first, last
-
-
-def _raw(text: str) -> bytes:
-    return text.encode("utf-8", "surrogatepass")
-
-
-_ANCHOR = "anchor long, id long, rows long"
-
-
-def _distinct_anchors(min_words: int, gram: int):
-    """``id``, ``text`` to the distinct anchors of each document and how often it has them."""
-    names = [f.split()[0] for f in _ANCHOR.split(", ")]
-
-    def batch(held: list) -> pa.RecordBatch:
-        ids = np.repeat(np.arange(len(held)), [len(h) for h, _, _ in held])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([h for h, _, _ in held]).view(np.int64)),
-             pa.array([i for _, i, _ in held], type=pa.int64()).take(pa.array(ids)),
-             pa.array(np.concatenate([n for _, _, n in held]))], names=names)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for rows in batches:
-            for id_, text in zip(*rows.columns, strict=True):
-                hashes, _, _ = _anchors(_raw(text.as_py()), min_words, gram)
-                if len(hashes):
-                    hashes, times = np.unique(hashes, return_counts=True)
-                    held.append((hashes, id_.as_py(), times))
-                    size += len(hashes)
-                if size >= _ROWS:
-                    yield batch(held)
-                    held, size = [], 0
-        if held:
-            yield batch(held)
-
-    return run
-
-
-def _filter(shared: DataFrame, count: int) -> np.ndarray:
-    """One bit for each shared anchor, in 64-bit words."""
-    bits = 1 << max(16, (count * _BITS_EACH - 1).bit_length())
-    table = np.zeros(min(bits, _MOST_BITS) // 64, dtype=np.int64)
-    slot = F.col("anchor").bitwiseAND(F.lit(len(table) * 64 - 1))
-    words = shared.select(F.shiftright(slot, 6).alias("word"), F.call_function(
-        "shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
-    for part in words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow().to_batches():
-        table[part.column(0).to_numpy()] = part.column(1).to_numpy()
-    return table.view(np.uint64)
-
-
 _PASSAGE = "anchor long, id long, tie long, start int, words binary"
 
 
@@ -113,40 +44,32 @@ def _passages(min_words: int, gram: int, table: np.ndarray):
     """
     schema = pa.schema([("anchor", pa.int64()), ("id", pa.int64()), ("tie", pa.int64()),
                         ("start", pa.int32()), ("words", pa.binary())])
-    mask = np.uint64(len(table) * 64 - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for rows in batches:
             for id_, tie, text in zip(*rows.columns, strict=True):
-                raw = _raw(text.as_py())
-                hashes, first, last = _anchors(raw, min_words, gram)
-                slots = hashes & mask
-                hit = (table[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1)
+                raw = raw_bytes(text.as_py())
+                hashes, _, first, last = anchors(raw, min_words, gram)
+                hit = passing(hashes, table)
                 if not hit.any():
                     continue
                 words, id_, tie = raw.split(), id_.as_py(), tie.as_py()
-                for anchor, start, end in zip(hashes[hit == 1].view(np.int64).tolist(),
-                                              first[hit == 1].tolist(), last[hit == 1].tolist(),
+                for anchor, start, end in zip(hashes[hit].view(np.int64).tolist(),
+                                              first[hit].tolist(), last[hit].tolist(),
                                               strict=True):
                     passage = b" ".join(words[start:end + min_words])
                     held.append((anchor, id_, tie, start, passage))
                     size += len(passage)
                     if len(held) >= _ROWS or size >= _BYTES:
-                        yield _batch(held, schema)
+                        yield batch_of(held, schema)
                         held, size = [], 0
         if held:
-            yield _batch(held, schema)
+            yield batch_of(held, schema)
 
     return run
 
 
-def _batch(held: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, type=t) for c, t in zip(zip(*held, strict=True), schema.types, strict=True)],
-        schema=schema)
-
-
 _FOUND = ("id long, tie long, start int, stop int, source_id long, source_start int, "
           "new_window binary, places array<int>")
 _FOUND_TYPES = pa.schema([
@@ -155,69 +78,18 @@ _FOUND_TYPES = pa.schema([
     ("places", pa.list_(pa.int32()))])
 
 
-class _Block:
-    """The passages read so far around one anchor, indexed by window."""
-
-    def __init__(self, min_words: int):
-        self.min_words = min_words
-        self.passages: list[tuple[int | None, int, list[bytes]]] = []
-        self.index: dict[int, list[tuple[int, int]]] = {}
-        #: Where documents have windows that no smaller id of the block has: by place in the
-        #: index, id and tie.
-        self.new: dict[tuple, list[int]] = {}
-
-    def _find(self, words: list[bytes], at: int, key: int) -> tuple[int, int] | None:
-        """The first passage, and the place in it, with the window of ``words`` at ``at``."""
-        for passage, place in self.index.get(key, ()):
-            held = self.passages[passage][2]
-            if held[place:place + self.min_words] == words[at:at + self.min_words]:
-                return passage, place
-        return None
-
-    def parse(self, id_: int | None, tie: int, start: int, words: list[bytes]) -> list[tuple]:
-        """The factors of a passage: start, stop, and the id and position they repeat."""
-        n, own, factors = self.min_words, len(self.passages), []
-        at, last = 0, len(words) - n
-        while at <= last:
-            key = hash(tuple(words[at:at + n]))
-            hit = self._find(words, at, key)
-            source = self.passages[hit[0]] if hit else None
-            if source is None or source[0] == id_:
-                if source is None:
-                    hit = own, at
-                    self.index.setdefault(key, []).append(hit)
-                    if own == len(self.passages):
-                        self.passages.append((id_, start, words))
-                self.new.setdefault((*hit, id_, tie), []).append(start + at)
-                at += 1
-                continue
-            held, place = source[2], hit[1]
-            stop, end = at + n, place + n
-            while stop < len(words) and end < len(held) and words[stop] == held[end]:
-                stop, end = stop + 1, end + 1
-            factors.append((start + at, start + stop, source[0], source[1] + place))
-            at = stop - n + 1
-        return factors
-
-    def new_windows(self) -> Iterator[tuple]:
-        """The windows no smaller id of the block has, as rows of ``_FOUND``."""
-        for (passage, place, id_, tie), places in self.new.items():
-            words = self.passages[passage][2][place:place + self.min_words]
-            yield id_, tie, None, None, None, None, b" ".join(words), places
-
-
 def _parse(min_words: int):
     """Passages in order of anchor and id to factors, and new windows where a block is cut."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        anchor, block, seen, blocks = None, _Block(min_words), None, 0
+        anchor, block, seen, blocks = None, WindowIndex(min_words), None, 0
 
         for rows in batches:
             for row in zip(*(c.to_pylist() for c in rows.columns), strict=True):
                 if row[0] != anchor:
                     if blocks == 1:  # the partition before may have ended in this anchor
-                        yield from _in_batches(block.new_windows())
-                    anchor, block, seen, blocks = row[0], _Block(min_words), None, blocks + 1
+                        yield from in_batches(block.new_windows(), _FOUND_TYPES)
+                    anchor, block, seen, blocks = row[0], WindowIndex(min_words), None, blocks + 1
                 elif row[1:4] == seen:
                     continue  # a repeated row
                 seen = row[1:4]
@@ -225,20 +97,14 @@ def _parse(min_words: int):
                 held += [(id_, tie, *factor, None, None)
                          for factor in block.parse(id_, tie, start, passage.split())]
                 if len(held) >= _ROWS:
-                    yield _batch(held, _FOUND_TYPES)
+                    yield batch_of(held, _FOUND_TYPES)
                     held = []
-        yield from _in_batches(held)
-        yield from _in_batches(block.new_windows())  # the next partition may go on with it
+        yield from in_batches(held, _FOUND_TYPES)
+        yield from in_batches(block.new_windows(), _FOUND_TYPES)  # the next partition may go on with it
 
     return run
 
 
-def _in_batches(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
-    rows = iter(rows)
-    while held := list(islice(rows, _ROWS)):
-        yield _batch(held, _FOUND_TYPES)
-
-
 def _across(new: DataFrame, min_words: int) -> DataFrame:
     """Factors of one window each, of blocks that the same anchor fills together.
 
@@ -279,15 +145,15 @@ def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     spark = docs.sparkSession
     text = whole_text(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
-    anchors = rows.mapInArrow(_distinct_anchors(min_words, gram), _ANCHOR)
+    found = rows.mapInArrow(distinct_anchors(min_words, gram), ANCHOR)
     place = F.struct(F.col("id").isNotNull(), "id")
     shared = materialise(
-        anchors.groupBy("anchor").agg(
+        found.groupBy("anchor").agg(
             F.min(place).alias("first"), F.max(place).alias("last"), F.sum("rows").alias("rows"))
         .where(~F.col("first.id").eqNullSafe(F.col("last.id"))).select("anchor", "rows"),
         "anchors")
     size = shared.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0))).first()
-    table = _filter(shared, size[0])
+    table = anchor_filter(shared, size[0])
     around = materialise(
         docs.select(F.col(id_col).cast("long").alias("id"), _tie(text).alias("tie"),
                     text.alias("text"))
@@ -302,30 +168,6 @@ def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
         _across(found.where("new_window IS NOT NULL"), min_words))
 
 
-_SPAN = "array<struct<start:int,stop:int>>"
-
-
-def repeated_spans(found: DataFrame) -> DataFrame:
-    """``id``, ``tie``, ``spans``: the factors of each document, joined where they touch."""
-    def joined(lists: pa.Array) -> pa.Array:
-        return pa.array([_union(spans.as_py()) for spans in lists], type=pa.list_(
-            pa.struct([("start", pa.int32()), ("stop", pa.int32())])))
-
-    spans = found.groupBy("id", "tie").agg(
-        F.collect_set(F.struct("start", "stop")).alias("spans"))
-    return spans.select("id", "tie", F.arrow_udf(joined, _SPAN)("spans").alias("spans"))
-
-
-def _union(spans: list[dict[str, int]]) -> list[dict[str, int]]:
-    found: list[dict[str, int]] = []
-    for s in sorted(spans, key=lambda s: s["start"]):
-        if found and s["start"] <= found[-1]["stop"]:
-            found[-1]["stop"] = max(found[-1]["stop"], s["stop"])
-        else:
-            found.append(dict(s))
-    return found
-
-
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  min_words: int = 50, gram: int = GRAM, passages: int = _PASSAGES,
                  spans_col: str = "spans", kept_col: str = "kept",
@@ -345,7 +187,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def keep(texts: pa.Array, lists: pa.Array) -> pa.Array:
         kept, count = [], []
         for value, spans in zip(texts, lists, strict=True):
-            words = _raw(value.as_py()).split()
+            words = raw_bytes(value.as_py()).split()
             count.append(len(words))
             for s in reversed(spans.as_py() or []):
                 del words[s["start"]:s["stop"]]

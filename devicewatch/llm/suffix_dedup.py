@@ -1,20 +1,18 @@
-"""Repeated passages by fingerprints of words, in place of a suffix sort.
-
-Only content-selected places are kept: the word n-gram of least hash in each window of n-grams, so
-any two equal runs of enough words keep the same place. Rows are the n-gram's hash and place; sorted,
-equal n-grams are neighbours, and one without an equal neighbour is dropped. Around the others each
-run of ``min_words`` words that holds such an n-gram is hashed and sorted by its hash, and every run
-but the first of its kind is a repeat. Texts are not compared: two runs whose 64-bit hashes clash
-count as equal. Overlapping repeats of a document together are its longest repeated passages, however
-many documents share which part of them.
-
-All sorts spread equal rows over as many partitions as they need, and neighbours are compared
-across partitions by the ends of each.
+"""Repeated passages by a sparse suffix array.
+
+A suffix of a text, by words, is retained where a content-selected anchor stands: any two equal runs
+of enough words have the same anchor in the same place. Retained suffixes are sorted by their words,
+as far as a run around the anchor can reach. Neighbours are compared; those that share the anchor's
+words form a run of the array, and a suffix unlike both its neighbours is dropped. Around the others
+matches are extended word by word, to the left as far as a run of ``min_words`` can begin and to the
+right as far as both texts agree. All but the first occurrence of a run of words are repeats.
+
+The sort spreads equal suffixes over as many partitions as they need; where a partition ends within a
+run of the array, the windows that are new to each part are compared across the parts.
 """
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,259 +20,126 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from devicewatch.llm.anchors import (
+    ANCHOR, SPANS, WindowIndex, anchor_filter, anchors, batch_of, distinct_anchors, in_batches,
+    passing, raw_bytes, repeated_spans, word_bounds)
 from devicewatch.llm.shared import materialise, partitions, whole_text
 
-#: Words of the n-gram a suffix is selected and first compared by.
+#: Words of the n-gram a suffix is selected by.
 GRAM = 13
-#: Bits of the filter that passes over documents without a repeated suffix. Fixed, whatever the
-#: input: a full filter passes over none, which costs time and changes nothing.
+#: Suffixes of a partition, about.
+_SUFFIXES = 20_000
+#: Bits of the filter that passes over documents without a repeat. Fixed, whatever the input: a
+#: full filter passes over none, which costs time and changes nothing.
 _FILTER_BITS = 1 << 24
-_ROWS = 1 << 16
-_WORD_AT = 1 << 16
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """Scatter 64-bit values (one to one)."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-@functools.lru_cache(maxsize=2)
-def _powers(base: int, n: int) -> np.ndarray:
-    values = np.full(n, base, dtype=np.uint64)
-    values[:1] = 1
-    return np.cumprod(values, dtype=np.uint64)
-
-
-def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where words begin and end, in bytes: runs of other than space and tab to carriage return."""
-    inside = np.empty(len(data) + 2, dtype=np.int8)
-    inside[0] = inside[-1] = 0
-    inside[1:-1] = (data != 32) & ((data < 9) | (data > 13))
-    turn = np.diff(inside)
-    return np.nonzero(turn == 1)[0], np.nonzero(turn == -1)[0]
-
-
-def word_hashes(data: np.ndarray) -> np.ndarray:
-    starts, stops = word_bounds(data)
-    if not len(starts):
-        return np.empty(0, dtype=np.uint64)
-    lengths = stops - starts
-    ends = np.cumsum(lengths)
-    firsts = ends - lengths
-    within = np.arange(ends[-1]) - np.repeat(firsts, lengths)
-    letters = data[np.repeat(starts, lengths) + within].astype(np.uint64) + np.uint64(1)
-    scaled = letters * _powers(0x9E3779B97F4A7C15, _WORD_AT)[within % _WORD_AT]
-    return _mix(np.add.reduceat(scaled, firsts) + lengths.astype(np.uint64))
-
-
-def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
-    """The hash of each run of ``n`` words."""
-    count = len(words) - n + 1
-    if count < 1:
-        return np.empty(0, dtype=np.uint64)
-    total = np.zeros(count, dtype=np.uint64)
-    for k in range(n):  # in place: the same for a run wherever it stands
-        total *= np.uint64(0xD1342543DE82EF95)
-        total += words[k:k + count]
-    return _mix(total)
-
-
-def _slide(x: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
-    """The least or largest of each window of ``width``."""
-    reach = 1
-    while 2 * reach <= width:
-        x = best(x[:-reach], x[reach:])
-        reach *= 2
-    rest = width - reach
-    return best(x[:-rest], x[rest:]) if rest else x
-
-
-def suffixes(words: np.ndarray, min_words: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram hash at each word, and the least of each run of ``min_words`` words."""
-    grams = run_hashes(words, gram)
-    width = min_words - gram + 1
-    if len(grams) < width:
-        return grams[:0], grams[:0]
-    return grams, _slide(grams, width, np.minimum)
-
-
-def selected(grams: np.ndarray, least: np.ndarray, width: int) -> np.ndarray:
-    """The places whose n-gram is the least of some window."""
-    if not len(least):
-        return np.empty(0, dtype=np.int64)
-    edge = np.zeros(width - 1, dtype=np.uint64)
-    return np.nonzero(_slide(np.concatenate([edge, least, edge]), width, np.maximum) == grams)[0]
-
-
-def _bytes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
-
-
-_PLACES = pa.schema([("hash", pa.int64()), ("id", pa.int64()), ("place", pa.int64())])
-_PLACES_SQL = "hash long, id long, place long"
-
-
-def _places(found: Iterator[tuple[np.ndarray, int | None, int, np.ndarray]]):
-    """Hashes, id, tie and positions to rows; a place is tie and position in one number."""
-    held, size = [], 0
-    for hashes, id_, tie, at in found:
-        for k in range(0, len(at), _ROWS):
-            part = at[k:k + _ROWS]
-            held.append((hashes[k:k + _ROWS].view(np.int64), id_,
-                         np.int64(tie) * (1 << 32) + part))
-            size += len(part)
-            if size >= _ROWS:
-                yield _batch(held)
-                held, size = [], 0
-    if held:
-        yield _batch(held)
-
-
-def _batch(held: list) -> pa.RecordBatch:
-    ids = pa.concat_arrays([pa.array([i], type=pa.int64()).take(pa.array(np.zeros(len(p), int)))
-                            for _, i, p in held])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([h for h, _, _ in held])), ids,
-         pa.array(np.concatenate([p for _, _, p in held]))], schema=_PLACES)
-
-
-def _select(min_words: int, gram: int):
-    """``id``, ``tie``, ``text`` to the selected suffixes."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found():
-            for batch in batches:
-                for id_, tie, text in zip(*batch.columns, strict=True):
-                    words = word_hashes(_bytes(text.as_py()))
-                    grams, least = suffixes(words, min_words, gram)
-                    at = selected(grams, least, min_words - gram + 1)
-                    yield grams[at], id_.as_py(), tie.as_py(), at
+_ROWS = 1 << 14
+_BYTES = 1 << 23
 
-        return _places(found())
+_SUFFIX = "suffix binary, before binary, id long, tie long, place int"
 
-    return run
 
+def _suffixes(min_words: int, gram: int, table: np.ndarray):
+    """``id``, ``tie``, ``text`` to the retained suffixes, with the words before them.
+
+    Words end in a space, so that equal first words sort together. A suffix ends with the last
+    run of ``min_words`` that its anchor stands for, and the words before begin with the first.
+    """
+    schema = pa.schema([("suffix", pa.binary()), ("before", pa.binary()), ("id", pa.int64()),
+                        ("tie", pa.int64()), ("place", pa.int32())])
+
+    def joined(words: list[bytes]) -> bytes:
+        return b"".join(w + b" " for w in words)
 
-def _extend(min_words: int, gram: int):
-    """``id``, ``tie``, ``text``, ``at`` to all runs that hold one of these suffixes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found():
-            for batch in batches:
-                for id_, tie, text, at in zip(*batch.columns, strict=True):
-                    words = word_hashes(_bytes(text.as_py()))
-                    grams, least = suffixes(words, min_words, gram)
-                    width = min_words - gram + 1
-                    # The runs whose least n-gram stands at one of the places.
-                    marked = np.zeros(len(grams), dtype=np.uint64)
-                    places = at.values.to_numpy(zero_copy_only=False)
-                    marked[places] = grams[places]
-                    own = np.zeros(len(least), dtype=bool)
-                    for k in range(width):
-                        own |= marked[k:k + len(least)] == least
-                    starts = np.nonzero(own)[0]
-                    yield run_hashes(words, min_words)[starts], id_.as_py(), tie.as_py(), starts
-
-        return _places(found())
+        held, size = [], 0
+        for rows in batches:
+            for id_, tie, text in zip(*rows.columns, strict=True):
+                raw = raw_bytes(text.as_py())
+                hashes, places, first, last = anchors(raw, min_words, gram)
+                hit = passing(hashes, table)
+                if not hit.any():
+                    continue
+                words, id_, tie = raw.split(), id_.as_py(), tie.as_py()
+                for at, start, end in zip(places[hit].tolist(), first[hit].tolist(),
+                                          last[hit].tolist(), strict=True):
+                    suffix = joined(words[at:end + min_words])
+                    held.append((suffix, joined(words[start:at]), id_, tie, at))
+                    size += len(suffix)
+                    if len(held) >= _ROWS or size >= _BYTES:
+                        yield batch_of(held, schema)
+                        held, size = [], 0
+        if held:
+            yield batch_of(held, schema)
 
     return run
 
 
-def _sorted(rows: DataFrame) -> DataFrame:
-    """Rows by hash, id and place; equal hashes may lie in several partitions."""
-    keys = ["hash", "id", "place"]
-    return rows.repartitionByRange(partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys)
-
-
-def _neighbours(batches: Iterator[pa.RecordBatch], ahead: int):
-    """Batches with the last row before each and, with ``ahead``, the first after it."""
-    before, waiting = None, None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        if waiting is not None:
-            yield before, waiting, batch.slice(0, 1) if ahead else None
-            before = waiting.slice(waiting.num_rows - 1)
-        waiting = batch
-    if waiting is not None:
-        yield before, waiting, None
-
-
-def _with_twin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows whose hash a neighbour has too; the ends of a partition stay in any case."""
-    for before, batch, after in _neighbours(batches, 1):
-        hashes = batch.column(0).to_numpy(zero_copy_only=False)
-        same = hashes[1:] == hashes[:-1]
-        first = before is None or before.column(0)[0].as_py() == hashes[0]
-        last = after is None or after.column(0)[0].as_py() == hashes[-1]
-        keep = np.concatenate([[first], same]) | np.concatenate([same, [last]])
-        if keep.any():
-            yield batch.filter(pa.array(keep))
-
-
-_MARKED = "hash long, id long, place long, part int, edge int"
-_REPEAT, _FIRST, _LAST = 0, 1, 2
-
-
-def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows that follow another of their hash, and the first and last row of the partition."""
-    from pyspark import TaskContext
-
-    part = TaskContext.get().partitionId()
-
-    def marked(rows: pa.RecordBatch, edge: int) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [*rows.columns, pa.array([part] * rows.num_rows, type=pa.int32()),
-             pa.array([edge] * rows.num_rows, type=pa.int32())],
-            names=["hash", "id", "place", "part", "edge"])
-
-    last = None
-    for before, batch, _ in _neighbours(batches, 0):
-        if before is None:
-            yield marked(batch.slice(0, 1), _FIRST)
-        last = batch.slice(batch.num_rows - 1)
-        joined = pa.Table.from_batches([*([before] if before is not None else []), batch])
-        columns = [joined.column(c).fill_null(-(1 << 63)).to_numpy() for c in range(3)]
-        same = [c[1:] == c[:-1] for c in columns]
-        # A row like the one before in all is that row, read twice.
-        later = np.nonzero(same[0] & ~(same[1] & same[2]))[0] + 1
-        if len(later):
-            rows = joined.take(pa.array(later)).combine_chunks().to_batches()[0]
-            yield marked(rows, _REPEAT)
-    if last is not None:
-        yield marked(last, _LAST)
-
-
-def _first_rows(marked: DataFrame) -> DataFrame:
-    """The first rows of partitions that go on with the hash the partition before ended in.
-
-    Two rows of each partition pass through the driver, whatever the number of rows.
-    """
-    ends = marked.where(F.col("edge") != _REPEAT).orderBy("part", "edge").collect()
-    found, before = [], None
-    for r in ends:
-        if r["edge"] == _FIRST:
-            if before is not None and before["hash"] == r["hash"] and (
-                    before["id"], before["place"]) != (r["id"], r["place"]):
-                found.append((r["id"], r["place"]))
-        else:
-            before = r
-    ids, places = zip(*found, strict=True) if found else ((), ())
-    return marked.sparkSession.createDataFrame(pa.table(
-        {"id": pa.array(ids, type=pa.int64()), "place": pa.array(places, type=pa.int64())}))
-
-
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = whole_text(text_col)
-    return docs.select(F.col(id_col).cast("long").alias("id"), _tie(text).alias("tie"),
-                       text.alias("text"))
+_FOUND = "id long, tie long, start int, stop int, new_window binary, places array<int>"
+_FOUND_TYPES = pa.schema([
+    ("id", pa.int64()), ("tie", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()),
+    ("new_window", pa.binary()), ("places", pa.list_(pa.int32()))])
+
+
+def _neighbours(min_words: int, gram: int):
+    """Sorted suffixes to repeated spans, and new windows of the runs a partition begins and ends in."""
+    def extend(run: list[tuple]) -> tuple[list[tuple], WindowIndex]:
+        index, found, seen = WindowIndex(min_words, own=True), [], None
+        for suffix, before, id_, tie, place in sorted(
+                run, key=lambda r: (r[2] is not None, r[2] or 0, r[3], r[4])):
+            if seen == (id_, tie, place):
+                continue  # a repeated row
+            seen = id_, tie, place
+            start = place - len(before)
+            found += [(id_, tie, a, b, None, None)
+                      for a, b, _, _ in index.parse(id_, tie, start, before + suffix)]
+        return found, index
+
+    def new_windows(index: WindowIndex) -> Iterator[tuple]:
+        return ((id_, tie, None, None, window, places)
+                for id_, tie, *_, window, places in index.new_windows())
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        run: list[tuple] = []
+        runs = 0
+        for rows in batches:
+            for suffix, before, *where in zip(*(c.to_pylist() for c in rows.columns),
+                                              strict=True):
+                words = suffix.split()
+                if run and words[:gram] != run[-1][0][:gram]:
+                    if not runs or len(run) > 1:
+                        found, index = extend(run)
+                        held += found
+                        if not runs:  # the partition before may have ended in this run
+                            yield from in_batches(new_windows(index), _FOUND_TYPES)
+                    run, runs = [], runs + 1
+                run.append((words, before.split(), *where))
+                if len(held) >= _ROWS:
+                    yield batch_of(held, _FOUND_TYPES)
+                    held = []
+        if run:  # the next partition may go on with it
+            found, index = extend(run)
+            held += found
+            yield from in_batches(new_windows(index), _FOUND_TYPES)
+        yield from in_batches(held, _FOUND_TYPES)
+
+    return of
+
+
+def _across(new: DataFrame, min_words: int) -> DataFrame:
+    """Spans of the windows whose first occurrence is in another part of the same run."""
+    place = F.struct(F.col("id").isNotNull().alias("known"), "id", "tie",
+                     F.col("places")[0].alias("start"))
+    rows = new.select("new_window", place.alias("place"))
+    first = rows.groupBy("new_window").agg(
+        F.min("place").alias("first"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    return rows.join(first, "new_window").where(~F.col("place").eqNullSafe(F.col("first"))).select(
+        "place.id", "place.tie", "place.start", (F.col("place.start") + min_words).alias("stop"))
 
 
 def _tie(text: Column) -> Column:
-    """32 bits of the text: tells documents of one id apart."""
-    return F.shiftright(F.xxhash64(text), 32).cast("int")
+    """Tells documents of one id apart."""
+    return F.xxhash64(text)
 
 
 def _filter_of(rows: DataFrame):
@@ -297,25 +162,6 @@ def _filter_of(rows: DataFrame):
         F.pmod(F.xxhash64(id_, tie), F.lit(_FILTER_BITS)))
 
 
-def _spans(at: pa.Array, min_words: int) -> list[dict[str, int]]:
-    """Positions of repeated runs to the passages they form together, in words."""
-    starts = np.unique(at.to_numpy(zero_copy_only=False))
-    breaks = np.nonzero(np.diff(starts) > min_words)[0]
-    return [{"start": int(a), "stop": int(b) + min_words} for a, b in
-            zip(starts[np.concatenate([[0], breaks + 1])],
-                starts[np.concatenate([breaks, [len(starts) - 1]])], strict=True)]
-
-
-_SPAN = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
-
-
-def _join_runs(min_words: int):
-    def of(lists: pa.Array) -> pa.Array:
-        return pa.array([_spans(at.values, min_words) for at in lists], type=_SPAN)
-
-    return F.arrow_udf(of, "array<struct<start:int,stop:int>>")
-
-
 def cut(text: str, spans: list[dict[str, int]]) -> str:
     """The text without these words; the white space after each passage stays, that before goes."""
     raw = text.encode("utf-8", "surrogatepass")
@@ -328,48 +174,48 @@ def cut(text: str, spans: list[dict[str, int]]) -> str:
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      min_words: int = 50, gram: int = GRAM) -> tuple[DataFrame, Callable[[Column, Column], Column]]:
+                      min_words: int = 50, gram: int = GRAM, suffixes: int = _SUFFIXES
+                      ) -> tuple[DataFrame, Callable[[Column, Column], Column]]:
     """``id``, ``tie``, ``spans`` of documents with repeated passages, and a test for candidates.
 
     A passage is repeated where a run of ``min_words`` words or more stands earlier too: in a
     document of smaller id (nulls first; of one id, by a hash of the text), or before in the same
-    text. ``spans`` are in words, disjoint and in order. Words are compared byte by byte through
-    64-bit hashes. Null texts count as empty; texts of fewer words have no passage; rows that
-    repeat id and text count as one. The second result tells, from columns of id and tie, whether
-    a document may have spans.
+    text. ``spans`` are in words, disjoint and in order. Words are compared byte by byte. Null
+    texts count as empty; texts of fewer words have no passage; rows that repeat id and text count
+    as one. The second result tells, from columns of id and tie, whether a document may have spans.
+    Partitions of the suffix array hold about ``suffixes``.
     """
     if not 1 <= gram <= min_words:
         raise ValueError("an n-gram has at least 1 and at most min_words words")
-    rows = _keyed(docs, id_col, text_col)
-    places = materialise(rows.mapInArrow(_select(min_words, gram), _PLACES_SQL), "suffixes")
-    position = F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
-    tie = F.shiftright("place", 32).cast("int")
-    twins = materialise(
-        _sorted(places).mapInArrow(_with_twin, _PLACES_SQL)
-        .select("id", tie.alias("tie"), position.alias("at")), "suffix-twins")
-    suspect = _filter_of(twins)
-
-    held = twins.groupBy("id", "tie").agg(F.collect_set("at").alias("at"))
-    other = held.select(F.col("id").alias("_id"), F.col("tie").alias("_tie"), "at")
-    doubtful = rows.where(suspect(F.col("id"), F.col("tie")))
-    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))
-    runs = materialise(doubtful.join(other, same).select("id", "tie", "text", "at")
-                       .mapInArrow(_extend(min_words, gram), _PLACES_SQL), "suffix-runs")
-    marked = materialise(_sorted(runs).mapInArrow(_repeats, _MARKED), "suffix-repeats")
-    repeats = marked.where(F.col("edge") == _REPEAT).select("id", "place").unionByName(
-        _first_rows(marked))
-    spans = repeats.groupBy("id", tie.alias("tie")).agg(F.collect_set(position).alias("at"))
-    return spans.select("id", "tie", _join_runs(min_words)("at").alias("spans")), suspect
+    text = whole_text(text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), _tie(text).alias("tie"),
+                       text.alias("text"))
+    found = rows.select("id", "text").mapInArrow(distinct_anchors(min_words, gram), ANCHOR)
+    shared = materialise(found.groupBy("anchor").agg(F.sum("rows").alias("rows")).where(
+        "rows > 1"), "anchors")
+    size = shared.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    table = anchor_filter(shared, size[0])
+    retained = materialise(rows.mapInArrow(_suffixes(min_words, gram, table), _SUFFIX), "suffixes")
+    order = ["suffix", "id", "tie", "place"]
+    parts = max(partitions(docs.sparkSession), size[1] // suffixes + 1)
+    found = materialise(
+        retained.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+        .mapInArrow(_neighbours(min_words, gram), _FOUND), "suffix-matches")
+    spans = found.where("new_window IS NULL").select("id", "tie", "start", "stop").unionByName(
+        _across(found.where("new_window IS NOT NULL"), min_words))
+    spans = materialise(repeated_spans(spans), "passages")
+    return spans, _filter_of(spans)
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                min_words: int = 50, gram: int = GRAM, spans_col: str = "spans") -> DataFrame:
+                min_words: int = 50, gram: int = GRAM, spans_col: str = "spans",
+                suffixes: int = _SUFFIXES) -> DataFrame:
     """The input rows with repeated passages cut from their text, and ``spans_col`` added.
 
     Every row stays, also one whose text is all repeats and becomes empty. Null texts stay null.
     The first occurrence of a passage is never cut, except where it lies in another's repeat.
     """
-    spans, suspect = repeated_passages(docs, id_col, text_col, min_words, gram)
+    spans, suspect = repeated_passages(docs, id_col, text_col, min_words, gram, suffixes)
     key = [F.col(id_col).cast("long"), _tie(whole_text(text_col))]
     found = spans.select(F.col("id").alias("__id"), F.col("tie").alias("__tie"),
                          F.col("spans").alias("__spans"))
@@ -383,7 +229,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     flagged = docs.withColumn("__suspect", suspect(*key))
     clear = flagged.where(~F.col("__suspect")).select(
         *[F.col(f"`{c}`") for c in names],
-        F.lit(None).cast("array<struct<start:int,stop:int>>").alias(spans_col))
+        F.lit(None).cast(SPANS).alias(spans_col))
     same = key[0].eqNullSafe(F.col("__id")) & (key[1] == F.col("__tie"))
     joined = flagged.where("__suspect").join(found, same, "left")
     shorter = F.arrow_udf(of, "string")(F.col(text_col).cast("string"), F.col("__spans"))

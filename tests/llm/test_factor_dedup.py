@@ -4,7 +4,7 @@ import pytest
 from llm import edge
 from pyspark.sql import functions as F
 
-from devicewatch.llm import factor_dedup
+from devicewatch.llm import anchors, factor_dedup
 
 
 def split(text):
@@ -97,13 +97,13 @@ def test_factors_stand_in_their_source(spark):
 
 
 def test_full_filter_changes_nothing(spark, monkeypatch):
-    monkeypatch.setattr(factor_dedup, "_MOST_BITS", 64)
+    monkeypatch.setattr(anchors, "MOST_BITS", 64)
     check(spark, mixed(6), 8, 3)
 
 
 def test_hash_clashes_of_windows_change_nothing(monkeypatch):
-    block = factor_dedup._Block(2)
-    monkeypatch.setattr(factor_dedup, "hash", lambda x: 1, raising=False)
+    block = anchors.WindowIndex(2)
+    monkeypatch.setattr(anchors, "hash", lambda x: 1, raising=False)
     assert block.parse(1, 0, 0, [b"a", b"b", b"c", b"d"]) == []
     assert block.parse(2, 0, 10, [b"x", b"c", b"d", b"e"]) == [(11, 13, 1, 2)]
     assert sorted((r[0], r[6], r[7]) for r in block.new_windows()) == [
@@ -111,7 +111,7 @@ def test_hash_clashes_of_windows_change_nothing(monkeypatch):
 
 
 def test_greedy_factors_and_windows_across_them():
-    block = factor_dedup._Block(3)
+    block = anchors.WindowIndex(3)
     block.parse(1, 0, 100, [b"%c" % c for c in b"abcdef"])
     block.parse(2, 0, 200, [b"%c" % c for c in b"defghi"])
     # The longest match from the first word ends at f; the next factor starts across its end.
@@ -120,7 +120,7 @@ def test_greedy_factors_and_windows_across_them():
 
 
 def test_windows_of_one_document_are_sent_once():
-    block = factor_dedup._Block(2)
+    block = anchors.WindowIndex(2)
     assert block.parse(1, 5, 0, [b"a"] * 6) == []
     assert list(block.new_windows()) == [(1, 5, None, None, None, None, b"a a", [0, 1, 2, 3, 4])]
 

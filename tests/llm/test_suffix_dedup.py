@@ -3,7 +3,7 @@ import random
 import pytest
 from llm import edge
 
-from devicewatch.llm import suffix_dedup
+from devicewatch.llm import anchors, suffix_dedup
 
 
 def brute(rows, n):
@@ -32,11 +32,12 @@ def tie(text):
     return TIES.get(text, 0)
 
 
-def check(spark, rows, n, gram, clash=False):
+def check(spark, rows, n, gram, clash=False, **options):
     docs = edge.documents(spark, rows, clash=clash)
     for r in docs.select("text", suffix_dedup._tie(suffix_dedup.whole_text("text"))).collect():
         TIES[r[0] or ""] = r[1]
-    got = suffix_dedup.cut_repeats(docs, min_words=n, gram=gram, spans_col="passages")
+    got = suffix_dedup.cut_repeats(docs, min_words=n, gram=gram, spans_col="passages",
+                                   **options)
     out = got.collect()
     assert len(out) == len(rows)
     assert set(got.columns) == {*docs.columns, "passages"}
@@ -57,8 +58,8 @@ def test_edge_rows(spark, clash):
     check(spark, edge.texts(), 50, suffix_dedup.GRAM, clash)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_random_repeats(spark, seed):
+@pytest.mark.parametrize("seed, suffixes", [(1, 20_000), (2, 20_000), (3, 5), (4, 1)])
+def test_random_repeats(spark, seed, suffixes):
     rng = random.Random(seed)
     source = [edge.words(k, 60).split() for k in range(12)]
     rows = []
@@ -72,14 +73,31 @@ def test_random_repeats(spark, seed):
         rows.append((rng.randint(0, 60), rng.choice([" ", "\n", " \t"]).join(text)))
     rows += [(200, " ".join("ab"[k % 2] for k in range(90))), (201, "a " * 70),
              (202, "a " * 70 + "b")]
-    check(spark, rows, 8, 3)
+    check(spark, rows, 8, 3, suffixes=suffixes)
 
 
-def test_hot_passage_over_many_partitions(spark):
+def test_null_ids_and_odd_bytes(spark):
+    shared = [edge.words(k, 12).split() for k in range(4)]
+    rng = random.Random(9)
+    rows = [(None, " ".join(rng.choice(shared) + [rng.choice(["\x01", "a\x01", "a", "\x1f"])]
+                            + rng.choice(shared))) for _ in range(60)]
+    check(spark, rows + rows[:2], 8, 3, suffixes=7)
+
+
+def test_clashing_hashes_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(anchors, "MOST_BITS", 64)  # every anchor passes the filter
+    index = anchors.WindowIndex(2, own=True)
+    monkeypatch.setattr(anchors, "hash", lambda x: 1, raising=False)
+    assert index.parse(1, 0, 0, [b"a", b"b", b"c", b"a", b"b"]) == [(3, 5, 1, 0)]
+    assert index.parse(2, 0, 7, [b"x", b"b", b"c", b"b"]) == [(8, 10, 1, 1)]
+
+
+@pytest.mark.parametrize("suffixes", [20_000, 10])
+def test_hot_passage_over_many_partitions(spark, suffixes):
     passage = edge.words(1, 60)
     rows = [(k, f"{edge.words(100 + k, 5)} {passage if k % 3 else ''} {edge.words(900 + k, 5)}")
             for k in range(300)]
-    check(spark, rows, 50, suffix_dedup.GRAM)
+    check(spark, rows, 50, suffix_dedup.GRAM, suffixes=suffixes)
 
 
 def test_empty_table(spark):
