@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from devicewatch.llm.shared import releasing
+
 #: Bits of the filter of shared anchors for each of them, and at most. A full filter passes all, which
 #: costs time and changes nothing.
 BITS_EACH, MOST_BITS = 16, 1 << 28
@@ -136,6 +138,7 @@ def distinct_anchors(min_words: int, gram: int):
              pa.array([i for _, i, _ in held], type=pa.int64()).take(pa.array(ids)),
              pa.array(np.concatenate([n for _, _, n in held]))], names=names)
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for rows in batches:

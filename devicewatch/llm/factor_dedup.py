@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from devicewatch.llm.anchors import (
     ANCHOR, WindowIndex, anchor_filter, anchors, batch_of, distinct_anchors, in_batches, passing,
     raw_bytes, repeated_spans)
-from devicewatch.llm.shared import materialise, partitions, whole_text
+from devicewatch.llm.shared import materialise, partitions, releasing, whole_text
 
 #: Words an anchor is selected by.
 GRAM = 25
@@ -45,6 +45,7 @@ def _passages(min_words: int, gram: int, table: np.ndarray):
     schema = pa.schema([("anchor", pa.int64()), ("id", pa.int64()), ("tie", pa.int64()),
                         ("start", pa.int32()), ("words", pa.binary())])
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for rows in batches:
@@ -80,6 +81,7 @@ _FOUND_TYPES = pa.schema([
 
 def _parse(min_words: int):
     """Passages in order of anchor and id to factors, and new windows where a block is cut."""
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         anchor, block, seen, blocks = None, WindowIndex(min_words), None, 0

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devicewatch.llm.shared import whole_text
+from devicewatch.llm.shared import releasing, whole_text
 from devicewatch.llm.tokens import MEMO, library_encoder
 
 SCHEMA = ("id long, start long, length long, ids binary, doc_tokens long, sequence_id long, "
@@ -105,6 +105,7 @@ class Packer:
 
 def _pack(encoder: Callable[[], Callable[[str], bytes]], end: int | None, capacity: int,
           smallest: int):
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 

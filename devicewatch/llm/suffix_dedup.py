@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from devicewatch.llm.anchors import (
     ANCHOR, SPANS, WindowIndex, anchor_filter, anchors, batch_of, distinct_anchors, in_batches,
     passing, raw_bytes, repeated_spans, word_bounds)
-from devicewatch.llm.shared import materialise, partitions, whole_text
+from devicewatch.llm.shared import materialise, partitions, releasing, whole_text
 
 #: Words of the n-gram a suffix is selected by.
 GRAM = 13
@@ -50,6 +50,7 @@ def _suffixes(min_words: int, gram: int, table: np.ndarray):
     def joined(words: list[bytes]) -> bytes:
         return b"".join(w + b" " for w in words)
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for rows in batches:
@@ -98,6 +99,7 @@ def _neighbours(min_words: int, gram: int):
         return ((id_, tie, None, None, window, places)
                 for id_, tie, *_, window, places in index.new_windows())
 
+    @releasing
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         run: list[tuple] = []
