@@ -47,8 +47,25 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pieces.withColumnRenamed("id", "doc_id")
 
 
+#: Bytes of text that go to a Python worker at a time.
+BATCH_BYTES = 4 << 20
+
+
+def _in_small_batches(stage):
+    """The stage, with batches bounded by bytes: its rows may be texts of any length.
+
+    The session keeps the bound, as a stage's rows are made when they are written.
+    """
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+
+    return bounded
+
+
 STAGES = [("language ID", language), ("exact dedup", exact), ("SimHash near-dedup", near),
           ("suffix-array dedup", passages), ("packing", sequences)]
+STAGES = [(name, _in_small_batches(stage)) for name, stage in STAGES]
 
 #: SQL has no counterpart for most stages; the tests hold a brute-force version.
 ORACLE_SQL: str | None = None
