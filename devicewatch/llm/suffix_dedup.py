@@ -13,7 +13,7 @@ run of the array, the windows that are new to each part are compared across the
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devicewatch.llm.anchors import (
-    ANCHOR, SPANS, WindowIndex, anchor_filter, anchors, batch_of, distinct_anchors, in_batches,
+    ANCHOR, WindowIndex, anchor_filter, anchors, batch_of, distinct_anchors, in_batches,
     passing, raw_bytes, repeated_spans, word_bounds)
 from devicewatch.llm.shared import materialise, partitions, releasing, whole_text
 
@@ -29,9 +29,6 @@ from devicewatch.llm.shared import materialise, partitions, releasing, whole_tex
 GRAM = 13
 #: Suffixes of a partition, about.
 _SUFFIXES = 20_000
-#: Bits of the filter that passes over documents without a repeat. Fixed, whatever the input: a
-#: full filter passes over none, which costs time and changes nothing.
-_FILTER_BITS = 1 << 24
 _ROWS = 1 << 14
 _BYTES = 1 << 23
 
@@ -144,26 +141,6 @@ def _tie(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def _filter_of(rows: DataFrame):
-    """A fixed-size filter of the documents in ``rows``, as a function of id and tie columns."""
-    slot = F.pmod(F.xxhash64("id", "tie"), F.lit(_FILTER_BITS))
-    words = rows.select((slot / 64).cast("int").alias("word"),
-                        F.expr("shiftleft(1L, cast(pmod(xxhash64(id, tie), 64) as int))")
-                        .alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    bits = np.zeros(_FILTER_BITS // 64, dtype=np.int64)
-    for r in words.collect():
-        bits[r["word"]] = r["bits"]
-    table = bits.view(np.uint64)
-
-    def of(slots: pa.Array) -> pa.Array:
-        at = slots.to_numpy(zero_copy_only=False)
-        hit = (table[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
-        return pa.array(hit.astype(bool))
-
-    return lambda id_, tie: F.arrow_udf(of, "boolean")(
-        F.pmod(F.xxhash64(id_, tie), F.lit(_FILTER_BITS)))
-
-
 def cut(text: str, spans: list[dict[str, int]]) -> str:
     """The text without these words; the white space after each passage stays, that before goes."""
     raw = text.encode("utf-8", "surrogatepass")
@@ -177,15 +154,14 @@ def cut(text: str, spans: list[dict[str, int]]) -> str:
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       min_words: int = 50, gram: int = GRAM, suffixes: int = _SUFFIXES
-                      ) -> tuple[DataFrame, Callable[[Column, Column], Column]]:
-    """``id``, ``tie``, ``spans`` of documents with repeated passages, and a test for candidates.
+                      ) -> DataFrame:
+    """``id``, ``tie``, ``spans`` of documents with repeated passages.
 
     A passage is repeated where a run of ``min_words`` words or more stands earlier too: in a
     document of smaller id (nulls first; of one id, by a hash of the text), or before in the same
     text. ``spans`` are in words, disjoint and in order. Words are compared byte by byte. Null
     texts count as empty; texts of fewer words have no passage; rows that repeat id and text count
-    as one. The second result tells, from columns of id and tie, whether a document may have spans.
-    Partitions of the suffix array hold about ``suffixes``.
+    as one. Partitions of the suffix array hold about ``suffixes``.
     """
     if not 1 <= gram <= min_words:
         raise ValueError("an n-gram has at least 1 and at most min_words words")
@@ -205,8 +181,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         .mapInArrow(_neighbours(min_words, gram), _FOUND), "suffix-matches")
     spans = found.where("new_window IS NULL").select("id", "tie", "start", "stop").unionByName(
         _across(found.where("new_window IS NOT NULL"), min_words))
-    spans = materialise(repeated_spans(spans), "passages")
-    return spans, _filter_of(spans)
+    return repeated_spans(spans)
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -217,25 +192,19 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Every row stays, also one whose text is all repeats and becomes empty. Null texts stay null.
     The first occurrence of a passage is never cut, except where it lies in another's repeat.
     """
-    spans, suspect = repeated_passages(docs, id_col, text_col, min_words, gram, suffixes)
-    key = [F.col(id_col).cast("long"), _tie(whole_text(text_col))]
-    found = spans.select(F.col("id").alias("__id"), F.col("tie").alias("__tie"),
-                         F.col("spans").alias("__spans"))
+    found = repeated_passages(docs, id_col, text_col, min_words, gram, suffixes).select(
+        F.col("id").alias("__id"), F.col("tie").alias("__tie"), F.col("spans").alias("__spans"))
 
     def of(texts: pa.Array, lists: pa.Array) -> pa.Array:
-        return pa.array([
-            t.as_py() if not s.is_valid or not t.is_valid else cut(t.as_py(), s.as_py())
-            for t, s in zip(texts, lists, strict=True)], type=pa.string())
-
-    names = [c for c in docs.columns if c != spans_col]
-    flagged = docs.withColumn("__suspect", suspect(*key))
-    clear = flagged.where(~F.col("__suspect")).select(
-        *[F.col(f"`{c}`") for c in names],
-        F.lit(None).cast(SPANS).alias(spans_col))
-    same = key[0].eqNullSafe(F.col("__id")) & (key[1] == F.col("__tie"))
-    joined = flagged.where("__suspect").join(found, same, "left")
-    shorter = F.arrow_udf(of, "string")(F.col(text_col).cast("string"), F.col("__spans"))
-    changed = joined.select(
-        *[shorter.alias(c) if c == text_col else F.col(f"`{c}`") for c in names],
-        F.col("__spans").alias(spans_col))
-    return clear.unionByName(changed)
+        return pa.array([cut(t.as_py(), s.as_py()) if s.is_valid and t.is_valid else None
+                         for t, s in zip(texts, lists, strict=True)], type=pa.string())
+
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (
+        _tie(whole_text(text_col)) == F.col("__tie"))
+    text, cuts = F.col(text_col).cast("string"), F.col("__spans")
+    # Only texts that change go to a worker.
+    shorter = F.arrow_udf(of, "string")(F.when(cuts.isNotNull(), text), cuts)
+    changed = F.when(cuts.isNotNull(), shorter).otherwise(text).alias(text_col)
+    return docs.join(found, same, "left").select(
+        *[changed if c == text_col else F.col(f"`{c}`") for c in docs.columns if c != spans_col],
+        cuts.alias(spans_col))
