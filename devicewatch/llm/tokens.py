@@ -63,8 +63,9 @@ class Encoder:
         self._memo = _Memo({}, encode)
 
     def __call__(self, text: str) -> bytes:
-        if any(s in text for s in self._whole):
-            return self._encode(text)
+        for whole in self._whole:
+            if whole in text:
+                return self._encode(text)
         if self._memo.held > self._size:
             self._memo = _Memo(dict(self._memo), self._encode)
         return b"".join(map(self._memo.__getitem__, _PIECE.findall(text)))
@@ -79,8 +80,11 @@ def _byte_symbols() -> dict[int, str]:
 
 _SYMBOLS = _byte_symbols()
 #: What a word becomes before it is merged: as it is, or in lower case without its space.
+#: Of ASCII letters and spaces, only the space has another symbol.
+_SPACE_SYMBOL = _SYMBOLS[32]
 _FORMS: tuple[Callable[[str], str], ...] = (
-    lambda w: w.encode().decode("latin-1").translate(_SYMBOLS),
+    lambda w: (w.replace(" ", _SPACE_SYMBOL) if w.isascii()
+               else w.encode().decode("latin-1").translate(_SYMBOLS)),
     lambda w: w.lstrip(" ").lower().encode().decode("latin-1").translate(_SYMBOLS),
 )
 _PROBES = (" the", "The", " Zürich", "ÉTÉ", " ŒUVRE", "x", " straße", "Nation", " ñandú")
