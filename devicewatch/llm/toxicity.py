@@ -4,7 +4,7 @@ Terms are all words and word beginnings of a text, hashed to a wide fixed space;
 frequencies are counted over all documents. Every labelled example of a bounded sample sits in
 an inverted index whose postings are cut into blocks of examples with the largest weight of each,
 so blocks that cannot reach the nearest found so far are skipped and the result stays exact. The
-score weighs the vote of the nearest against how far the words of the text lean to either class.
+score is the distance-weighted vote of the nearest alone, calibrated on held-back examples.
 """
 
 from __future__ import annotations
@@ -27,9 +27,13 @@ _WORD = re.compile(r"\w+")
 _STEMS = (4, 5)
 #: Words that a worker remembers, texts that it looks up together, and blocks of the index that are
 #: searched before others are skipped.
-_MEMO, _TEXTS, _AHEAD = 100_000, 64, 8
+_MEMO, _TEXTS, _AHEAD = 100_000, 256, 8
 #: Terms in more than one example in so many are kept as rows of a matrix.
-_FREQUENT = 10
+_FREQUENT = 20
+#: A cosine from which on two texts have the same terms.
+_SAME = 1 - 1e-6
+#: Centres by which examples are ordered, and how often they are moved.
+_CENTRES, _ROUNDS = 24, 6
 
 
 @dataclasses.dataclass(frozen=True)
@@ -42,7 +46,7 @@ class Settings:
 
     sample_rows: int = 8_000
     space: int = 1 << 21
-    nearest: int = 15
+    nearest: int = 300
     block: int = 64
     evidence: int = 3
 
@@ -141,45 +145,51 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 class Index:
     """Examples as unit vectors in an inverted index with block maxima.
 
-    The postings of terms that many examples have are columns of a matrix, with the largest
-    weight in each block of examples; a block is multiplied with the texts that it may still
-    serve. The short lists of other terms are added up first, in full, and are part of the bounds.
+    Examples that use the same frequent terms lie side by side, so that a block's largest weights
+    say much about each of its examples. The postings of frequent terms are columns of a matrix,
+    a block of whose rows is multiplied with the texts that it may still serve; the short lists of
+    other terms are added up first and are part of the bounds. The search is in single precision,
+    with bounds that allow for its error; whatever may be nearest is then summed in double precision.
     """
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int,
-                 block: int) -> None:
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], block: int) -> None:
         self.size, self.block = len(vectors), block
-        kind = np.min_scalar_type(max(1, self.size))
+        sizes = np.array([len(at) for at, _ in vectors], dtype=np.int64)
         term = np.concatenate([np.empty(0, np.int32), *[at for at, _ in vectors]], dtype=np.int32)
-        order = np.argsort(term, kind="stable")  # examples stay in order
-        term = term[order]
-        example = np.repeat(np.arange(self.size, dtype=kind), [len(at) for at, _ in vectors])[order]
-        weight = np.concatenate([np.empty(0), *[w for _, w in vectors]])[order]
-        first = np.nonzero(np.diff(term, prepend=-1))[0]
-        self.terms, n = term[first], np.diff(first, append=len(term))
-        del order, term
+        weight = np.concatenate([np.empty(0, np.float32), *[w for _, w in vectors]],
+                                dtype=np.float32)
+        self.terms, term, n = np.unique(term, return_inverse=True, return_counts=True)
         often = n * _FREQUENT > self.size
         self.row = np.where(often, np.cumsum(often) - 1, -1).astype(np.int32)
-        dense = np.repeat(often, n)
-        self.dense = (np.repeat(self.row[often], n[often]), example[dense], weight[dense])
-        self.ends = np.cumsum(np.where(often, 0, n)).astype(np.int32)  # of postings
-        self.example, self.weight = example[~dense], weight[~dense]
+        self.number = _neighbourhoods(
+            np.repeat(np.arange(self.size), sizes), self.row[term], weight, sizes)
+        of = _ranges((np.cumsum(sizes) - sizes)[self.number], sizes[self.number])
+        self.ends = np.cumsum(sizes[self.number])  # of examples
+        self.term, self.weight = term[of].astype(np.int32), weight[of]
         self._make()
 
     def _make(self) -> None:
-        rows, columns, weight = self.dense
-        self.matrix = np.zeros((int((self.row >= 0).sum()), self.size))
-        self.matrix[rows, columns] = weight
-        self.tops = np.arange(0, self.size, self.block)
-        self.most = np.maximum.reduceat(self.matrix, self.tops, axis=1) if self.size else None
+        blocks = -(-self.size // self.block)
+        sizes = np.diff(self.ends, prepend=0)
+        example = np.repeat(np.arange(self.size, dtype=np.min_scalar_type(max(1, self.size))),
+                            sizes)
+        row = self.row[self.term]
+        self.matrix = np.zeros((blocks * self.block, int((self.row >= 0).sum())), np.float32)
+        self.matrix[example[row >= 0], row[row >= 0]] = self.weight[row >= 0]
+        self.most = self.matrix.reshape(blocks, self.block, -1).max(axis=1) if blocks else None
+        rare = np.nonzero(row < 0)[0]
+        rare = rare[np.argsort(self.term[rare], kind="stable")]
+        self.stops = np.cumsum(np.bincount(self.term[rare], minlength=len(self.terms)))
+        self.postings = example[rare], self.weight[rare]
 
     def __getstate__(self) -> dict:
-        made = ("matrix", "tops", "most")  # again where the index arrives
+        made = ("matrix", "most", "stops", "postings")  # again where the index arrives
         return {k: v for k, v in self.__dict__.items() if k not in made}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
         self._make()
+        del self.term, self.weight  # a worker only searches
 
     def known(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which terms the examples have, and their numbers in ``terms``."""
@@ -191,133 +201,155 @@ class Index:
 
     def nearest(self, at: np.ndarray, weight: np.ndarray, n: int) -> list[tuple[float, int]]:
         """The ``n`` examples of largest cosine above 0, ties by number, as (cosine, example)."""
-        return self.nearest_of([(at, weight)], n)[0]
+        cosine, example = self.nearest_of([(at, weight)], n)[0]
+        return list(zip(cosine.tolist(), example.tolist(), strict=True))
 
     def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]],
-                   n: int) -> list[list[tuple[float, int]]]:
-        """:meth:`nearest` of several vectors."""
+                   n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """:meth:`nearest` of several vectors, as arrays."""
         if not self.size:
-            return [[] for _ in vectors]
-        query = np.zeros((len(vectors), len(self.matrix)))
-        score = np.zeros((len(vectors), self.size))
+            return [(np.empty(0), np.empty(0, np.int64)) for _ in vectors]
+        width, rows = self.matrix.shape
+        blocks = width // self.block
+        query = np.zeros((len(vectors), rows), np.float32)
+        rare = np.empty((len(vectors), width))
+        slack = np.empty(len(vectors))  # how far sums of so many terms may be off, as a share
+        found = []
         for q, (at, weight) in enumerate(vectors):
             there, k = self.known(at)
             weight, row = weight[there], self.row[k]
+            found.append((row[row >= 0], weight[row >= 0]))
+            slack[q] = (len(k) + 8) * 2.0 ** -23
             query[q, row[row >= 0]] = weight[row >= 0]
             k, weight = k[row < 0], weight[row < 0]
-            start = np.where(k > 0, self.ends[k - 1], 0)
-            sizes = self.ends[k] - start
+            start = np.where(k > 0, self.stops[k - 1], 0)
+            sizes = self.stops[k] - start
             of = _ranges(start, sizes)
-            score[q] = np.bincount(
-                self.example[of], np.repeat(weight, sizes) * self.weight[of], self.size)
-        bound = np.maximum.reduceat(score, self.tops, axis=1) + query @ self.most
+            rare[q] = np.bincount(self.postings[0][of], np.repeat(weight, sizes)
+                                  * self.postings[1][of], width)
+        score = rare.astype(np.float32)
+        in_blocks = score.reshape(len(vectors), blocks, self.block)
+        bound = (in_blocks.max(axis=2) + query @ self.most.T) * (1 + slack[:, None])
         done = np.zeros(bound.shape, dtype=bool)
-        order = np.argsort(-bound, axis=1, kind="stable")[:, :-(-n // self.block) + _AHEAD]
-        np.put_along_axis(done, order, True, axis=1)
+        ahead = min(blocks, -(-n // self.block) + _AHEAD)
+        first = np.argpartition(-bound, ahead - 1, axis=1)[:, :ahead]
+        np.put_along_axis(done, first, True, axis=1)
         self._multiply(score, query, done)
-        reached = np.where(np.repeat(done, self.block, axis=1)[:, :self.size], score, 0)
-        least = np.partition(reached, -n, axis=1)[:, -n] if n <= self.size else np.zeros(len(score))
+        reached = np.take_along_axis(in_blocks, first[:, :, None], axis=1).reshape(len(score), -1)
+        least = _at_least(reached, n) * (1 - slack)
         # The other blocks that may still reach the nearest found.
-        behind = ~done & (bound > 0) & (bound + 1e-9 >= least[:, None])
+        behind = ~done & (bound > 0) & (bound >= least[:, None])
         self._multiply(score, query, behind)
         done |= behind
-        return [self._best(row, of, n) for row, of in zip(score, done, strict=True)]
+        best = []
+        for q, (row, weight) in enumerate(found):
+            block = np.nonzero(done[q])[0]
+            there = in_blocks[q, block].ravel()
+            least_ = _at_least(there[None], n)[0] * (1 - 2 * slack[q])
+            hit = np.nonzero((there > 0) & (there >= least_))[0]
+            hit = block[hit // self.block] * self.block + hit % self.block
+            cosine = rare[q, hit] + self.matrix[np.ix_(hit, row)] @ weight
+            # Equal examples tie whatever the order of the sums.
+            cosine, number = np.round(cosine, 12), self.number[hit]
+            order = np.lexsort((number, -cosine))[:n]
+            order = order[cosine[order] > 0]
+            best.append((np.minimum(cosine[order], 1), number[order]))
+        return best
 
     def _multiply(self, score: np.ndarray, query: np.ndarray, of: np.ndarray) -> None:
-        for b, top in enumerate(self.tops.tolist()):
+        for b in np.nonzero(of.any(axis=0))[0].tolist():
             texts = np.nonzero(of[:, b])[0]
-            if len(texts):
-                part = slice(top, top + self.block)
-                score[texts, part] += query[texts] @ self.matrix[:, part]
+            part = slice(b * self.block, (b + 1) * self.block)
+            score[texts, part] += query[texts] @ self.matrix[part].T
 
-    def _best(self, score: np.ndarray, of: np.ndarray, n: int) -> list[tuple[float, int]]:
-        score = np.where(np.repeat(of, self.block)[:self.size], score, 0)
-        least = np.partition(score, -n)[-n] - 1e-11 if n < self.size else 0.0
-        hit = np.nonzero((score > 0) & (score >= least))[0]
-        # Equal examples tie whatever the order of the sums.
-        found = np.round(score[hit], 12)
-        hit, found = hit[found > 0], found[found > 0]
-        best = sorted(zip((-found).tolist(), hit.tolist(), strict=True))[:n]
-        return [(min(1.0, -s), e) for s, e in best]
 
+def _at_least(scores: np.ndarray, n: int) -> np.ndarray:
+    """The ``n``-th largest of each row; 0 where there are fewer."""
+    width = scores.shape[1]
+    return np.partition(scores, width - n, axis=1)[:, width - n] if n <= width else np.zeros(
+        len(scores))
 
-def unit(at: list[int], counts: list[int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The TF-IDF unit vector, with logarithmic term frequency."""
-    at_ = np.asarray(at, dtype=np.int32)
-    weight = (1 + np.log(np.asarray(counts, dtype=np.float64))) * idf[at_] if len(at_) else (
-        np.empty(0))
-    return at_, weight / np.linalg.norm(weight) if len(at_) else weight
+
+def _neighbourhoods(example: np.ndarray, row: np.ndarray, weight: np.ndarray,
+                    sizes: np.ndarray) -> np.ndarray:
+    """An order of the examples: by which of a few centres is nearest, then by size.
+
+    Centres are means of what is nearest to them, over frequent terms. The order decides only how
+    many blocks a search can skip.
+    """
+    matrix = np.zeros((len(sizes), int(row.max(initial=-1)) + 1), np.float32)
+    matrix[example[row >= 0], row[row >= 0]] = weight[row >= 0]
+    centres = matrix[np.linspace(0, len(sizes) - 1, min(_CENTRES, len(sizes))).astype(int)]
+    nearest = np.zeros(len(sizes), dtype=np.int64)
+    for _ in range(_ROUNDS):
+        length = np.linalg.norm(centres, axis=1, keepdims=True)
+        nearest = (matrix @ (centres / np.maximum(length, 1e-9)).T).argmax(axis=1) if len(
+            centres) else nearest
+        for c in range(len(centres)):
+            if (nearest == c).any():
+                centres[c] = matrix[nearest == c].mean(axis=0)
+    return np.lexsort((np.arange(len(sizes)), sizes, nearest))
 
 
-def leans(index: Index, toxic: np.ndarray) -> np.ndarray:
-    """How far each of the examples' terms leans to toxic (above 0) or clean ones.
+def unit(at: list[int], counts: list[int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The TF-IDF unit vector, with logarithmic term frequency.
 
-    The log odds, drawn towards 0 by their standard error.
+    Weights are rounded to single precision; cosines of such vectors are summed in double.
     """
-    number = np.repeat(np.arange(len(index.terms)), np.diff(index.ends, prepend=0))
-    seen = []
-    for v in (0, 1):
-        n = np.bincount(number[toxic[index.example] == v], minlength=len(index.terms)) + 0.5
-        n[index.row >= 0] += np.count_nonzero(index.matrix[:, toxic == v], axis=1)
-        seen.append(n)
-    odds = np.log(seen[1] / ((toxic == 1).sum() + 1.0)) - np.log(
-        seen[0] / ((toxic == 0).sum() + 1.0))
-    error = np.sqrt(1 / seen[0] + 1 / seen[1])
-    return np.sign(odds) * np.maximum(0.0, np.abs(odds) - error)
+    at_ = np.asarray(at, dtype=np.int32)
+    weight = (1 + np.log(np.asarray(counts, dtype=np.float64))) * idf[at_] if len(at_) else (
+        np.empty(0))
+    if len(at_):
+        weight = (weight / np.linalg.norm(weight)).astype(np.float32).astype(np.float64)
+    return at_, weight
 
 
 @dataclasses.dataclass(frozen=True)
 class Model:
-    """Weights of terms, the index, its examples' labels, leans of terms, and the calibration."""
+    """Weights of terms, the index, its examples' labels, and the calibration of the vote."""
 
     idf: np.ndarray
     index: Index
     ids: tuple
     toxic: np.ndarray
     weight: np.ndarray
-    lean: np.ndarray
-    slopes: tuple[float, float]
-    shift: float
+    chances: tuple[np.ndarray, np.ndarray]
     blank: float
     settings: Settings
 
-    def raw(self, at: np.ndarray, near: list[tuple[float, int]]) -> tuple[float, float]:
-        """Log odds of the distance-weighted vote, and the lean of all terms (a mean of powers)."""
-        lean = self.lean[self.index.known(at)[1]]
-        return _vote(near, self.toxic, self.weight), float(np.log(np.exp(2 * lean).mean()))
+    def vote(self, cosine: np.ndarray, example: np.ndarray) -> float:
+        """Log odds of the vote, in which a neighbour weighs as much as its cosine."""
+        votes = self.weight * np.bincount(self.toxic[example], cosine, 2)
+        votes += 0.1 * self.weight / self.weight.sum()  # what few and far neighbours leave open
+        return float(np.log(votes[1] / votes[0]))
 
     def scores(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, list]]:
         """Score and evidence of each (terms, counts)."""
         units = [unit(at, counts, self.idf) for at, counts in vectors]
-        for (at, _), near in zip(units, self.index.nearest_of(units, self.settings.nearest),
-                                 strict=True):
-            if not near:
+        for cosine, example in self.index.nearest_of(units, self.settings.nearest):
+            if not len(example):
                 yield self.blank, []
                 continue
-            x = np.dot(self.slopes, self.raw(at, near)) + self.shift
-            p = 1 / (1 + np.exp(-np.clip(x, -500, 500)))
-            yield float(p), [(self.ids[e], s, int(self.toxic[e]))
-                             for s, e in near[:self.settings.evidence]]
+            shown = slice(self.settings.evidence)
+            yield float(np.interp(self.vote(cosine, example), *self.chances)), [
+                (self.ids[e], c, int(self.toxic[e]))
+                for c, e in zip(cosine[shown].tolist(), example[shown].tolist(), strict=True)]
 
 
-def _vote(near, toxic: np.ndarray, weight: np.ndarray) -> float:
-    votes = (weight / weight.sum()).tolist()  # what few and far neighbours leave standing
-    for s, e in near:
-        votes[toxic[e]] += weight[toxic[e]] * s / (1.05 - s)
-    return float(np.log(votes[1] / votes[0]))
+def _monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Votes and chances of toxicity, between which scores are drawn straight.
 
-
-def _platt(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[tuple[float, float], float]:
-    """Slopes and shift of a logistic fit by Newton's steps, pulled towards the vote alone."""
-    x, w = np.column_stack([x, np.ones(len(x))]), w / w.sum()
-    aim = np.array([1.0, 0.0, 0.0])
-    fit_ = aim.copy()
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ fit_, -30, 30)))
-        slope = x.T @ (w * (p - y)) + 0.01 * (fit_ - aim)
-        curve = (x * (w * p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(3)
-        fit_ = fit_ - np.clip(np.linalg.solve(curve, slope), -1, 1)
-    return (max(float(fit_[0]), 0.05), max(float(fit_[1]), 0.0)), float(fit_[2])
+    The chances are the non-decreasing ones of least weighted squared error.
+    """
+    blocks: list[list[float]] = []  # first and last vote, weight of toxic ones, weight
+    for value in np.unique(x):
+        of = x == value
+        blocks.append([value, value, float(w[of] @ y[of]), float(w[of].sum())])
+        while len(blocks) > 1 and blocks[-2][2] * blocks[-1][3] >= blocks[-1][2] * blocks[-2][3]:
+            _, last, toxic, all_ = blocks.pop()
+            blocks[-1][1:] = [last, blocks[-1][2] + toxic, blocks[-1][3] + all_]
+    ends = np.array(blocks)
+    return ends[:, :2].ravel(), np.repeat(ends[:, 2] / ends[:, 3], 2)
 
 
 def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -360,7 +392,11 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
 
 def train(examples: list[tuple], there: dict[int, int], idf: np.ndarray,
           settings: Settings = Settings()) -> Model:
-    """A model from (id, label, terms, counts) of examples; ``there`` are all labels of a class."""
+    """A model from (id, label, terms, counts) of examples; ``there`` are all labels of a class.
+
+    Every fifth example is held back for the calibration: its own vote and those of examples with
+    the same terms are left out of what its neighbours say.
+    """
     toxic = np.array([t for _, t, _, _ in examples], dtype=np.int64)
     sizes = [int((toxic == v).sum()) for v in (0, 1)]
     prior = [there.get(v, 0) / max(1, sizes[v]) for v in (0, 1)]
@@ -375,25 +411,26 @@ def train(examples: list[tuple], there: dict[int, int], idf: np.ndarray,
     tallies = [weight[v] * (toxic[blank] == v).sum() for v in (0, 1)] if len(blank) else [0, 0]
     nothing = (tallies[1] + 0.05) / (tallies[0] + tallies[1] + 0.5)
 
-    def model(of: list[int], slopes: tuple[float, float] = (1.0, 0.0),
-              shift: float = 0.0) -> Model:
-        index = Index([units[k] for k in of], settings.space, settings.block)
-        return Model(idf, index, tuple(ids[k] for k in of), toxic[of], weight,
-                     leans(index, toxic[of]), slopes, shift, float(nothing), settings)
+    index = Index([units[k] for k in full], settings.block)
+    even = np.array([-1.0, 1.0]), np.array([0.0, 1.0])
+    model = Model(idf, index, tuple(ids[k] for k in full), toxic[full], weight, even,
+                  float(nothing), settings)
 
-    held, rest = full[::5], [k for i, k in enumerate(full) if i % 5]
-    trial = model(rest)
-    met = []
+    votes, labels = [], []
+    held = full[::5]
     for k in range(0, len(held), _TEXTS):
         part = held[k:k + _TEXTS]
-        found = trial.index.nearest_of([units[e] for e in part], settings.nearest)
-        met += [(e, near) for e, near in zip(part, found, strict=True) if near]
-    if not met:
-        return model(full)
-    raw = np.array([trial.raw(units[k][0], near) for k, near in met])
-    at = toxic[[k for k, _ in met]]
-    del trial
-    return model(full, *_platt(raw, at, weight[at]))
+        found = index.nearest_of([units[e] for e in part], 2 * settings.nearest)
+        for e, (cosine, example) in zip(part, found, strict=True):
+            others = np.nonzero(cosine < _SAME)[0][:settings.nearest]
+            if len(others):
+                votes.append(model.vote(cosine[others], example[others]))
+                labels.append(toxic[e])
+    if not votes:
+        return model
+    labels = np.array(labels)
+    return dataclasses.replace(
+        model, chances=_monotone(np.array(votes), labels, weight[labels]))
 
 
 def score(vectors: DataFrame, model: Model) -> DataFrame:

@@ -1,3 +1,4 @@
+import pickle
 import zlib
 
 import numpy as np
@@ -125,7 +126,7 @@ def test_nearest_examples_are_exact():
         idf = rng.random(40) + 0.5
         units = [toxicity.unit(np.nonzero(d)[0].tolist(), np.ceil(d[d > 0] * 5).tolist(), idf)
                  for d in dense]
-        index = toxicity.Index(units, 40, 8)
+        index = toxicity.Index(units, 8)
         full = np.zeros((150, 40))
         for k, (at, w) in enumerate(units):
             full[k, at] = w
@@ -162,3 +163,40 @@ def test_toxicity_searches_all_words_of_all_examples(spark):
         assert np.allclose([e["cosine"] for e in got[id_]["evidence"]], [-c for c, _ in best])
     assert got[100]["evidence"][0]["id"] == 7 and got[101]["evidence"][0]["id"] == 7
     assert not got[102]["evidence"]
+
+
+def test_scores_are_the_calibrated_vote_of_the_nearest():
+    """The vote over all cosines, taken one by one, through the chances of the calibration."""
+    rng = np.random.default_rng(4)
+    idf = rng.random(50).astype(np.float32) + 1
+    examples = []
+    for k in range(200):
+        at = np.sort(rng.choice(48, 9, replace=False)) if k % 3 else np.unique(
+            np.append(rng.choice(48, 8, replace=False), [48, 49]))
+        examples.append((k, int(k % 3 == 0), at, rng.integers(1, 4, len(at))))
+    settings = toxicity.Settings(nearest=20, block=8)
+    model = pickle.loads(pickle.dumps(toxicity.train(examples, {0: 900, 1: 67}, idf, settings)))
+    assert (np.diff(model.chances[1]) >= 0).all() and (np.diff(model.chances[0]) >= 0).all()
+    full = np.zeros((200, 50))
+    for k, (_, _, at, n) in enumerate(examples):
+        full[k, at] = toxicity.unit(at, n, idf)[1]
+    right = 0
+    for k, (score, evidence) in enumerate(model.scores([e[2:] for e in examples])):
+        cosine = full @ full[k]
+        best = sorted([(-c, e) for e, c in enumerate(cosine) if c > 0])[:20]
+        votes = [0.1 * w / model.weight.sum() for w in model.weight]
+        for c, e in best:
+            votes[e % 3 == 0] -= model.weight[int(e % 3 == 0)] * c
+        assert np.isclose(score, np.interp(np.log(votes[1] / votes[0]), *model.chances), atol=1e-6)
+        assert np.allclose([s for _, s, _ in evidence], [-c for c, _ in best[:3]])
+        assert all(t == (i % 3 == 0) for i, _, t in evidence)
+        right += (score >= 0.5) == (k % 3 == 0)
+    assert right > 190
+
+
+def test_chances_never_fall():
+    x = np.array([0.0, 1, 1, 2, 3, 4])
+    at, p = toxicity._monotone(x, np.array([0, 1, 0, 0, 1, 1]), np.ones(6))
+    assert np.allclose(np.interp(x, at, p), [0, 1 / 3, 1 / 3, 1 / 3, 1, 1])
+    at, p = toxicity._monotone(np.ones(3), np.array([0, 1, 1]), np.array([2.0, 1, 1]))
+    assert np.allclose(np.interp([0, 1, 2], at, p), 0.5)
