@@ -88,7 +88,11 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The toxicity of every document, learned from the labels of four folds in five."""
+    """The toxicity of every document, learned from the labels of four folds in five.
+
+    The session keeps the bound on a batch's bytes, as texts may have any length.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     labels = read_table(spark, sf_dir, "labels").where(_fold(5) != 0)
     model, vectors = toxicity.fit(read_table(spark, sf_dir, "documents"), labels)
     scored = toxicity.score(vectors, model).withColumnRenamed("id", "doc_id")

@@ -27,9 +27,9 @@ _WORD = re.compile(r"\w+")
 _STEMS = (4, 5)
 #: Words that a worker remembers, texts that it looks up together, and blocks of the index that are
 #: searched before others are skipped.
-_MEMO, _TEXTS, _AHEAD = 100_000, 256, 8
+_MEMO, _TEXTS, _AHEAD = 100_000, 64, 8
 #: Terms in more than one example in so many are kept as rows of a matrix.
-_FREQUENT = 20
+_FREQUENT = 10
 #: A cosine from which on two texts have the same terms.
 _SAME = 1 - 1e-6
 #: Centres by which examples are ordered, and how often they are moved.
@@ -163,33 +163,29 @@ class Index:
         self.row = np.where(often, np.cumsum(often) - 1, -1).astype(np.int32)
         self.number = _neighbourhoods(
             np.repeat(np.arange(self.size), sizes), self.row[term], weight, sizes)
-        of = _ranges((np.cumsum(sizes) - sizes)[self.number], sizes[self.number])
-        self.ends = np.cumsum(sizes[self.number])  # of examples
-        self.term, self.weight = term[of].astype(np.int32), weight[of]
+        place = np.empty(self.size, dtype=np.min_scalar_type(max(1, self.size)))
+        place[self.number] = np.arange(self.size)
+        example, row = np.repeat(place, sizes), self.row[term]
+        self.dense = example[row >= 0], row[row >= 0], weight[row >= 0]
+        example, weight, term = example[row < 0], weight[row < 0], term[row < 0]
+        order = np.argsort(term, kind="stable")
+        self.postings = example[order], weight[order]
+        self.stops = np.cumsum(np.bincount(term, minlength=len(self.terms))).astype(np.int32)
         self._make()
 
     def _make(self) -> None:
         blocks = -(-self.size // self.block)
-        sizes = np.diff(self.ends, prepend=0)
-        example = np.repeat(np.arange(self.size, dtype=np.min_scalar_type(max(1, self.size))),
-                            sizes)
-        row = self.row[self.term]
         self.matrix = np.zeros((blocks * self.block, int((self.row >= 0).sum())), np.float32)
-        self.matrix[example[row >= 0], row[row >= 0]] = self.weight[row >= 0]
+        self.matrix[self.dense[:2]] = self.dense[2]
         self.most = self.matrix.reshape(blocks, self.block, -1).max(axis=1) if blocks else None
-        rare = np.nonzero(row < 0)[0]
-        rare = rare[np.argsort(self.term[rare], kind="stable")]
-        self.stops = np.cumsum(np.bincount(self.term[rare], minlength=len(self.terms)))
-        self.postings = example[rare], self.weight[rare]
 
     def __getstate__(self) -> dict:
-        made = ("matrix", "most", "stops", "postings")  # again where the index arrives
+        made = ("matrix", "most")  # again where the index arrives
         return {k: v for k, v in self.__dict__.items() if k not in made}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
         self._make()
-        del self.term, self.weight  # a worker only searches
 
     def known(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which terms the examples have, and their numbers in ``terms``."""
