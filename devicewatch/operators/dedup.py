@@ -19,14 +19,14 @@ def recency() -> list[Column]:
     ``10:00:00.5Z``. Report keys are compared as numbers where they are (``10`` is after ``9``);
     others come behind these, as text. Rows that tie on everything are copies of one record.
     """
-    return [value.desc_nulls_last() for value in _order_values()]
+    return [value.desc_nulls_last() for value in order_values()]
 
 
 #: What tells the versions of a report apart.
 VERSION = ("report_number", "_ingested_at", "mdr_report_key", S.RECORD_HASH)
 
 
-def _order_values() -> list[Column]:
+def order_values() -> list[Column]:
     """What :func:`recency` orders by; as in it, NULL is the oldest."""
     return [
         F.try_to_timestamp("_ingested_at").alias("_time"), F.col("_ingested_at").alias("_text"),
@@ -58,7 +58,7 @@ def latest_unmoved(bronze: DataFrame) -> DataFrame:
     and adaptive execution then sends it to the rows. Copies of one version are the one case in
     which rows have to meet; only these are.
     """
-    version = F.struct(*_order_values(), *[F.col(c) for c in VERSION])
+    version = F.struct(*order_values(), *[F.col(c) for c in VERSION])
     rows = bronze.select(version.alias("_version"), *VERSION)
     copies = rows.groupBy("report_number", "_version").agg(F.count("*").alias("_copies"))
     winners = copies.groupBy("report_number").agg(

@@ -369,6 +369,9 @@ gap AS (
     AND NOT ((page - 1) % 5 = 0 AND page > 1 AND pos % 50 < 5)
 )"""
 
+_LATEST = """
+SELECT report_number, mdr_report_key, kind AS event_type, fetched AS _ingested_at FROM rep"""
+
 ORACLE: dict[str, str] = {
     "event_summary": _with(_REP, _event_summary("rep")),
     "product_risk": _with(_REP, _product_risk("rep")),
@@ -377,8 +380,8 @@ ORACLE: dict[str, str] = {
     "outcome_codes": _with(_REP + _outcomes("rep"), "SELECT * FROM outcomes"),
     "outcome_breakdown": _with(_REP + _outcomes("rep"), """
 SELECT year, outcome_label, count(report_number) AS report_count FROM outcomes GROUP BY 1, 2"""),
-    "reports_latest": _with(_REP, """
-SELECT report_number, mdr_report_key, kind AS event_type, fetched AS _ingested_at FROM rep"""),
+    "reports_latest": _with(_REP, _LATEST),
+    "stream_latest": _with(_REP, _LATEST),
     "events_silver": _with(_REP, f"SELECT {_EVENT_COLUMNS} FROM rep"),
     "events_partitioned": _with(_REP, f"SELECT {_EVENT_COLUMNS} FROM rep"),
     "events_partition_slice": _with(_REP, """

@@ -37,6 +37,7 @@ from devicewatch.plans.layers import (
 from devicewatch.sources import landing, tables, versions
 from devicewatch.sources.shared import shared_folder
 from devicewatch.streaming.ingest import ingest_new_pages
+from devicewatch.streaming.latest import follow_latest, read_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -248,6 +249,16 @@ def reports_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.select("report_number", "mdr_report_key", "event_type", "_ingested_at")
 
 
+def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by way of a stream of landed pages, a few files at a time."""
+    pages, kept = shared_folder(spark, "landing"), shared_folder(spark, "latest")
+    landing.write_pages(feed.device_reports(spark, sf_dir), pages, feed.PARAMS)
+    follow_latest(spark, pages, kept, shared_folder(spark, "offsets"),
+                  ["mdr_report_key", "event_type", "_ingested_at"],
+                  max_files_per_batch=4).awaitTermination()
+    return read_latest(spark, kept)
+
+
 def events_partition_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some years of the written events table: only their partitions are read."""
     path = shared_folder(spark, "events")
@@ -457,6 +468,7 @@ QUERIES: dict[str, Query] = {
     "outcome_codes": outcome_codes,
     "outcome_breakdown": outcome_breakdown,
     "reports_latest": reports_latest,
+    "stream_latest": stream_latest,
     "events_silver": _events,
     "events_partitioned": events_partitioned,
     "events_partition_slice": events_partition_slice,
