@@ -250,12 +250,12 @@ def reports_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same by way of a stream of landed pages, a few files at a time."""
+    """The same by way of a stream of landed pages, 100 files at a time."""
     pages, kept = shared_folder(spark, "landing"), shared_folder(spark, "latest")
     landing.write_pages(feed.device_reports(spark, sf_dir), pages, feed.PARAMS)
     follow_latest(spark, pages, kept, shared_folder(spark, "offsets"),
                   ["mdr_report_key", "event_type", "_ingested_at"],
-                  max_files_per_batch=4).awaitTermination()
+                  max_files_per_batch=100).awaitTermination()
     return read_latest(spark, kept)
 
 
