@@ -110,3 +110,11 @@ def test_text_is_not_shuffled_for_few_terms(spark):
     terms = spark.createDataFrame([("fail",)], "term string")
     plan = keywords.flagged_by_table(texts, terms)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Python" not in plan
+
+
+def test_terms_are_looked_up_by_as_many_letters_as_tell_texts_apart(spark):
+    terms = [("Contamination",), ("contains water",), ("contains",), ("cont",), ("con",), ("c",)]
+    got = keywords.looked_up(spark.createDataFrame(terms, "term string"), "term")
+    assert dict(rows(got, "_term", "_gram")) == {
+        "contamination": "contamin", "contains water": "contains", "contains": "contains",
+        "cont": "cont", "con": "co", "c": "c"}
