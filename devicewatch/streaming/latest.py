@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from devicewatch.operators.dedup import order_values
 from devicewatch.operators.flatten import flatten
 from devicewatch.sources.landing import refuse_corrupt, stream_pages
-from devicewatch.sources.shared import exists
+from devicewatch.sources.shared import CODEC, exists
 
 _BATCH = "_batch"
 
@@ -42,7 +42,8 @@ def follow_latest(spark: SparkSession, landing: str, target: str, checkpoint: st
     found = keep_latest(flatten(refuse_corrupt(pages)), columns)
 
     def save(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{_BATCH}={batch}")
+        (rows.write.option("compression", CODEC).mode("overwrite")
+         .parquet(f"{target.rstrip('/')}/{_BATCH}={batch}"))
 
     return (found.writeStream.outputMode("update").foreachBatch(save)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -12,7 +12,7 @@ from devicewatch.operators import gold
 from devicewatch.operators.dedup import latest_reports, latest_unmoved
 from devicewatch.operators.flatten import flatten
 from devicewatch.operators.silver import devices_silver, events_silver, narratives_silver
-from devicewatch.plans import feed
+from devicewatch.plans import feed, queries
 from devicewatch.plans.queries import QUERIES
 from devicewatch.sources import tables
 from devicewatch.sources.landing import record_json
@@ -188,3 +188,24 @@ def test_no_page_holds_more_than_its_records(spark, monkeypatch):
     given = [json.dumps(json.loads(r[0]), sort_keys=True)
              for r in every.select(record_json()).collect()]
     assert sorted(records) == sorted(given)
+
+
+def test_landed_text_is_compressed_and_records_are_not_staged(spark, tmp_path, monkeypatch):
+    staged = []
+    monkeypatch.setattr(feed, "staged", lambda df, name: (staged.append(df.columns), (df, ""))[1])
+    monkeypatch.setattr(queries, "shared_folder", lambda _, name: str(tmp_path / name))
+    QUERIES["array_pages_roundtrip"](spark, SF_DIR)
+    QUERIES["stream_latest"](spark, SF_DIR)
+    for folder in ("pages", "landing"):
+        files = [f.name for f in (tmp_path / folder).rglob("part-*")]
+        assert files and all(name.endswith(".gz") for name in files)
+    assert staged == [["_run", "_page", "_parts"]]
+
+
+def test_tables_are_written_with_the_stronger_codec(spark, tmp_path):
+    rows_ = spark.range(9).selectExpr("id", "'r' AS _run_id")
+    tables.append_bronze(rows_, str(tmp_path / "bronze"))
+    tables.overwrite(rows_, str(tmp_path / "table"))
+    for folder in ("bronze", "table"):
+        names = [f.name for f in (tmp_path / folder).rglob("part-*")]
+        assert names and all(".zstd." in name for name in names)
