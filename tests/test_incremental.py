@@ -170,3 +170,29 @@ def test_vacuum_keeps_what_live_versions_name(spark, tmp_path):
         versions.version(spark, base, 2)
     with pytest.raises(ValueError):
         versions.vacuum(spark, base, keep=0)
+
+
+def test_clean_tables_of_a_refresh_are_written_where_their_reports_lie(spark, tmp_path, monkeypatch):
+    moved = []
+    write = versions.Commit.write
+
+    def seen(self, table, shown, touched, in_place=False):
+        if in_place:
+            moved.append((table, "Exchange" in shown._jdf.queryExecution().executedPlan().toString()))
+        write(self, table, shown, touched, in_place)
+
+    monkeypatch.setattr(versions.Commit, "write", seen)
+    incremental.upsert(flatten(raw(spark, *[{"report_number": str(n)} for n in range(9)])),
+                       f"{tmp_path}/base", buckets=4)
+    assert sorted(moved) == [("devices", False), ("events", False), ("narratives", False)]
+
+
+def test_devices_of_each_are_those_of_the_latest(spark):
+    rng = random.Random(5)
+    number = lambda: rng.choice([None, "", "1", "=1", "2"])
+    landed = flatten(raw(spark, *[{
+        "report_number": str(n), "device": rng.choice([None, [], [None], [
+            {"brand_name": str(k), "device_sequence_no": number()} for k in range(rng.randint(1, 7))]])}
+        for n in range(60)]))
+    one, two = silver.devices_of_each(landed), silver.device_rows(landed)
+    assert rows(one, *one.columns) == rows(two, *one.columns)
