@@ -202,6 +202,12 @@ def test_landed_text_is_compressed_and_records_are_not_staged(spark, tmp_path, m
     assert staged == [["_run", "_page", "_parts"]]
 
 
+def test_only_latest_reports_are_flattened_for_events(spark):
+    """Read from the bottom: versions are ranked, then what is left is parsed."""
+    text = plan(QUERIES["events_silver"](spark, SF_DIR))
+    assert text.rindex("from_json") < text.rindex("WindowGroupLimit")
+
+
 def test_tables_are_written_with_the_stronger_codec(spark, tmp_path):
     rows_ = spark.range(9).selectExpr("id", "'r' AS _run_id")
     tables.append_bronze(rows_, str(tmp_path / "bronze"))
