@@ -215,3 +215,24 @@ def test_tables_are_written_with_the_stronger_codec(spark, tmp_path):
     for folder in ("bronze", "table"):
         names = [f.name for f in (tmp_path / folder).rglob("part-*")]
         assert names and all(".zstd." in name for name in names)
+
+
+@pytest.mark.parametrize("name", [
+    "reports_latest", "devices_silver", "devices_silver_all_versions", "event_summary",
+    "flagged_narratives", "bronze_flatten"])
+def test_reports_are_made_in_methods_that_the_jvm_compiles(spark, name):
+    """HotSpot interprets a method of more than 8000 bytes, however often it runs."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        bronze_ = (feed.latest_device_bronze(spark, SF_DIR) if name == "flagged_narratives"
+                   else QUERIES[name](spark, SF_DIR))
+        text = bronze_._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
