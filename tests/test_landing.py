@@ -271,3 +271,19 @@ def test_streams_and_batches_do_not_mix(spark, tmp_path):
     tables.append_bronze(more, batched)
     with pytest.raises(ValueError, match="would hide"):
         ingest_new_pages(spark, land, batched, str(tmp_path / "o2"))
+
+
+def test_rows_of_one_known_run(spark, tmp_path, capfd):
+    one = flatten(raw(spark, report("a"), report("b")))
+    path, by_column = str(tmp_path / "known"), str(tmp_path / "by_column")
+    tables.append_bronze(one, path, run_id="r1")
+    tables.append_bronze(one, path, run_id="r1")
+    tables.append_bronze(one.unionByName(one), by_column)
+    assert (rows(tables.read_bronze(spark, path), *S.BRONZE_SCHEMA.names)
+            == rows(tables.read_bronze(spark, by_column), *S.BRONZE_SCHEMA.names))
+    tables.append_bronze(one, path, replace_run=True, run_id="r1")
+    assert tables.read_bronze(spark, path).count() == 2
+    for other in ("r2", None):
+        with pytest.raises(Exception, match="not of run r1"):
+            tables.append_bronze(flatten(raw(spark, report("c", _run_id=other))), path, run_id="r1")
+    assert tables.read_bronze(spark, path).count() == 2

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql.readwriter import DataFrameWriter
 from records import raw, rows
 
 from devicewatch import schemas as S
@@ -236,3 +237,14 @@ def test_reports_are_made_in_methods_that_the_jvm_compiles(spark, name):
             spark.conf.set(key, value)
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
     assert sizes and max(sizes) < 8000
+
+
+def test_the_raw_layer_is_not_sorted_to_be_written(spark, monkeypatch):
+    """Spark sorts whole rows by what a write is partitioned by: here the run, which is known."""
+    by = []
+    monkeypatch.setattr(DataFrameWriter, "partitionBy",
+                        lambda writer, *columns: (by.append(columns), writer)[1])
+    merged = QUERIES["bronze_append_merge"](spark, SF_DIR)
+    assert not by
+    assert {r[0] for r in merged.select(S.RUN_ID).distinct().collect()} == {
+        feed.PARAMS.run_id, feed.TEXT_PARAMS.run_id}
