@@ -248,3 +248,12 @@ def test_the_raw_layer_is_not_sorted_to_be_written(spark, monkeypatch):
     assert not by
     assert {r[0] for r in merged.select(S.RUN_ID).distinct().collect()} == {
         feed.PARAMS.run_id, feed.TEXT_PARAMS.run_id}
+
+
+def test_versions_are_counted_on_their_own_columns(bronze):
+    """What they are ordered by, the same texts once more, is not sent along."""
+    text = plan(latest_unmoved(bronze))
+    counted = re.findall(r"Exchange hashpartitioning\(report_number#\d+, _ingested_at#\d+, "
+                         r"mdr_report_key#\d+, _record_hash#\d+L", text)
+    assert counted and "_version" not in "".join(
+        line for line in text.splitlines() if "Exchange" in line)
