@@ -17,6 +17,7 @@ from devicewatch.plans import feed, queries
 from devicewatch.plans.queries import QUERIES
 from devicewatch.sources import tables
 from devicewatch.sources.landing import record_json
+from devicewatch.sources.shared import staged
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -257,3 +258,33 @@ def test_versions_are_counted_on_their_own_columns(bronze):
                          r"mdr_report_key#\d+, _record_hash#\d+L", text)
     assert counted and "_version" not in "".join(
         line for line in text.splitlines() if "Exchange" in line)
+
+
+def test_a_finished_write_leaves_no_shuffle_files(spark, tmp_path):
+    """They would stay on disk beside all that later steps write."""
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {name for f in str(files.getAllFiles().mkString("\n")).splitlines()
+                if (name := f.rpartition("/")[2]).startswith("shuffle_")}
+
+    rows_ = spark.range(999).selectExpr("id", "'r' AS _run_id").repartition(5, "id")
+    for write in (lambda: tables.append_bronze(rows_, str(tmp_path / "some")),
+                  lambda: tables.append_bronze(rows_, str(tmp_path / "one"), run_id="r"),
+                  lambda: tables.overwrite(rows_, str(tmp_path / "table")),
+                  lambda: staged(rows_, "rows")):
+        before = shuffled()
+        write()
+        assert not shuffled() - before
+
+
+def test_rows_of_a_few_runs_are_not_sorted_to_be_written(spark, tmp_path, monkeypatch):
+    key, seen, parquet = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda writer, *given: (
+        seen.append(int(spark.conf.get(key))), parquet(writer, *given))[1])
+    before = spark.conf.get(key)
+    many = spark.range(600).selectExpr("id", "'r' || id % 12 AS _run_id")
+    tables.append_bronze(many, str(tmp_path / "bronze"))
+    assert seen[0] > 1 and spark.conf.get(key) == before
+    # More runs than are written side by side.
+    assert rows(spark.read.parquet(str(tmp_path / "bronze")), "id", S.RUN_ID) == rows(
+        many, "id", S.RUN_ID)
