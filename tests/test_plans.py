@@ -288,3 +288,22 @@ def test_rows_of_a_few_runs_are_not_sorted_to_be_written(spark, tmp_path, monkey
     # More runs than are written side by side.
     assert rows(spark.read.parquet(str(tmp_path / "bronze")), "id", S.RUN_ID) == rows(
         many, "id", S.RUN_ID)
+
+
+def test_records_of_pages_are_made_where_their_page_is(spark):
+    """A record is many times what it is made of; the union and the groups leave it in place."""
+    text = plan(feed.pages(spark, SF_DIR))
+    assert "Exchange" not in text[:text.index("Union")]
+    assert "record#" not in "".join(x for x in text.splitlines() if "Exchange" in x)
+
+
+def test_names_of_parts_are_joined_last(spark):
+    """What is joined before is moved again by the joins that follow."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        text = plan(feed.device_reports(spark, SF_DIR))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    keys = re.findall(r"SortMergeJoin \[(\w+)#", text)
+    assert keys[:4] == ["l_partkey", "s_nationkey", "l_suppkey", "o_orderkey"]
