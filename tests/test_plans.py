@@ -297,13 +297,14 @@ def test_records_of_pages_are_made_where_their_page_is(spark):
     assert "record#" not in "".join(x for x in text.splitlines() if "Exchange" in x)
 
 
-def test_names_of_parts_are_joined_last(spark):
-    """What is joined before is moved again by the joins that follow."""
+def test_parts_are_joined_last_for_pages_and_orders_for_versions(spark):
+    """What is joined before is moved again; ranks drop the versions of an order that lie together."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        text = plan(feed.device_reports(spark, SF_DIR))
+        pages, versions = (re.findall(r"SortMergeJoin \[(\w+)#", plan(
+            feed.device_reports(spark, SF_DIR, parts_last=last))) for last in (True, False))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    keys = re.findall(r"SortMergeJoin \[(\w+)#", text)
-    assert keys[:4] == ["l_partkey", "s_nationkey", "l_suppkey", "o_orderkey"]
+    assert pages[:4] == ["l_partkey", "s_nationkey", "l_suppkey", "o_orderkey"]
+    assert versions[:4] == ["o_orderkey", "s_nationkey", "l_suppkey", "l_partkey"]
