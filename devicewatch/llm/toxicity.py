@@ -10,11 +10,10 @@ score is the distance-weighted vote of the nearest alone, calibrated on held-bac
 from __future__ import annotations
 
 import dataclasses
+import functools
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +24,15 @@ from devicewatch.llm.shared import PLACES, materialise, places, whole_text
 
 _WORD = re.compile(r"\w+")
 _STEMS = (4, 5)
-#: Words that a worker remembers, texts that it looks up together, and blocks of the index that are
-#: searched before others are skipped.
-_MEMO, _TEXTS, _AHEAD = 100_000, 64, 8
+#: Characters that are made into terms together, about, and bytes from which on a word is hashed alone.
+_CHARACTERS, _LONG = 1 << 18, 32
+#: Texts that are looked up together, and blocks of the index that are searched before others are
+#: skipped.
+_TEXTS, _AHEAD = 64, 8
 #: Terms in more than one example in so many are kept as rows of a matrix.
 _FREQUENT = 10
+#: Entries from which on a list is copied whole.
+_SLICED = 100
 #: A cosine from which on two texts have the same terms.
 _SAME = 1 - 1e-6
 #: Centres by which examples are ordered, and how often they are moved.
@@ -58,33 +61,65 @@ def word_terms(word: str) -> tuple[str, ...]:
 
 # --- terms -------------------------------------------------------------------------------
 
-class _Places(dict):
-    """Places of the terms of a word."""
-
-    def __init__(self, space: int) -> None:
-        self.space = space
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        found = self[word] = tuple(zlib.crc32(t.encode("utf-8", "surrogatepass")) % self.space
-                                   for t in word_terms(word))
-        return found
-
-
-def text_vector(text: str, known: _Places) -> tuple[np.ndarray, np.ndarray]:
-    """Places in order and counts of all terms of a text."""
-    words = Counter(_WORD.findall(text.lower()))
-    if not words:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    places = [known[w] for w in words]
-    if len(known) > _MEMO:
-        known.clear()
-    sizes = np.fromiter(map(len, places), np.int64, len(places))
-    at = np.fromiter(chain.from_iterable(places), np.int64, int(sizes.sum()))
-    counts = np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes)
-    order = np.argsort(at)
-    at = at[order]
-    first = np.nonzero(np.diff(at, prepend=-1))[0]
-    return at[first], np.add.reduceat(counts[order], first)
+@functools.cache
+def _in_words() -> np.ndarray:
+    """Which characters stand in words."""
+    found = np.zeros(0x110000, dtype=bool)
+    for run in _WORD.finditer("".join(map(chr, range(len(found))))):
+        found[run.start():run.end()] = True
+    return found
+
+
+#: What a byte does to a crc32.
+_CRC = np.array([zlib.crc32(bytes([k ^ 255])) for k in range(256)], np.uint32) ^ 0xFF000000
+
+
+def _step(crc: np.ndarray, byte: np.ndarray | int) -> np.ndarray:
+    return _CRC[(crc ^ byte) & 255] ^ (crc >> 8)
+
+
+def _crc32(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, marked: np.ndarray
+           ) -> np.ndarray:
+    """The crc32 of ranges of bytes, with a ``*`` behind those that are marked."""
+    order = np.argsort(-sizes, kind="stable")
+    at, long_first = starts[order], -sizes[order]
+    crc = np.full(len(at), 0xFFFFFFFF, np.uint32)
+    for k in range(min(_LONG, int(sizes.max(initial=0)))):
+        n = np.searchsorted(long_first, -k)  # these have more than k bytes
+        crc[:n] = _step(crc[:n], data[at[:n] + k])
+    for k in range(np.searchsorted(long_first, -_LONG)):
+        crc[k] = zlib.crc32(data[at[k]:at[k] - long_first[k]]) ^ 0xFFFFFFFF
+    found = np.empty_like(crc)
+    found[order] = crc
+    return np.where(marked, _step(found, ord("*")), found) ^ np.uint32(0xFFFFFFFF)
+
+
+def text_vectors(texts: list[str], space: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Places in order and counts of all terms of each text: the crc32 of :func:`word_terms`."""
+    lowered = [text.lower() for text in texts]
+    joined = "\n".join([*lowered, ""])
+    letters = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+    data = np.frombuffer(joined.encode("utf-8", "surrogatepass"), np.uint8)
+    byte = np.arange(len(letters) + 1)
+    if len(data) > len(letters):
+        byte[1:] = np.cumsum(1 + (letters > 0x7F) + (letters > 0x7FF) + (letters > 0xFFFF))
+    edges = np.nonzero(np.diff(_in_words()[letters], prepend=False))[0]
+    start, stop = edges[::2], edges[1::2]
+    text = np.searchsorted(np.cumsum([len(t) + 1 for t in lowered]), start, side="right")
+    starts, stops, of = [start], [stop], [text]
+    for n in _STEMS:
+        longer = stop - start > n
+        starts.append(start[longer])
+        stops.append(start[longer] + n)
+        of.append(text[longer])
+    marked = np.arange(sum(map(len, starts))) >= len(start)
+    first = byte[np.concatenate(starts)]
+    crc = _crc32(data, first, byte[np.concatenate(stops)] - first, marked)
+    key = np.sort(np.concatenate(of) * space + crc % space)
+    new = np.nonzero(np.diff(key, prepend=-1))[0]
+    counts, key = np.diff(new, append=len(key)), key[new]
+    ends = np.searchsorted(key, np.arange(1, len(texts)) * space)
+    return list(zip(np.split(key % space, ends), np.split(counts, ends), strict=True))
 
 
 def packed(at: np.ndarray, counts: np.ndarray) -> bytes:
@@ -100,11 +135,17 @@ def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def term_vector(text_col: str, space: int) -> Column:
     """All terms of the whole text, as :func:`packed` has them."""
-    known = _Places(space)
-
     def of(batch: pa.Array) -> pa.Array:
-        return pa.array([packed(*text_vector(value.as_py(), known)) for value in batch],
-                        type=pa.binary())
+        found, texts, size = [], [], 0
+        for value in batch:
+            texts.append(value.as_py())
+            size += len(texts[-1])
+            if size >= _CHARACTERS:
+                found += [packed(*v) for v in text_vectors(texts, space)]
+                texts, size = [], 0
+        if texts:
+            found += [packed(*v) for v in text_vectors(texts, space)]
+        return pa.array(found, type=pa.binary())
 
     return F.arrow_udf(of, "binary")(whole_text(text_col))
 
@@ -159,6 +200,10 @@ class Index:
         weight = np.concatenate([np.empty(0, np.float32), *[w for _, w in vectors]],
                                 dtype=np.float32)
         self.terms, term, n = np.unique(term, return_inverse=True, return_counts=True)
+        # Numbered by frequency, so that the lists most often read lie together.
+        order = np.argsort(-n, kind="stable")
+        self.terms, n = self.terms[order], n[order]
+        term = np.argsort(order)[term]
         often = n * _FREQUENT > self.size
         self.row = np.where(often, np.cumsum(often) - 1, -1).astype(np.int32)
         self.number = _neighbourhoods(
@@ -178,9 +223,11 @@ class Index:
         self.matrix = np.zeros((blocks * self.block, int((self.row >= 0).sum())), np.float32)
         self.matrix[self.dense[:2]] = self.dense[2]
         self.most = self.matrix.reshape(blocks, self.block, -1).max(axis=1) if blocks else None
+        self.numbers = np.full(int(self.terms.max(initial=-1)) + 2, -1, np.int32)
+        self.numbers[self.terms] = np.arange(len(self.terms))
 
     def __getstate__(self) -> dict:
-        made = ("matrix", "most")  # again where the index arrives
+        made = ("matrix", "most", "numbers")  # again where the index arrives
         return {k: v for k, v in self.__dict__.items() if k not in made}
 
     def __setstate__(self, state: dict) -> None:
@@ -189,10 +236,8 @@ class Index:
 
     def known(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which terms the examples have, and their numbers in ``terms``."""
-        if not len(self.terms):
-            return np.zeros(len(at), dtype=bool), np.empty(0, dtype=np.int64)
-        k = np.minimum(np.searchsorted(self.terms, at.astype(np.int32)), len(self.terms) - 1)
-        there = self.terms[k] == at
+        k = self.numbers[np.minimum(at, len(self.numbers) - 1)]  # the last is no term
+        there = k >= 0
         return there, k[there]
 
     def nearest(self, at: np.ndarray, weight: np.ndarray, n: int) -> list[tuple[float, int]]:
@@ -218,11 +263,7 @@ class Index:
             slack[q] = (len(k) + 8) * 2.0 ** -23
             query[q, row[row >= 0]] = weight[row >= 0]
             k, weight = k[row < 0], weight[row < 0]
-            start = np.where(k > 0, self.stops[k - 1], 0)
-            sizes = self.stops[k] - start
-            of = _ranges(start, sizes)
-            rare[q] = np.bincount(self.postings[0][of], np.repeat(weight, sizes)
-                                  * self.postings[1][of], width)
+            rare[q] = self._rare(k, weight)
         score = rare.astype(np.float32)
         in_blocks = score.reshape(len(vectors), blocks, self.block)
         bound = (in_blocks.max(axis=2) + query @ self.most.T) * (1 + slack[:, None])
@@ -244,7 +285,7 @@ class Index:
             least_ = _at_least(there[None], n)[0] * (1 - 2 * slack[q])
             hit = np.nonzero((there > 0) & (there >= least_))[0]
             hit = block[hit // self.block] * self.block + hit % self.block
-            cosine = rare[q, hit] + self.matrix[np.ix_(hit, row)] @ weight
+            cosine = rare[q, hit] + self.matrix.take(hit, 0).take(row, 1) @ weight
             # Equal examples tie whatever the order of the sums.
             cosine, number = np.round(cosine, 12), self.number[hit]
             order = np.lexsort((number, -cosine))[:n]
@@ -252,6 +293,20 @@ class Index:
             best.append((np.minimum(cosine[order], 1), number[order]))
         return best
 
+    def _rare(self, k: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """What terms with lists add to each example."""
+        start = np.where(k > 0, self.stops[k - 1], 0)
+        sizes = self.stops[k] - start
+        # Long lists are copied whole, entries of short ones picked.
+        long = sizes >= _SLICED
+        order = np.concatenate([np.nonzero(~long)[0], np.nonzero(long)[0]])
+        of = _ranges(start[~long], sizes[~long])
+        slices = list(map(slice, start[long].tolist(), (start + sizes)[long].tolist()))
+        place, share = [np.concatenate([values.take(of), *map(values.__getitem__, slices)])
+                        for values in self.postings]
+        return np.bincount(place, np.repeat(weight[order], sizes[order]) * share,
+                           len(self.matrix))
+
     def _multiply(self, score: np.ndarray, query: np.ndarray, of: np.ndarray) -> None:
         for b in np.nonzero(of.any(axis=0))[0].tolist():
             texts = np.nonzero(of[:, b])[0]

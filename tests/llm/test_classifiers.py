@@ -1,4 +1,5 @@
 import pickle
+import re
 import zlib
 
 import numpy as np
@@ -200,3 +201,33 @@ def test_chances_never_fall():
     assert np.allclose(np.interp(x, at, p), [0, 1 / 3, 1 / 3, 1 / 3, 1, 1])
     at, p = toxicity._monotone(np.ones(3), np.array([0, 1, 1]), np.array([2.0, 1, 1]))
     assert np.allclose(np.interp([0, 1, 2], at, p), 0.5)
+
+
+@pytest.mark.parametrize("space", [1, 97, 1 << 21])
+def test_terms_of_many_texts_are_made_together(space):
+    """As term by term: any letters, words around the lengths of beginnings and of long words."""
+    texts = ["", " \n", "a", "one  two\x00three a_b a_b", "Σίσυφος ΟΔΟΣ straße İstanbul", "日本語テキスト 🙂ab🙂cdefgh",
+             "z" * 4 + " " + "z" * 5 + " " + "Z" * 6, "x" * 32 + " " + "y" * 33, "é" * 16 + " " + "é" * 500, ""]
+    for (at, counts), text in zip(toxicity.text_vectors(texts, space), texts, strict=True):
+        terms = [zlib.crc32(t.encode()) % space for w in re.findall(r"\w+", text.lower())
+                 for t in toxicity.word_terms(w)]
+        assert at.tolist() == sorted(set(terms))
+        assert counts.tolist() == [terms.count(t) for t in at.tolist()]
+
+
+def test_lists_of_any_length_are_added_up():
+    """Long posting lists are copied whole, short ones picked: both, and unknown terms, count."""
+    rng = np.random.default_rng(6)
+    dense = rng.random((3000, 60)) < np.linspace(0.0005, 0.15, 60)
+    idf = np.ones(90)
+    units = [toxicity.unit(np.nonzero(d)[0], np.ones(int(d.sum())), idf) for d in dense]
+    index = toxicity.Index([u for u in units if len(u[0])], 64)
+    full = np.array([d / max(1, d.sum()) ** 0.5 for d in dense if d.any()])
+    sizes = np.diff(index.stops, prepend=0)
+    assert (sizes >= toxicity._SLICED).any() and ((sizes > 0) & (sizes < toxicity._SLICED)).any()
+    for q in range(0, 3000, 200):
+        at, _ = units[q]
+        at, weight = toxicity.unit(np.append(at, [70, 85]), np.ones(len(at) + 2), idf)
+        cosine = np.sort(full @ np.bincount(at, weight, 90)[:60])[::-1][:20]
+        got = np.array([c for c, _ in index.nearest(at, weight, 20)])
+        assert np.allclose(got, cosine[cosine > 0], atol=1e-6)
