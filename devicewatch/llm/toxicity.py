@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from devicewatch.llm.shared import PLACES, materialise, places, whole_text
 
-_WORD = re.compile(r"\w+")
+_WORD, _SPACE = re.compile(r"\w+"), re.compile(r"\s")
 _STEMS = (4, 5)
 #: Characters that are made into terms together, about, and bytes from which on a word is hashed alone.
 _CHARACTERS, _LONG = 1 << 18, 32
@@ -122,6 +122,21 @@ def text_vectors(texts: list[str], space: int) -> list[tuple[np.ndarray, np.ndar
     return list(zip(np.split(key % space, ends), np.split(counts, ends), strict=True))
 
 
+def long_text_vector(text: str, space: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same for one text, cut at white space, so that memory for its letters is bounded."""
+    at, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+    begin = 0
+    while begin < len(text):
+        cut = _SPACE.search(text, begin + _CHARACTERS)
+        end = cut.end() if cut else len(text)
+        piece = text_vectors([text[begin:end]], space)[0]
+        at, of = np.unique(np.concatenate([at, piece[0]]), return_inverse=True)
+        both = np.zeros(len(at), np.int64)
+        np.add.at(both, of, np.concatenate([counts, piece[1]]))
+        counts, begin = both, end
+    return at, counts
+
+
 def packed(at: np.ndarray, counts: np.ndarray) -> bytes:
     """Steps between places and counts, byte by byte, so that zeros stand together."""
     both = np.column_stack([np.diff(at, prepend=0), counts]).astype("<u4")
@@ -141,7 +156,11 @@ def term_vector(text_col: str, space: int) -> Column:
             texts.append(value.as_py())
             size += len(texts[-1])
             if size >= _CHARACTERS:
-                found += [packed(*v) for v in text_vectors(texts, space)]
+                long = texts.pop() if len(texts[-1]) > _CHARACTERS else None
+                if texts:
+                    found += [packed(*v) for v in text_vectors(texts, space)]
+                if long is not None:
+                    found.append(packed(*long_text_vector(long, space)))
                 texts, size = [], 0
         if texts:
             found += [packed(*v) for v in text_vectors(texts, space)]

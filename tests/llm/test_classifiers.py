@@ -231,3 +231,18 @@ def test_lists_of_any_length_are_added_up():
         cosine = np.sort(full @ np.bincount(at, weight, 90)[:60])[::-1][:20]
         got = np.array([c for c, _ in index.nearest(at, weight, 20)])
         assert np.allclose(got, cosine[cosine > 0], atol=1e-6)
+
+
+def test_a_long_text_has_the_terms_of_its_pieces(spark, monkeypatch):
+    text = " ".join(f"Wörter{k % 91} ΟΔΟΣ x{k} \n" for k in range(900))
+    at, counts = toxicity.text_vectors([text], 1 << 21)[0]
+    found = spark.createDataFrame([(1, "ab"), (2, text * 40), (3, "cd ef")], "id long, text string").coalesce(1)
+    got = {r["id"]: toxicity.unpacked(r["vector"]) for r in found.select(
+        "id", toxicity.term_vector("text", 1 << 21).alias("vector")).collect()}
+    assert len(text) * 40 > toxicity._CHARACTERS
+    assert (got[2][0] == at).all() and (got[2][1] == 40 * counts).all()
+    assert len(got[1][0]) == 1 and len(got[3][0]) == 2
+    monkeypatch.setattr(toxicity, "_CHARACTERS", 50)
+    cut = toxicity.long_text_vector(text, 1 << 21)
+    assert (cut[0] == at).all() and (cut[1] == counts).all()
+    assert not len(toxicity.long_text_vector("", 1 << 21)[0])
