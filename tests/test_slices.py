@@ -65,3 +65,14 @@ def test_few_makers_are_sent_to_the_lines(spark, monkeypatch):
         assert shuffled_joins() == 4
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_refresh_by_slices_and_shares_is_a_rebuild(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shared, "SLICE_ROWS", 7)
+    rng, base, landed = random.Random(5), f"{tmp_path}/base", None
+    for _ in range(3):
+        parts = [flatten(raw(spark, *[random_report(rng) for _ in range(8)])) for _ in range(2)]
+        incremental.upsert(parts, base, buckets=4)
+        for part in parts:
+            landed = part if landed is None else landed.unionByName(part)
+    as_rebuilt(spark, base, landed)
