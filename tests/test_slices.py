@@ -52,6 +52,20 @@ def test_slices_hold_every_report_once(spark, odd_dir, monkeypatch):
     assert sum(map(len, pages)) == len(set.union(*pages))
 
 
+@pytest.mark.parametrize("name", ["bronze_append_merge", "landing_roundtrip", "gold_written",
+                                  "array_pages_roundtrip", "responses_roundtrip"])
+def test_queries_give_the_same_by_slices(spark, monkeypatch, name):
+    query = queries.QUERIES[name]
+    skipped = ("_ingested_at",) if name == "responses_roundtrip" else ()
+    whole = counted(query(spark, SF).drop(*skipped))
+    writes, write = [], shared.writing
+    monkeypatch.setattr(shared, "SLICE_ROWS", 4000)
+    for module in (queries, queries.landing, tables):
+        monkeypatch.setattr(module, "writing", lambda *a: writes.append(a) or write(*a))
+    assert counted(query(spark, SF).drop(*skipped)) == whole
+    assert len(writes) > 2
+
+
 def test_few_makers_are_sent_to_the_lines(spark, monkeypatch):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
