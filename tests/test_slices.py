@@ -90,3 +90,25 @@ def test_refresh_by_slices_and_shares_is_a_rebuild(spark, tmp_path, monkeypatch)
         for part in parts:
             landed = part if landed is None else landed.unionByName(part)
     as_rebuilt(spark, base, landed)
+
+
+def test_loaded_rows_are_written_once(spark, tmp_path, monkeypatch):
+    at = Locations(f"{tmp_path}/raw", f"{tmp_path}/b", f"{tmp_path}/s/", f"{tmp_path}/g/")
+    folder = tmp_path / "raw" / "run_1"
+    folder.mkdir(parents=True)
+    (folder / "page_1.json").write_text('[{"report_number": "1"}, {"report_number": "2"}]')
+    (folder / "page_2.json").write_text('[{"report_number": "3"}, {"report_nu')
+    written, append = [], tables.append_bronze
+    monkeypatch.setattr(tables, "append_bronze", lambda df, path, *a, **k: written.append(
+        (path, set(df.columns))) or append(df, path, *a, **k))
+    for _ in range(2):
+        written.clear()
+        layers.load_pages(read_pages(spark, at.landing, whole_file_pages=True), at,
+                   landed_files(spark, at.landing))
+        assert sum("device_raw" in columns for _, columns in written) == 1
+        assert at.bronze not in dict(written)
+        assert rows(tables.read_bronze(spark, at.bronze), "report_number", S.RUN_ID) == [
+            ("1", "run_1"), ("2", "run_1")]
+        assert rows(tables.read(spark, at.manifest), "records", "corrupt_records") == [
+            (0, 1), (2, 0)]
+    assert not [p for p in os.listdir(tmp_path) if "_load-" in p]
