@@ -81,6 +81,30 @@ def test_few_makers_are_sent_to_the_lines(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_clean_tables_by_slices_are_the_same(spark, tmp_path, monkeypatch):
+    rng, params = random.Random(3), JobParams("m", "2020-01-01", "2025-12-31")
+    bronze = flatten(raw(spark, *[random_report(rng) for _ in range(60)])).localCheckpoint()
+    monkeypatch.setattr(shared, "SLICE_ROWS", 9)
+    for name, want in layers.silver_tables(bronze, params).items():
+        for _ in range(2):  # the second time in place of the first
+            layers.write_clean(bronze, params, name, f"{tmp_path}/{name}")
+        assert counted(tables.read(spark, f"{tmp_path}/{name}").select(*want.columns)) == counted(
+            want), name
+
+
+def test_reports_without_narratives_are_not_joined(spark):
+    """A later version without a narrative still replaces one that has it."""
+    text = [{"text_type_code": "D", "foi_text": "t"}]
+    bronze = flatten(raw(
+        spark, {"report_number": "1", "mdr_report_key": "1", "mdr_text": text},
+        {"report_number": "1", "mdr_report_key": "2"},
+        {"report_number": "2", "mdr_report_key": "2", "mdr_text": text},
+        {"report_number": "2", "mdr_report_key": "2", "mdr_text": text},
+        {"report_number": "3"}))
+    wanted = F.col("mdr_text_raw") != "[]"
+    assert rows(latest_unmoved(bronze, wanted), "report_number") == [("2",)]
+
+
 def test_refresh_by_slices_and_shares_is_a_rebuild(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(shared, "SLICE_ROWS", 7)
     rng, base, landed = random.Random(5), f"{tmp_path}/base", None
