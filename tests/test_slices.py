@@ -66,15 +66,15 @@ def test_queries_give_the_same_by_slices(spark, monkeypatch, name):
     assert len(writes) > 2
 
 
-def test_few_makers_are_sent_to_the_lines(spark, monkeypatch):
+def test_few_suppliers_are_sent_to_the_lines(spark, monkeypatch):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
     try:
         def shuffled_joins():
             found = feed._orders_with_lines(spark, SF)
             return found._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin")
 
-        assert shuffled_joins() == 3  # orders, parts, and nations to their makers
+        assert shuffled_joins() == 3  # orders, parts and nations
         monkeypatch.setattr(feed, "SENT_ROWS", 0)
         assert shuffled_joins() == 4
     finally:
